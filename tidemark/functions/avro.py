@@ -1,0 +1,291 @@
+"""Avro payloads in a registry envelope: magic byte, four-byte schema id, body.
+
+The envelope is split with built-in expressions. Bodies are decoded by ``from_avro`` where the
+Avro package is on the class path; otherwise by a column-wise numpy decoder that runs on Arrow
+batches and covers flat records of the types below.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MODES = ("FAILFAST", "PERMISSIVE")
+
+# Avro type and logical type, Spark type, Arrow type.
+_TYPES = {
+    ("string", None): (T.StringType(), pa.string()),
+    ("bytes", None): (T.BinaryType(), pa.binary()),
+    ("boolean", None): (T.BooleanType(), pa.bool_()),
+    ("int", None): (T.IntegerType(), pa.int32()),
+    ("long", None): (T.LongType(), pa.int64()),
+    ("float", None): (T.FloatType(), pa.float32()),
+    ("double", None): (T.DoubleType(), pa.float64()),
+    ("int", "date"): (T.DateType(), pa.date32()),
+    ("long", "timestamp-millis"): (T.TimestampType(), pa.timestamp("us", tz="UTC")),
+    ("long", "timestamp-micros"): (T.TimestampType(), pa.timestamp("us", tz="UTC")),
+}
+
+
+def split_envelope(df: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``magic``, ``schema_id`` and ``body``; all NULL where the value is NULL."""
+    raw = F.col(value)
+    return df.select(
+        "*",
+        F.conv(F.hex(F.substring(raw, 1, 1)), 16, 10).cast("int").alias("magic"),
+        F.conv(F.hex(F.substring(raw, 2, 4)), 16, 10).cast("int").alias("schema_id"),
+        F.expr(f"substring(`{value}`, 6)").alias("body"),
+    )
+
+
+def record_fields(schema_json: str) -> list[tuple[str, str, str | None, int]]:
+    """Name, type, logical type and position of the null branch (-1: not nullable) per field."""
+    record = json.loads(schema_json)
+    if record.get("type") != "record":
+        raise ValueError("the payload schema must be a record")
+    fields = []
+    for field in record["fields"]:
+        kind, null_branch = field["type"], -1
+        if isinstance(kind, list):
+            if len(kind) != 2 or "null" not in kind:
+                raise ValueError(f"field {field['name']!r}: only unions of null and one type are supported")
+            null_branch = kind.index("null")
+            kind = kind[1 - null_branch]
+        logical = kind.get("logicalType") if isinstance(kind, dict) else None
+        base = kind["type"] if isinstance(kind, dict) else kind
+        if (base, logical) not in _TYPES:
+            raise ValueError(f"field {field['name']!r}: type {base} {logical or ''} is not supported")
+        fields.append((field["name"], base, logical, null_branch))
+    return fields
+
+
+def record_struct(schema_json: str) -> T.StructType:
+    """The Spark struct of a flat record."""
+    return T.StructType(
+        [T.StructField(n, _TYPES[(base, logical)][0]) for n, base, logical, _ in record_fields(schema_json)]
+    )
+
+
+def has_avro_package(df: DataFrame) -> bool:
+    """Whether Spark's own Avro functions are on the class path."""
+    loader = df.sparkSession._jvm.org.apache.spark.util.Utils
+    try:
+        loader.classForName("org.apache.spark.sql.avro.AvroDataToCatalyst", False, False)
+    except Exception:
+        return False
+    return True
+
+
+def decode_avro(
+    df: DataFrame,
+    schemas: dict[int, str],
+    mode: str = "FAILFAST",
+    event: str = "event",
+    native: bool | None = None,
+) -> DataFrame:
+    """Add the struct ``event``, decoded from ``body`` with the schema ``schema_id`` names.
+
+    ``schemas`` are the versions of one subject; the newest id gives the columns, and older
+    payloads have NULL in columns they lack. ``FAILFAST`` fails the task on a body that does not
+    decode, ``PERMISSIVE`` gives NULL. An id outside ``schemas`` fails in both modes, before
+    anything is committed: run again with the reloaded schema table.
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}: use one of {', '.join(MODES)}")
+    if not schemas:
+        raise ValueError("no schema is registered for the subject")
+    reader = schemas[max(schemas)]
+    if has_avro_package(df) if native is None else native:
+        return _decode_native(df, schemas, reader, mode, event)
+    columns = record_struct(reader)
+    schema = T.StructType([*df.schema.fields, T.StructField(event, columns)])
+    plans = {i: record_fields(s) for i, s in schemas.items()}
+    return df.mapInArrow(_batch_decoder(plans, record_fields(reader), mode, event), schema)
+
+
+def _decode_native(df: DataFrame, schemas: dict[int, str], reader: str, mode: str, event: str) -> DataFrame:
+    from pyspark.sql.avro.functions import from_avro
+
+    def version(schema_id: int) -> Column:
+        decoded = from_avro(F.col("body"), schemas[schema_id], {"mode": mode, "avroSchema": reader})
+        return F.when((F.col("magic") == 0) & (F.col("schema_id") == schema_id), decoded)
+
+    known = reduce(lambda chosen, i: F.coalesce(chosen, version(i)), list(schemas)[1:], version(list(schemas)[0]))
+    unknown = (F.col("magic") == 0) & ~F.col("schema_id").isin(list(schemas))
+    refused = F.raise_error(F.concat(F.lit("unknown schema id "), F.col("schema_id").cast("string")))
+    decoded = F.when(unknown, refused).otherwise(known)
+    if mode == "FAILFAST":
+        wrong = F.raise_error(F.lit("payload does not start with the magic byte"))
+        decoded = F.when(F.col("magic") != 0, wrong).otherwise(decoded)
+    return df.withColumn(event, decoded)
+
+
+def _batch_decoder(plans: dict[int, list], reader: list, mode: str, event: str):
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            magic = batch.column(batch.schema.get_field_index("magic")).to_numpy(zero_copy_only=False)
+            ids = batch.column(batch.schema.get_field_index("schema_id")).to_numpy(zero_copy_only=False)
+            bodies = batch.column(batch.schema.get_field_index("body"))
+            absent = bodies.is_null().to_numpy(zero_copy_only=False)
+            bad = ~absent & ~((magic == 0) & ~np.isnan(ids.astype("float64")))
+            pieces, places = [], []
+            for schema_id in np.unique(ids[~absent & ~bad]):
+                rows = np.flatnonzero(~absent & ~bad & (ids == schema_id))
+                if int(schema_id) not in plans:
+                    raise ValueError(f"unknown schema id {int(schema_id)}: reload the schema table and run again")
+                decoded, failed = decode_records(bodies.take(pa.array(rows)), plans[int(schema_id)])
+                bad[rows[failed]] = True
+                pieces.append(_as_struct(decoded, reader, failed))
+                places.append(rows)
+            if mode == "FAILFAST" and bad.any():
+                raise ValueError(f"{int(bad.sum())} of {len(bad)} payloads do not decode")
+            struct = _scatter(pieces, places, reader, len(bad))
+            yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, event])
+
+    return decode
+
+
+def _struct_type(reader: list) -> pa.StructType:
+    return pa.struct([pa.field(n, _TYPES[(base, logical)][1]) for n, base, logical, _ in reader])
+
+
+def _as_struct(decoded: dict[str, pa.Array], reader: list, failed: np.ndarray) -> pa.StructArray:
+    kinds = _struct_type(reader)
+    columns = []
+    for field in kinds:
+        column = decoded.get(field.name)
+        columns.append(pa.nulls(len(failed), field.type) if column is None else column.cast(field.type))
+    return pa.StructArray.from_arrays(columns, fields=list(kinds), mask=pa.array(failed))
+
+
+def _scatter(pieces: list, places: list, reader: list, size: int) -> pa.Array:
+    """Decoded groups back in row order; rows of no group are NULL."""
+    if not pieces:
+        return pa.nulls(size, _struct_type(reader))
+    take = np.full(size, -1, dtype=np.int64)
+    take[np.concatenate(places)] = np.arange(sum(len(p) for p in places))
+    return pa.concat_arrays(pieces).take(pa.array(take, mask=take < 0))
+
+
+class _Cursors:
+    """A read position per payload of a batch; a payload that runs short is marked failed."""
+
+    def __init__(self, bodies: pa.Array):
+        _, offsets, data = bodies.buffers()
+        start = bodies.offset
+        bounds = np.frombuffer(offsets, dtype=np.int32)[start : start + len(bodies) + 1].astype(np.int64)
+        self.data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+        self.at = bounds[:-1].copy()
+        self.end = bounds[1:]
+        self.failed = np.zeros(len(bodies), dtype=bool)
+
+    def _available(self, rows: np.ndarray, size) -> np.ndarray:
+        enough = (size >= 0) & (self.at[rows] + size <= self.end[rows])
+        self.failed[rows[~enough]] = True
+        return rows[enough]
+
+    def varints(self, rows: np.ndarray) -> np.ndarray:
+        """Zigzag variable-length integers, one per row."""
+        value = np.zeros(len(self.at), dtype=np.uint64)
+        todo = rows
+        for place in range(10):
+            todo = self._available(todo, np.ones(len(todo), dtype=np.int64))
+            if not len(todo):
+                break
+            byte = self.data[self.at[todo]]
+            value[todo] |= (byte & 0x7F).astype(np.uint64) << np.uint64(7 * place)
+            self.at[todo] += 1
+            todo = todo[byte >= 0x80]
+        self.failed[todo] = True
+        return (value >> np.uint64(1)).astype(np.int64) ^ -(value & np.uint64(1)).astype(np.int64)
+
+    def fixed(self, rows: np.ndarray, dtype: str) -> np.ndarray:
+        width = np.dtype(dtype).itemsize
+        out = np.zeros(len(self.at), dtype=dtype)
+        rows = self._available(rows, np.full(len(rows), width))
+        if len(rows):
+            raw = self.data[self.at[rows][:, None] + np.arange(width)]
+            out[rows] = np.ascontiguousarray(raw).view(dtype)[:, 0]
+            self.at[rows] += width
+        return out
+
+    def blocks(self, rows: np.ndarray) -> pa.Array:
+        """Length-prefixed byte runs."""
+        sizes = self.varints(rows)
+        rows = rows[~self.failed[rows]]
+        rows = self._available(rows, sizes[rows])
+        kept = np.zeros(len(self.at), dtype=np.int64)
+        kept[rows] = sizes[rows]
+        bounds = np.concatenate([[0], np.cumsum(kept)])
+        source = np.repeat(self.at - bounds[:-1], kept) + np.arange(bounds[-1])
+        self.at[rows] += kept[rows]
+        return pa.Array.from_buffers(
+            pa.binary(),
+            len(kept),
+            [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(self.data[source].tobytes())],
+        )
+
+
+def decode_records(bodies: pa.Array, fields: list) -> tuple[dict[str, pa.Array], np.ndarray]:
+    """Columns of flat records and the mask of payloads that did not decode."""
+    cursors = _Cursors(bodies)
+    columns: dict[str, pa.Array] = {}
+    for name, base, logical, null_branch in fields:
+        rows = np.flatnonzero(~cursors.failed)
+        missing = np.zeros(len(bodies), dtype=bool)
+        if null_branch >= 0:
+            branch = cursors.varints(rows)
+            cursors.failed[rows[(branch[rows] < 0) | (branch[rows] > 1)]] = True
+            rows = rows[~cursors.failed[rows]]
+            missing[rows] = branch[rows] == null_branch
+            rows = rows[~missing[rows]]
+        columns[name] = _read_column(cursors, rows, base, logical, missing)
+    return columns, cursors.failed
+
+
+def _read_column(cursors: _Cursors, rows: np.ndarray, base: str, logical: str | None, missing: np.ndarray) -> pa.Array:
+    kind = _TYPES[(base, logical)][1]
+    if base in ("string", "bytes"):
+        raw = cursors.blocks(rows)
+        column = raw if base == "bytes" else _as_text(raw, cursors)
+    elif base in ("float", "double"):
+        column = pa.array(cursors.fixed(rows, "<f4" if base == "float" else "<f8"))
+    elif base == "boolean":
+        byte = cursors.fixed(rows, "u1")
+        cursors.failed[byte > 1] = True
+        column = pa.array(byte == 1)
+    else:
+        number = cursors.varints(rows)
+        if base == "int":
+            outside = (number < -(2**31)) | (number >= 2**31)
+            cursors.failed[outside] = True
+            number = np.where(outside, 0, number).astype(np.int32)
+        if logical == "timestamp-millis":
+            number = number * 1000
+        column = pa.array(number).cast(kind) if logical is None else pa.array(number).view(kind)
+    if missing.any():
+        empty = pa.scalar(None, column.type)
+        column = pa.compute.if_else(pa.array(missing), empty, column)
+    return column
+
+
+def _as_text(raw: pa.Array, cursors: _Cursors) -> pa.Array:
+    try:
+        return raw.cast(pa.string())
+    except pa.ArrowInvalid:
+        texts = []
+        for row, value in enumerate(raw.to_pylist()):
+            try:
+                texts.append(value.decode("utf-8"))
+            except UnicodeDecodeError:
+                cursors.failed[row] = True
+                texts.append("")
+        return pa.array(texts, pa.string())

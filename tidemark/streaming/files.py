@@ -116,7 +116,7 @@ def ingest_files(
     )
 
     def ingest(batch: DataFrame, writer: str, number: int) -> None:
-        part = f"{writer}-{number}"
+        part = f"{writer}/{number}"
         if not table.has(writer, number):
             paths = sorted(row["path"] for row in batch.collect())
             groups = group_by_header(spark, paths, options)

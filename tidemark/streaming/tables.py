@@ -45,6 +45,25 @@ def merge_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     return T.StructType([*old.fields, *added])
 
 
+def _extended(live: list[str], writer: str, number: int) -> list[str]:
+    """``live`` (entries ``writer/first-last``) with one more part; a run of numbers is one entry."""
+    if live:
+        owner, _, span = live[-1].rpartition("/")
+        first, last = span.split("-")
+        if owner == writer and int(last) + 1 == number:
+            return [*live[:-1], f"{writer}/{first}-{number}"]
+    return [*live, f"{writer}/{number}-{number}"]
+
+
+def _part_names(live: list[str]) -> list[str]:
+    names = []
+    for entry in live:
+        owner, _, span = entry.rpartition("/")
+        first, last = span.split("-")
+        names += [f"{owner}/{n}" for n in range(int(first), int(last) + 1)]
+    return names
+
+
 class AuditedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -82,7 +101,7 @@ class AuditedTable:
     @property
     def parts(self) -> int:
         last = self.last()
-        return len(last["live"]) if last else 0
+        return len(_part_names(last["live"])) if last else 0
 
     def parameter(self, name: str) -> str | None:
         last = self.last()
@@ -98,7 +117,7 @@ class AuditedTable:
         last = self.last()
         if last is None:
             raise ValueError(f"table {self.path} has not been written")
-        return self.read_parts(last["live"])
+        return self.read_parts(_part_names(last["live"]))
 
     def read_parts(self, names: list[str]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/data/{n}" for n in names])
@@ -129,14 +148,14 @@ class AuditedTable:
 
         Returns the name of the directory that holds the rows.
         """
-        name = f"{writer}-{number}"
+        name = f"{writer}/{number}"
         if self.has(writer, number):
             return name
         last = self.last()
         schema = merge_schema(self.schema, df.schema)
         df.write.mode("overwrite").parquet(f"{self.path}/data/{name}")
         progress = {**(last["progress"] or {}), writer: number} if last else {writer: number}
-        live = [*(last["live"] if last else []), name]
+        live = _extended(last["live"] if last else [], writer, number)
         self._commit(operation, schema, live, progress, parameters)
         return name
 
@@ -144,11 +163,11 @@ class AuditedTable:
         """Make ``df`` the whole content; ``df`` may read this very table."""
         last = self.last()
         version = last["version"] + 1 if last else 0
-        name = f"snapshot-{version}"
-        df.write.mode("overwrite").parquet(f"{self.path}/data/{name}")
+        df.write.mode("overwrite").parquet(f"{self.path}/data/snapshot/{version}")
         progress = (last["progress"] or {}) if last else {}
         kept = {**((last["parameters"] or {}) if last else {}), **(parameters or {})}
-        self._commit(operation, merge_schema(None, df.schema), [name], progress, kept)
+        live = _extended([], "snapshot", version)
+        self._commit(operation, merge_schema(None, df.schema), live, progress, kept)
 
     def _commit(self, operation, schema, live, progress, parameters):
         last = self.last()
