@@ -289,3 +289,78 @@ def _as_text(raw: pa.Array, cursors: _Cursors) -> pa.Array:
                 cursors.failed[row] = True
                 texts.append("")
         return pa.array(texts, pa.string())
+
+
+def encode_avro(df: DataFrame, payload: str, schema_json: str, schema_id: int, value: str = "value") -> DataFrame:
+    """Add ``value``: the struct ``payload`` as an Avro body in a registry envelope."""
+    fields = record_fields(schema_json)
+    schema = T.StructType([*df.schema.fields, T.StructField(value, T.BinaryType())])
+    envelope = b"\x00" + schema_id.to_bytes(4, "big")
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            struct = batch.column(batch.schema.get_field_index(payload))
+            runs = [(np.tile(np.frombuffer(envelope, np.uint8), len(batch)), np.full(len(batch), len(envelope)))]
+            for name, base, logical, null_branch in fields:
+                runs += _write_column(pa.compute.struct_field(struct, name), base, logical, null_branch)
+            column = _join_runs(runs, len(batch))
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, value])
+
+    return df.mapInArrow(encode, schema)
+
+
+_Run = tuple[np.ndarray, np.ndarray]
+
+
+def _varint_run(numbers: np.ndarray) -> _Run:
+    zigzag = ((numbers << 1) ^ (numbers >> 63)).astype(np.uint64)
+    groups = zigzag[:, None] >> (np.arange(10, dtype=np.uint64) * np.uint64(7))
+    sizes = np.maximum((groups > 0).sum(axis=1), 1)
+    place = np.arange(10)[None, :]
+    more = np.where(place < sizes[:, None] - 1, 0x80, 0)
+    return ((groups & np.uint64(0x7F)).astype(np.uint8) | more.astype(np.uint8))[place < sizes[:, None]], sizes
+
+
+def _write_column(column: pa.Array, base: str, logical: str | None, null_branch: int) -> list[_Run]:
+    present = column.is_valid().to_numpy(zero_copy_only=False)
+    if null_branch < 0 and not present.all():
+        raise ValueError("NULL in a field that is not nullable")
+    runs = []
+    if null_branch >= 0:
+        runs.append(_varint_run(np.where(present, 1 - null_branch, null_branch).astype(np.int64)))
+    if base in ("string", "bytes"):
+        raw = column.cast(pa.binary()).fill_null(b"")
+        sizes = pa.compute.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.int64)
+        text = np.frombuffer(b"".join(raw.to_pylist()), np.uint8)
+        body = [_varint_run(sizes), (text, sizes)]
+    elif base in ("float", "double"):
+        kind = "<f4" if base == "float" else "<f8"
+        numbers = column.fill_null(0).to_numpy(zero_copy_only=False).astype(kind)
+        body = [(numbers.view(np.uint8), np.full(len(column), numbers.itemsize))]
+    elif base == "boolean":
+        body = [(column.fill_null(False).to_numpy(zero_copy_only=False).astype(np.uint8), np.ones(len(column), int))]
+    else:
+        stored = column.cast(pa.int32()) if logical == "date" else column
+        numbers = stored.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+        body = [_varint_run(numbers // 1000 if logical == "timestamp-millis" else numbers)]
+    return runs + [_only(run, present) for run in body]
+
+
+def _only(run: _Run, present: np.ndarray) -> _Run:
+    data, sizes = run
+    return data[np.repeat(present, sizes)], np.where(present, sizes, 0)
+
+
+def _join_runs(runs: list[_Run], rows: int) -> pa.Array:
+    """Per row the bytes of all runs one after the other."""
+    total = np.sum([sizes for _, sizes in runs], axis=0).astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum(total)])
+    out = np.empty(bounds[-1], dtype=np.uint8)
+    at = bounds[:-1].copy()
+    for data, sizes in runs:
+        first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        out[np.repeat(at - first, sizes) + np.arange(len(data))] = data
+        at += sizes
+    return pa.Array.from_buffers(
+        pa.binary(), rows, [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(out.tobytes())]
+    )

@@ -170,20 +170,25 @@ def pull_into(target: ChangeTarget, read: Callable[[], DataFrame], cursor: str)
     """Pull what changed since the last pull and apply it to ``target``.
 
     The pulled rows are written first, so that the rows applied and the cursor value remembered
-    come from the same read of the database. A pull that failed between the two steps is applied
-    before the next one starts.
+    come from the same read of the database. A pull that was written but not applied, because
+    the job died in between, is applied before the next one is made.
     """
     pulls = AuditedTable(target.spark, f"{target.path}/pulls")
-    number = (pulls.last() or {"progress": {}})["progress"].get("pull", -1)
-    if number < 0 or target.table.has("pull", number):
-        rows = pull_by_cursor(read, cursor, target.table.parameter("cursor_value"))
-        number += 1
-        pulls.append(rows, "pull", number, "PULL")
+    number = pulls.last()["progress"]["pull"] if pulls.last() else -1
+    if number >= 0:
+        _apply_pull(target, pulls, number, cursor)
+    rows = pull_by_cursor(read, cursor, target.table.parameter("cursor_value"))
+    pulls.append(rows, "pull", number + 1, "PULL")
+    _apply_pull(target, pulls, number + 1, cursor)
+    return target
+
+
+def _apply_pull(target: ChangeTarget, pulls: AuditedTable, number: int, cursor: str) -> None:
+    if target.table.has("pull", number):
+        return
     landed = pulls.read_parts([f"pull/{number}"])
-    reached = landed.agg(F.max(cursor).cast("string")).first()[0]
-    reached = reached or target.table.parameter("cursor_value")
+    reached = landed.agg(F.max(cursor).cast("string")).first()[0] or target.table.parameter("cursor_value")
     target.merge(landed, "pull", number, {"cursor_value": reached} if reached else None)
-    return target
 
 
 def core_tables(
