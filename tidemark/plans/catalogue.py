@@ -330,8 +330,10 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product lookup as a written table, so that joins know its real size."""
     log = inputs.product_log(spark, sf_dir)
-    return scd1(log, ["codigo"], "event_ts", "operation = 'DELETE'", ["operation", "event_ts"])
+    lookup = scd1(log, ["codigo"], "event_ts", "operation = 'DELETE'", ["operation", "event_ts"])
+    return refresh_view(lookup, scratch_path(spark, "products")).read()
 
 
 @query("loan_history", f"select {_LOAN_COLUMNS}, __START_AT, __END_AT {_LOAN_JOIN}")
@@ -558,20 +560,42 @@ def rescued_summary_report(spark, sf_dir):
 )
 def admission_control(spark, sf_dir):
     target = _fixed_lots(spark, sf_dir, batches=2)
-    return group_counts(target.read(), "lote_proceso").withColumn("several_batches", F.lit(target.parts > 1))
+    return group_counts(target.read(), "lote_proceso").withColumn("several_batches", F.lit(len(target.parts) > 1))
 
 
-@query("write_history")
+@query(
+    "write_history",
+    """
+    select version, 'STREAMING UPDATE' as operation, true as has_time, '1' as headers
+    from (values (0, 'F'), (1, 'O')) as runs(version, lot)
+    where lot in (select o_orderstatus from orders)
+    """,
+)
 def write_history(spark, sf_dir):
     target, _ = _evolving_lots(spark, sf_dir)
-    return target.history()
+    return target.history().select(
+        "version",
+        "operation",
+        F.col("timestamp").isNotNull().alias("has_time"),
+        F.col("operation_parameters")["headers"].alias("headers"),
+    )
 
 
-@query("file_inventory")
+@query(
+    "file_inventory",
+    """
+    select 'lote-' || o_orderstatus as lote, true as has_bytes, true as has_time from orders group by o_orderstatus
+    """,
+)
 def file_inventory_report(spark, sf_dir):
     base = scratch_path(spark, "inventory")
-    path = inputs.land_csv(inputs.lot(spark, sf_dir, "P"), f"{base}/lote3")
-    return file_inventory(spark, path, "*.csv")
+    for status in ("F", "O", "P"):
+        inputs.land_csv(inputs.lot(spark, sf_dir, status), f"{base}/lote-{status}")
+    return (
+        file_inventory(spark, base, "*.csv")
+        .groupBy(F.element_at(F.split("path", "/"), -2).alias("lote"))
+        .agg((F.sum("length") > 0).alias("has_bytes"), F.max("modificationTime").isNotNull().alias("has_time"))
+    )
 
 
 @query("csv_batch_preview", f"""

@@ -7,11 +7,13 @@ minimum over ends, so parts may be folded in any order and more than once: late
 and restarts all lead to the state of one full rebuild. Deletes stay in the parts as tombstones.
 
 The cost of a batch depends on the batch and on the tiles around it, not on the size of the
-target; ``compact`` folds the parts into one.
+target. Parts are folded in tiers: ``fan_out`` parts of one tier become one of the next, so a row
+is rewritten once per tier and never because the whole table is. ``compact`` folds all parts.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,7 +46,7 @@ class ChangeTarget:
         path: str,
         rules: ChangeRules,
         scd_type: int = 1,
-        compact_every: int = 20,
+        fan_out: int = 20,
         hot_rows: int | None = HOT_ROWS,
     ):
         if scd_type not in (1, 2):
@@ -53,7 +55,7 @@ class ChangeTarget:
         self.path = path.rstrip("/")
         self.rules = rules
         self.scd_type = scd_type
-        self.compact_every = compact_every
+        self.fan_out = fan_out
         self.hot_rows = hot_rows
         self.table = AuditedTable(spark, f"{self.path}/state")
         self.rejects = AuditedTable(spark, f"{self.path}/rejects")
@@ -68,8 +70,8 @@ class ChangeTarget:
         _, refused = split_rejects(changes, rules.keys, rules.sequence_by)
         if not refused.isEmpty():
             self.rejects.append(refused, writer, number, "REJECT")
-        kept = ",".join(rules.kept_columns(changes.columns))
-        details = {"scd_type": self.scd_type, "columns": kept, **(parameters or {})}
+        columns = dict.fromkeys([*self._columns(), *rules.kept_columns(changes.columns)])
+        details = {"scd_type": self.scd_type, "columns": json.dumps(list(columns)), **(parameters or {})}
         if self.scd_type == 1:
             part = latest_points(rules.points(changes), rules.keys)
             self.table.append(part, writer, number, "MERGE", details)
@@ -81,8 +83,11 @@ class ChangeTarget:
             finally:
                 marks.unpersist()
                 points.unpersist()
-        if self.compact_every and self.table.parts > self.compact_every:
-            self.compact()
+        self._fold_tiers()
+
+    def _columns(self) -> list[str]:
+        """Columns of the target, in the order they were first seen."""
+        return json.loads(self.table.parameter("columns") or "[]")
 
     def _marks(self, points: DataFrame) -> DataFrame:
         """The batch's points, the stored tiles around them and those tiles' ends, one row each."""
@@ -130,33 +135,51 @@ class ChangeTarget:
         )
         return stored.join(span, keys).where(overlap).select(*keys, SEQ, _END)
 
+    def _fold_tiers(self) -> None:
+        tier = 0
+        while True:
+            members = [p for p in self.table.parts if _tier(p) == tier]
+            if len(members) <= self.fan_out:
+                return
+            tier += 1
+            self._replace(members, f"tier-{tier}")
+
     def compact(self) -> None:
         """Fold all parts into one."""
-        folded = self._fold()
+        parts = self.table.parts
+        if len(parts) > 1:
+            self._replace(parts, f"tier-{max(_tier(p) for p in parts) + 1}")
+
+    def _replace(self, parts: list[str], owner: str) -> None:
+        folded = self._fold(self.table.read_parts(parts))
         if self.scd_type == 2:
             # Closed tiles of one period share row groups, which batches of later periods skip.
             folded = folded.sortWithinPartitions(_END)
-        self.table.replace(folded, "COMPACT")
+        self.table.replace_parts(parts, folded, owner, "COMPACT")
 
     # -- reads ---------------------------------------------------------------------------
 
-    def _fold(self) -> DataFrame:
+    def _fold(self, stored: DataFrame) -> DataFrame:
         keys = self.rules.keys
-        stored = self.table.read()
         if self.scd_type == 1:
             return latest_points(stored, keys)
         return stored.groupBy(*keys, SEQ).agg(F.min(_END).alias(_END), F.max(ROW).alias(ROW))
 
     def read(self) -> DataFrame:
         """The SCD table: current rows (type 1) or versions with start and end (type 2)."""
-        kept = (self.table.parameter("columns") or "").split(",")
-        stored = self.table.read() if self.table.parts == 1 else self._fold()
+        columns = self.rules.unpack(self._columns())
+        stored = self.table.read()
+        if len(self.table.parts) > 1:
+            stored = self._fold(stored)
         if self.scd_type == 1:
-            return current_rows(stored).select(*self.rules.unpack(kept))
-        versions = stored.where(F.col(ROW).isNotNull())
-        return current_rows(versions).select(
-            *self.rules.unpack(kept), F.col(SEQ).alias(START_AT), F.col(_END).alias(END_AT)
-        )
+            return current_rows(stored).select(*columns)
+        versions = current_rows(stored.where(F.col(ROW).isNotNull()))
+        return versions.select(*columns, F.col(SEQ).alias(START_AT), F.col(_END).alias(END_AT))
+
+
+def _tier(part: str) -> int:
+    owner = part.rpartition("/")[0]
+    return int(owner.removeprefix("tier-")) if owner.startswith("tier-") else 0
 
 
 def merge_into(changes: DataFrame, targets: list[ChangeTarget], writer: str, number: int) -> None:

@@ -30,35 +30,43 @@ _HISTORY_SCHEMA = (
 
 
 def merge_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
-    """Old columns first, then columns seen for the first time; a changed type is an error."""
+    """Old columns first, then columns seen for the first time; structs are merged field by field.
+
+    A column whose type changed is an error.
+    """
     new = new.toNullable()
     if old is None:
         return new
-    known = {f.name: f.dataType for f in old}
+    fields = {f.name: f for f in old}
     for field in new:
-        if field.name in known and known[field.name] != field.dataType:
+        kind = fields[field.name].dataType if field.name in fields else field.dataType
+        if isinstance(kind, T.StructType) and isinstance(field.dataType, T.StructType):
+            kind = merge_schema(kind, field.dataType)
+        elif kind != field.dataType:
             raise ValueError(
-                f"column {field.name!r} is {known[field.name].simpleString()} in the table "
+                f"column {field.name!r} is {kind.simpleString()} in the table "
                 f"and {field.dataType.simpleString()} in the write"
             )
-    added = [T.StructField(f.name, f.dataType, True) for f in new if f.name not in known]
-    return T.StructType([*old.fields, *added])
+        fields[field.name] = T.StructField(field.name, kind, True)
+    return T.StructType(list(fields.values()))
 
 
-def _extended(live: list[str], writer: str, number: int) -> list[str]:
-    """``live`` (entries ``writer/first-last``) with one more part; a run of numbers is one entry."""
-    if live:
-        owner, _, span = live[-1].rpartition("/")
-        first, last = span.split("-")
-        if owner == writer and int(last) + 1 == number:
-            return [*live[:-1], f"{writer}/{first}-{number}"]
-    return [*live, f"{writer}/{number}-{number}"]
+def _as_runs(names: list[str]) -> list[str]:
+    """Part names ``owner/number`` as entries ``owner/first-last``, so that a run takes one entry."""
+    runs: list[list] = []
+    for name in names:
+        owner, _, number = name.rpartition("/")
+        if runs and runs[-1][0] == owner and runs[-1][2] + 1 == int(number):
+            runs[-1][2] += 1
+        else:
+            runs.append([owner, int(number), int(number)])
+    return [f"{owner}/{first}-{last}" for owner, first, last in runs]
 
 
-def _part_names(live: list[str]) -> list[str]:
+def _as_names(runs: list[str]) -> list[str]:
     names = []
-    for entry in live:
-        owner, _, span = entry.rpartition("/")
+    for run in runs:
+        owner, _, span = run.rpartition("/")
         first, last = span.split("-")
         names += [f"{owner}/{n}" for n in range(int(first), int(last) + 1)]
     return names
@@ -99,9 +107,10 @@ class AuditedTable:
         return T.StructType.fromJson(json.loads(last["schema_json"])) if last else None
 
     @property
-    def parts(self) -> int:
+    def parts(self) -> list[str]:
+        """Names of the live parts, oldest first."""
         last = self.last()
-        return len(_part_names(last["live"])) if last else 0
+        return _as_names(last["live"]) if last else []
 
     def parameter(self, name: str) -> str | None:
         last = self.last()
@@ -117,7 +126,7 @@ class AuditedTable:
         last = self.last()
         if last is None:
             raise ValueError(f"table {self.path} has not been written")
-        return self.read_parts(_part_names(last["live"]))
+        return self.read_parts(self.parts)
 
     def read_parts(self, names: list[str]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/data/{n}" for n in names])
@@ -155,21 +164,27 @@ class AuditedTable:
         schema = merge_schema(self.schema, df.schema)
         df.write.mode("overwrite").parquet(f"{self.path}/data/{name}")
         progress = {**(last["progress"] or {}), writer: number} if last else {writer: number}
-        live = _extended(last["live"] if last else [], writer, number)
-        self._commit(operation, schema, live, progress, parameters)
+        self._commit(operation, schema, [*self.parts, name], progress, parameters)
         return name
 
     def replace(self, df: DataFrame, operation: str = "REFRESH", parameters: dict[str, str] | None = None):
         """Make ``df`` the whole content; ``df`` may read this very table."""
+        self._rewrite(df, self.parts, "snapshot", operation, merge_schema(None, df.schema), parameters)
+
+    def replace_parts(self, parts: list[str], df: DataFrame, owner: str, operation: str) -> None:
+        """Make ``df`` stand for some of the live parts, the others stay; ``df`` may read them."""
+        self._rewrite(df, parts, owner, operation, merge_schema(self.schema, df.schema), None)
+
+    def _rewrite(self, df, parts, owner, operation, schema, parameters):
         last = self.last()
-        version = last["version"] + 1 if last else 0
-        df.write.mode("overwrite").parquet(f"{self.path}/data/snapshot/{version}")
-        progress = (last["progress"] or {}) if last else {}
+        name = f"{owner}/{last['version'] + 1 if last else 0}"
+        df.write.mode("overwrite").parquet(f"{self.path}/data/{name}")
         kept = {**((last["parameters"] or {}) if last else {}), **(parameters or {})}
-        live = _extended([], "snapshot", version)
-        self._commit(operation, merge_schema(None, df.schema), live, progress, kept)
+        progress = (last["progress"] or {}) if last else {}
+        live = [*[p for p in self.parts if p not in set(parts)], name]
+        self._commit(operation, schema, live, progress, kept)
 
-    def _commit(self, operation, schema, live, progress, parameters):
+    def _commit(self, operation, schema, parts, progress, parameters):
         last = self.last()
         version = last["version"] + 1 if last else 0
         row = {
@@ -177,7 +192,7 @@ class AuditedTable:
             "operation": operation,
             "parameters": {k: str(v) for k, v in (parameters or {}).items()},
             "schema_json": schema.json(),
-            "live": live,
+            "live": _as_runs(parts),
             "progress": progress,
         }
         # Readable by executors and drivers alike, and visible only when the write job commits.
