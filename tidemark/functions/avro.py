@@ -36,12 +36,16 @@ _TYPES = {
 
 
 def split_envelope(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``magic``, ``schema_id`` and ``body``; all NULL where the value is NULL."""
+    """Add ``magic``, ``schema_id`` and ``body``; all NULL where the value is NULL.
+
+    A value too short for the envelope has no ``schema_id`` and an empty ``body``.
+    """
     raw = F.col(value)
+    schema_id = F.conv(F.hex(F.substring(raw, 2, 4)), 16, 10).cast("int")
     return df.select(
         "*",
         F.conv(F.hex(F.substring(raw, 1, 1)), 16, 10).cast("int").alias("magic"),
-        F.conv(F.hex(F.substring(raw, 2, 4)), 16, 10).cast("int").alias("schema_id"),
+        F.when(F.length(raw) >= 5, schema_id).alias("schema_id"),
         F.expr(f"substring(`{value}`, 6)").alias("body"),
     )
 
@@ -123,8 +127,9 @@ def _decode_native(df: DataFrame, schemas: dict[int, str], reader: str, mode: st
     refused = F.raise_error(F.concat(F.lit("unknown schema id "), F.col("schema_id").cast("string")))
     decoded = F.when(unknown, refused).otherwise(known)
     if mode == "FAILFAST":
-        wrong = F.raise_error(F.lit("payload does not start with the magic byte"))
-        decoded = F.when(F.col("magic") != 0, wrong).otherwise(decoded)
+        sound = F.coalesce((F.col("magic") == 0) & F.col("schema_id").isNotNull(), F.lit(False))
+        wrong = F.raise_error(F.lit("payload is not in a registry envelope"))
+        decoded = F.when(F.col("body").isNotNull() & ~sound, wrong).otherwise(decoded)
     return df.withColumn(event, decoded)
 
 
