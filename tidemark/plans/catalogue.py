@@ -102,7 +102,9 @@ def scd2_hot_keys(spark, sf_dir):
     """,
 )
 def scd2_collapsed(spark, sf_dir):
-    log = table(spark, sf_dir, "events").withColumn("large", F.col("value") > 20)
+    log = table(spark, sf_dir, "events").select(
+        "user_id", "ts", "event_id", "event_type", (F.col("value") > 20).alias("large")
+    )
     versions = scd2(log, collapse_unchanged=True, track=["large"], **EVENT_RULES)
     return versions.select("user_id", "large", "__START_AT", "__END_AT")
 

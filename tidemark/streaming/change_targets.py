@@ -102,17 +102,20 @@ class ChangeTarget:
         marks = first.unionByName(
             points.select(*keys, SEQ, no_end.alias(_END), F.lit(False).alias("__tile"), ROW)
         )
-        if self.table.parts:
-            lowest = points.agg(F.min(SEQ).cast("string")).first()[0]
-            near = self._tiles_near(span, F.lit(lowest).cast(points.schema[SEQ].dataType))
-            tiles = near.select(*keys, SEQ, _END, F.lit(True).alias("__tile"), no_row.alias(ROW))
-            # The end of a stored tile is the start of a stored point beyond it.
-            ends = near.where(F.col(_END).isNotNull()).select(
-                *keys, F.col(_END).alias(SEQ), no_end.alias(_END), F.lit(False).alias("__tile"), no_row.alias(ROW)
-            )
-            marks = marks.unionByName(tiles).unionByName(ends)
-        return marks.groupBy(*keys, SEQ).agg(
-            F.min(_END).alias(_END), F.max("__tile").alias("__tile"), F.max(ROW).alias(ROW)
+        if not self.table.parts:
+            return marks  # one row each already
+        lowest = points.agg(F.min(SEQ).cast("string")).first()[0]
+        near = self._tiles_near(span, F.lit(lowest).cast(points.schema[SEQ].dataType))
+        tiles = near.select(*keys, SEQ, _END, F.lit(True).alias("__tile"), no_row.alias(ROW))
+        # The end of a stored tile is the start of a stored point beyond it.
+        ends = near.where(F.col(_END).isNotNull()).select(
+            *keys, F.col(_END).alias(SEQ), no_end.alias(_END), F.lit(False).alias("__tile"), no_row.alias(ROW)
+        )
+        return (
+            marks.unionByName(tiles)
+            .unionByName(ends)
+            .groupBy(*keys, SEQ)
+            .agg(F.min(_END).alias(_END), F.max("__tile").alias("__tile"), F.max(ROW).alias(ROW))
         )
 
     def _tiles(self, marks: DataFrame) -> DataFrame:

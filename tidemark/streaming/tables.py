@@ -77,6 +77,7 @@ class AuditedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self._last = None
+        self._looked = False
 
     # -- state ---------------------------------------------------------------------------
 
@@ -90,15 +91,16 @@ class AuditedTable:
 
     def last(self):
         """The last history row as a dict, or None for a table never written."""
-        if self._last is None:
+        if not self._looked:
             rows = self._rows()
             found = rows.orderBy(F.desc("version")).limit(1).collect() if rows is not None else []
             self._last = found[0].asDict() if found else None
+            self._looked = True
         return self._last
 
     def refresh(self) -> "AuditedTable":
         """Forget the remembered state, to see writes made elsewhere."""
-        self._last = None
+        self._looked = False
         return self
 
     @property
@@ -199,7 +201,7 @@ class AuditedTable:
         text = json.dumps({**row, "committed_at": datetime.now(timezone.utc).isoformat()})
         line = self.spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
         line.write.mode("overwrite").text(f"{self.path}/history/v={version}")
-        self._last = row
+        self._last, self._looked = row, True
 
 
 def refresh_view(df: DataFrame, path: str, name: str | None = None) -> AuditedTable:
