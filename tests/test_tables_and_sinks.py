@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark import workspace
 from tidemark.operators.cdc import ChangeRules
-from tidemark.operators.quality import all_hold, expect, expectation_metrics
+from tidemark.operators.quality import all_hold, expect, expect_stream, expectation_metrics
 from tidemark.operators.views import CUSTOMER_EXPECTATIONS
 from tidemark.plans.jobs import core_tables, pull_into, silver_views
 from tidemark.sources.cursor import jdbc_reader, pull_by_cursor
 from tidemark.streaming.change_targets import ChangeTarget
-from tidemark.streaming.sinks import append_stream, drain, for_each_batch, safe_name, trigger_options
+from tidemark.streaming.sinks import append_audited, append_stream, drain, for_each_batch, safe_name, trigger_options
 from tidemark.streaming.tables import AuditedTable, describe_table, refresh_view
 
 
@@ -88,6 +88,30 @@ def test_catalog_sink_restarts_without_reprocessing(spark, base):
     assert described["Comment"] == "it's a sink" and "quality=raw" in described["Table Properties"]
 
 
+def test_catalog_sink_takes_up_new_columns(spark, base):
+    name = "wide_" + base.rsplit("-", 1)[-1]
+    spark.range(2).write.parquet(f"{base}/in/0")
+
+    def run(schema):
+        stream = spark.readStream.schema(schema).parquet(f"{base}/in/*")
+        drain(append_stream(stream, name, f"{base}/cp", path=f"{base}/table"))
+        spark.catalog.refreshTable(name)
+        return sorted(map(tuple, spark.table(name).collect()))
+
+    assert run("id long") == [(0,), (1,)]
+    spark.range(2, 3).withColumn("x", F.lit("n")).write.parquet(f"{base}/in/1")
+    assert run("id long, x string") == [(0, None), (1, None), (2, "n")]
+
+
+def test_expectations_on_a_stream(spark, base):
+    spark.range(4).write.parquet(f"{base}/in")
+    stream = expect_stream(spark.readStream.schema("id long").parquet(f"{base}/in"), "rules", {"large": "id > 0"})
+    query = drain(append_audited(stream, f"{base}/table", f"{base}/cp"))
+    seen = [p["observedMetrics"]["rules"].asDict() for p in query.recentProgress if p["numInputRows"]]
+    assert seen == [{"large_passed": 3, "large_failed": 1}]
+    assert AuditedTable(spark, f"{base}/table").read().count() == 4
+
+
 def test_failures_reach_the_caller(spark, base):
     spark.range(4).write.parquet(f"{base}/in")
     stream = spark.readStream.schema("id long").parquet(f"{base}/in")

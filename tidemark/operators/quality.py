@@ -28,6 +28,12 @@ def expect(df: DataFrame, rules: dict[str, str | Column]) -> tuple[DataFrame, Ob
     return df.observe(observation, *_counters(rules, list(rules))), observation
 
 
+def expect_stream(df: DataFrame, name: str, rules: dict[str, str | Column]) -> DataFrame:
+    """The stream ``df`` unchanged; the counts of each micro-batch are in the progress of its query,
+    under ``observedMetrics[name]``."""
+    return df.observe(name, *_counters(rules, list(rules)))
+
+
 def _counters(rules: dict[str, str | Column], names: list[str] | None = None) -> list[Column]:
     counters = []
     for i, rule in enumerate(rules.values()):

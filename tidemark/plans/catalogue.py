@@ -348,6 +348,20 @@ def loan_current_view(spark, sf_dir):
     return loan_current(loans(spark, sf_dir), products(spark, sf_dir))
 
 
+@query("silver_refresh", f"select {_LOAN_COLUMNS}, __START_AT, __END_AT {_LOAN_JOIN}")
+def silver_refresh(spark, sf_dir):
+    """The loan view from end to end: cursor pulls, product feed, full refresh of the view."""
+    base = scratch_path(spark, "silver")
+    log = inputs.loan_log(spark, sf_dir)
+    rules = ChangeRules(["prestamo_id"], "fec_modificacion", except_columns=["orden"], tie_breakers=["orden"])
+    target = ChangeTarget(spark, f"{base}/prestamo", rules, 2)
+    for until in (_PULL_AT, "9999-12-31 00:00:00"):
+        seen = log.where(F.col("fec_modificacion") <= F.lit(until).cast("timestamp_ntz"))
+        pull_into(target, lambda seen=seen: seen, "fec_modificacion")
+    lookup = _product_job(spark, sf_dir)[1].read()
+    return refresh_view(loan_history(target.read(), lookup), f"{base}/h_prestamo").read()
+
+
 @query(
     "customer_current",
     """
@@ -529,9 +543,13 @@ def _fixed_lots(spark: SparkSession, sf_dir: str, batches: int = 1) -> AuditedTa
     return AuditedTable(spark, f"{base}/bronze")
 
 
-@query("csv_rescue_fixed_schema", _RESCUED)
+@query(
+    "csv_rescue_fixed_schema",
+    f"select * replace (cast(dias_entrega_prometidos as double) as dias_entrega_prometidos) from ({_RESCUED})",
+)
 def csv_rescue_fixed_schema(spark, sf_dir):
-    return _fixed_lots(spark, sf_dir).read().drop("_ingestion_timestamp", "_source_file")
+    lots = _fixed_lots(spark, sf_dir).read().drop("_ingestion_timestamp", "_source_file")
+    return lots.withColumn("dias_entrega_prometidos", F.col("dias_entrega_prometidos").cast("double"))
 
 
 @query(

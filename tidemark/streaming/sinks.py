@@ -7,6 +7,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.streaming.tables import AuditedTable
@@ -40,8 +41,10 @@ def append_stream(
 ) -> StreamingQuery:
     """Append a stream to the catalog table ``target``; each (job, target) needs its own checkpoint.
 
-    The file sink commits each micro-batch once. ``path`` places the table's files.
+    The file sink commits each micro-batch once. ``path`` places the table's files. Columns the
+    table does not have yet are added to it; its older rows read NULL there.
     """
+    add_missing_columns(df.sparkSession, target, df.schema)
     writer = (
         df.writeStream.format("parquet")
         .outputMode(output_mode)
@@ -55,6 +58,18 @@ def append_stream(
     return writer.toTable(target)
 
 
+def add_missing_columns(spark: SparkSession, target: str, schema: T.StructType) -> list[str]:
+    """Add the columns of ``schema`` that an existing catalog table lacks; returns their names."""
+    if not spark.catalog.tableExists(target):
+        return []
+    present = set(spark.table(target).columns)
+    missing = [f for f in schema if f.name not in present]
+    if missing:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({columns})")
+    return [f.name for f in missing]
+
+
 def append_audited(
     df: DataFrame,
     path: str,
