@@ -4,8 +4,10 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators.cdc import ChangeRules, current_versions, scd1, scd2, split_rejects
+from tidemark.operators.views import loan_current, loan_history
 from tidemark.streaming.change_targets import ChangeTarget, merge_into
 
 SCHEMA = "codigo string, descripcion string, operation string, event_ts timestamp_ntz"
@@ -207,3 +209,42 @@ def test_a_new_column_in_the_feed_is_taken_up(spark, base):
     target.merge(spark.createDataFrame(wider, SCHEMA + ", extra string"), "job", 1)
     found = {(r["descripcion"], r["extra"], r["__END_AT"]) for r in target.read().where("codigo = 'A'").collect()}
     assert found == {("a1", None, at(11)), ("a2", None, at(12)), ("a3", None, at(13)), ("a4", "x", None)}
+
+
+def test_a_merge_reads_only_bounds_of_stored_tiles(spark, base, capsys):
+    target = ChangeTarget(spark, base, RULES, 2)
+    target.merge(spark.createDataFrame(FEED, SCHEMA), "job", 0)
+    points = spark.createDataFrame([("A", at(11)), ("A", at(12))], "codigo string, __seq timestamp_ntz")
+    target._tiles_near(points).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Or(IsNull(__end),GreaterThan(__end,2024-01-01T11:00))" in plan
+    assert "ReadSchema: struct<codigo:string,__seq:timestamp_ntz,__end:timestamp_ntz>" in plan
+
+
+def test_views_agree_when_the_lookup_is_too_large_to_broadcast(spark):
+    loans = spark.range(2000).selectExpr(
+        "id prestamo_id", "id cliente_id", "if(id % 3 = 0, 'P0', if(id % 3 = 1, null, concat('P', id))) producto_codigo",
+        "'V' estado_prestamo_codigo", "1.0 monto_original", "1.0 tasa_anual", "1 numero_cuotas",
+        "current_date() fecha_desembolso", "timestamp_ntz'2024-01-01' fec_modificacion",
+        "timestamp_ntz'2024-01-01' __START_AT", "if(id % 2 = 0, timestamp_ntz'2024-02-01', null) __END_AT",
+    )
+    products = spark.range(0, 2000, 2).selectExpr("concat('P', id) codigo", "concat('d', id) descripcion")
+    small = [rows(view(loans, products)) for view in (loan_history, loan_current)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = [rows(view(loans, products)) for view in (loan_history, loan_current)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert small == large and [len(s) for s in small] == [2000, 1000]
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(20,3)", "timestamp"])
+def test_incremental_history_for_other_sequence_types(spark, base, kind):
+    log = spark.range(60).selectExpr("id % 3 k", f"cast(date_add(date'2024-01-01', cast(id * 7 % 60 as int)) as date) d", "id v")
+    column = {"decimal(20,3)": "cast(datediff(d, date'2024-01-01') as decimal(20,3))"}.get(kind, f"cast(d as {kind})")
+    log = log.selectExpr("k", f"{column} as seq", "v")
+    target = ChangeTarget(spark, base, ChangeRules(["k"], "seq"), 2)
+    for number, low in enumerate((40, 0, 20)):
+        target.merge(log.where(f"v >= {low} and v < {low + 20}"), "job", number)
+    assert rows(target.read()) == rows(scd2(log, ["k"], "seq"))

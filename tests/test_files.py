@@ -95,6 +95,18 @@ def test_evolution_adds_columns_and_freezes_types(spark, base, put):
     assert version == 1 and schema.names == ["id", "qty", "pri", "day"]
 
 
+def test_evolution_keeps_the_first_spelling_and_names_blank_columns(spark, base, put):
+    put("in/1.csv", "id,qty,\n1,5,x\n")
+    evolving(spark, base)
+    put("in/2.csv", "ID,qty\n2,6\n")
+    table = evolving(spark, base)
+    assert table.columns[:3] == ["id", "qty", "_c2"]
+    assert {(r["id"], r["qty"], r["_c2"], r["_rescued_data"]) for r in table.collect()} == {
+        (1, 5, "x", None),
+        (None, 6, None, '{"ID":"2"}'),
+    }
+
+
 def test_a_rerun_adds_nothing_and_batches_are_bounded(spark, base, put):
     for n in range(5):
         put(f"in/{n}.csv", f"id,qty\n{n},{n}\n")

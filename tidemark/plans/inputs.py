@@ -121,8 +121,8 @@ def land_csv(df: DataFrame, path: str) -> str:
 
 
 def share_of_files(spark: SparkSession, path: str, batches: int) -> int:
-    """Files per micro-batch that drain ``path`` in about ``batches`` batches."""
-    return max(1, math.ceil(file_inventory(spark, path, "part-*").count() / batches))
+    """Files per micro-batch that drain ``path`` in about ``batches`` batches, at most 1000 each."""
+    return min(1000, max(1, math.ceil(file_inventory(spark, path, "part-*").count() / batches)))
 
 
 def land_scrambled(df: DataFrame, path: str, key: str, lots: int = 3) -> str:

@@ -42,7 +42,8 @@ def group_by_header(spark: SparkSession, paths: list[str], options: dict[str, st
         first = reader.csv(literal_path(path)).limit(1).collect()
         if not first:
             return ()
-        return tuple("" if name is None else name.removeprefix("﻿") for name in first[0])
+        names = [(name or "").removeprefix("﻿") for name in first[0]]
+        return tuple(name or f"_c{i}" for i, name in enumerate(names))
 
     with ThreadPoolExecutor(max_workers=16) as pool:
         found = list(pool.map(header, paths))

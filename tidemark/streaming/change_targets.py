@@ -18,6 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.cdc import (
@@ -35,6 +36,7 @@ from tidemark.streaming.sinks import for_each_batch
 from tidemark.streaming.tables import AuditedTable
 
 _END = "__end"
+_PERIODS = 16
 
 
 class ChangeTarget:
@@ -94,26 +96,28 @@ class ChangeTarget:
         keys = self.rules.keys
         no_end = F.lit(None).cast(points.schema[SEQ].dataType)
         no_row = F.lit(None).cast(points.schema[ROW].dataType)
-        span = points.groupBy(*keys).agg(F.min(SEQ).alias("__low"), F.max(SEQ).alias("__high"))
         # Every key's timeline starts with a tile without a start, so each point has a tile before it.
-        first = span.select(
-            *keys, no_end.alias(SEQ), no_end.alias(_END), F.lit(True).alias("__tile"), no_row.alias(ROW)
+        first = (
+            points.select(*keys)
+            .distinct()
+            .select(*keys, no_end.alias(SEQ), no_end.alias(_END), F.lit(True).alias("__tile"), no_row.alias(ROW))
         )
         marks = first.unionByName(
             points.select(*keys, SEQ, no_end.alias(_END), F.lit(False).alias("__tile"), ROW)
         )
         if not self.table.parts:
             return marks  # one row each already
-        lowest = points.agg(F.min(SEQ).cast("string")).first()[0]
-        near = self._tiles_near(span, F.lit(lowest).cast(points.schema[SEQ].dataType))
-        tiles = near.select(*keys, SEQ, _END, F.lit(True).alias("__tile"), no_row.alias(ROW))
-        # The end of a stored tile is the start of a stored point beyond it.
-        ends = near.where(F.col(_END).isNotNull()).select(
-            *keys, F.col(_END).alias(SEQ), no_end.alias(_END), F.lit(False).alias("__tile"), no_row.alias(ROW)
+        near = self._tiles_near(points)
+        # A stored tile, and its end: the start of a stored point beyond it. One scan gives both.
+        tile = F.struct(F.col(SEQ), F.col(_END), F.lit(True).alias("__tile"))
+        end = F.struct(F.col(_END).alias(SEQ), no_end.alias(_END), F.lit(False).alias("__tile"))
+        stored = (
+            near.select(*keys, F.inline(F.array(tile, end)))
+            .where(F.col("__tile") | F.col(SEQ).isNotNull())
+            .withColumn(ROW, no_row)
         )
         return (
-            marks.unionByName(tiles)
-            .unionByName(ends)
+            marks.unionByName(stored)
             .groupBy(*keys, SEQ)
             .agg(F.min(_END).alias(_END), F.max("__tile").alias("__tile"), F.max(ROW).alias(ROW))
         )
@@ -128,15 +132,27 @@ class ChangeTarget:
             *keys, SEQ, F.col("__next").alias(_END), ROW
         )
 
-    def _tiles_near(self, span: DataFrame, lowest: Column) -> DataFrame:
-        """Stored tiles that overlap the batch's span of their key; reads keys, start and end only."""
+    def _tiles_near(self, points: DataFrame) -> DataFrame:
+        """Stored tiles around the batch's points; reads keys, start and end only.
+
+        The points of a key are taken as spans of close points, at most ``_PERIODS`` of them, so that
+        one late event does not ask for all tiles between it and the newest ones.
+        """
         keys = self.rules.keys
+        place = _as_number(points)
+        low, high, lowest = points.agg(F.min(place), F.max(place), F.min(SEQ).cast("string")).first()
+        width = ((high - low) / _PERIODS if low is not None else 0.0) or 1.0
+        spans = points.groupBy(*keys, F.floor((place - F.lit(low)) / F.lit(width)).alias("__period")).agg(
+            F.min(SEQ).alias("__low"), F.max(SEQ).alias("__high")
+        )
         stored = self.table.read().select(*keys, SEQ, _END)
-        stored = stored.where(F.col(_END).isNull() | (F.col(_END) > lowest))
+        stored = stored.where(
+            F.col(_END).isNull() | (F.col(_END) > F.lit(lowest).cast(points.schema[SEQ].dataType))
+        )
         overlap = (F.col(SEQ).isNull() | (F.col(SEQ) <= F.col("__high"))) & (
             F.col(_END).isNull() | (F.col(_END) > F.col("__low"))
         )
-        return stored.join(span, keys).where(overlap).select(*keys, SEQ, _END)
+        return stored.join(spans, keys).where(overlap).select(*keys, SEQ, _END)
 
     def _fold_tiers(self) -> None:
         tier = 0
@@ -180,6 +196,16 @@ class ChangeTarget:
         return versions.select(*columns, F.col(SEQ).alias(START_AT), F.col(_END).alias(END_AT))
 
 
+def _as_number(points: DataFrame) -> Column:
+    """The sequence as a double, good enough to tell close points from distant ones."""
+    kind = points.schema[SEQ].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(SEQ).cast("double")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(SEQ).cast("timestamp")).cast("double")
+    return F.lit(0.0)
+
+
 def _tier(part: str) -> int:
     owner = part.rpartition("/")[0]
     return int(owner.removeprefix("tier-")) if owner.startswith("tier-") else 0

@@ -135,8 +135,13 @@ def ingest_files(
 
 def _evolve(spark, log: SchemaLog, groups, options) -> T.StructType:
     version, known = log.read()
-    names = set(known.names)
-    new = list(dict.fromkeys(n for header in groups for n in header if n not in names))
+    # Names that differ in case only are one column; the other spellings are rescued.
+    taken = {n.lower() for n in known.names}
+    new = []
+    for name in (n for header in groups for n in header):
+        if name.lower() not in taken:
+            taken.add(name.lower())
+            new.append(name)
     if not new:
         return known
     found = infer_columns(spark, groups, new, options)
