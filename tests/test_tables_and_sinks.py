@@ -65,7 +65,7 @@ def test_triggers_and_names():
         trigger_options("processing_time")
     with pytest.raises(ValueError, match="unknown trigger"):
         trigger_options("once")
-    assert safe_name("banco.pagos-v1 ñ") == "banco_pagos_v1__"
+    assert safe_name("cards.payments-v1 ñ") == "cards_payments_v1__"
 
 
 def test_catalog_sink_restarts_without_reprocessing(spark, base):
@@ -156,12 +156,49 @@ def test_cursor_filter_is_pushed_to_the_source(spark, base, capsys):
     assert "GreaterThanOrEqual(changed,2024-01-01T00:00)" in capsys.readouterr().out
 
 
-def test_jdbc_reader_checks(spark):
-    with pytest.raises(ValueError, match="lower, upper"):
-        jdbc_reader(spark, "jdbc:x", "t", partition_column="c", partitions=8)
-    with pytest.raises(ValueError, match="partition_column"):
-        jdbc_reader(spark, "jdbc:x", "t", partitions=8)
-    assert callable(jdbc_reader(spark, "jdbc:x", "t", {}, "c", "0", "9", 8))
+class RecordedReader:
+    """Stands in for ``spark.read``: keeps the options and answers the query for the bounds."""
+
+    def __init__(self, answer, log):
+        self.answer, self.log, self.seen = answer, log, {}
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.seen.update(options)
+        return self
+
+    def option(self, name, value):
+        self.seen[name] = value
+        return self
+
+    def load(self):
+        self.log.append(self.seen)
+        return self.answer
+
+
+@pytest.mark.parametrize(
+    "low, high, bounds",
+    [
+        ("timestamp'2024-01-01 00:00:00'", "timestamp'2024-02-01 10:00:00.5'", ("2024-01-01 00:00:00", "2024-02-01 10:00:00.5")),
+        ("cast(3.7 as decimal(9,2))", "cast(99.2 as decimal(9,2))", ("3", "99")),
+        ("cast(null as bigint)", "cast(null as bigint)", None),
+    ],
+)
+def test_jdbc_reads_are_partitioned_by_the_range_found(spark, low, high, bounds):
+    log, answer = [], spark.sql(f"select {low} as low, {high} as high")
+    session = type("Session", (), {"read": property(lambda _: RecordedReader(answer, log))})()
+    jdbc_reader(session, "jdbc:x", "public.cuota", "changed", {"user": "u"}, 8)()
+    asked, whole = log
+    assert asked["query"] == "SELECT MIN(changed) AS low, MAX(changed) AS high FROM public.cuota"
+    assert (whole["dbtable"], whole["user"], whole["url"]) == ("public.cuota", "u", "jdbc:x")
+    if bounds is None:
+        assert "partitionColumn" not in whole
+    else:
+        assert (whole["partitionColumn"], whole["numPartitions"]) == ("changed", 8)
+        assert (whole["lowerBound"], whole["upperBound"]) == bounds
 
 
 def test_core_tables_to_silver_views(spark, base):

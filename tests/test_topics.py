@@ -1,12 +1,23 @@
 """Reader options, Avro payloads, and the topic job."""
 
 import json
+import os
 import struct
+import subprocess
+import sys
 from datetime import date, datetime
 
 import pytest
-
-from tidemark.functions.avro import decode_avro, encode_avro, record_struct, split_envelope
+from pyspark import cloudpickle
+
+from tidemark.functions.avro import (
+    _batch_decoder,
+    decode_avro,
+    encode_avro,
+    record_fields,
+    record_struct,
+    split_envelope,
+)
 from tidemark.plans.jobs import decode_topic, ingest_topic
 from tidemark.sources.topics import TOPIC_SCHEMA, default_subject, kafka_options, read_topic_files, subject_schemas
 from tidemark.streaming.sinks import drain
@@ -72,6 +83,14 @@ def test_hand_made_bytes(spark):
     assert {r["source_environment"] for r in rows} == {"dev"} and [r["kafka_key"] for r in rows] == ["k0", "k1", "k2", "k3"]
 
 
+def test_the_decoder_needs_no_package_on_the_executor():
+    decode = _batch_decoder({1: record_fields(ONE)}, record_fields(ONE), "FAILFAST", "event")
+    code = "import pickle, sys; print(pickle.load(sys.stdin.buffer).__name__)"
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(decode), cwd="/", env=clean, capture_output=True)
+    assert done.stdout.strip().endswith(b"decode"), done.stderr
+
+
 def test_two_schema_versions_in_one_batch(spark):
     values = [payload("a", 1, 1, 1.0, 1), payload("b", 2, 2, 2.0, 2, "m", 2), payload("c", 3, 3, 3.0, 3, None, 2)]
     rows = decoded(spark, values, {1: ONE, 2: TWO})
@@ -87,6 +106,9 @@ BROKEN = [
     b"\x00\x00\x00\x00\x01" + varint(2) + b"\xff\xfe" + varint(1) + varint(1) + struct.pack("<d", 1) + varint(1),
     b"\x00\x00\x00\x00\x01" + b"\xff" * 11,
     b"\x00\x00\x00\x00\x01" + varint(-5),
+    b"\x00\x00\x00\x00\x01" + varint(2**63 - 1) + b"abc",
+    b"\x07\xff\xff\xff\xff\xff",
+    b"\x00\xff\xff\xff\xff\xff",
 ]
 
 

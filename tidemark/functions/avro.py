@@ -8,16 +8,21 @@ batches and covers flat records of the types below.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The codec travels with its tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MODES = ("FAILFAST", "PERMISSIVE")
 
 # Avro type and logical type, Spark type, Arrow type.
@@ -38,10 +43,11 @@ _TYPES = {
 def split_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``magic``, ``schema_id`` and ``body``; all NULL where the value is NULL.
 
-    A value too short for the envelope has no ``schema_id`` and an empty ``body``.
+    A value too short for the envelope has an empty ``body``; it and one whose id is not a
+    positive integer have no ``schema_id``.
     """
     raw = F.col(value)
-    schema_id = F.conv(F.hex(F.substring(raw, 2, 4)), 16, 10).cast("int")
+    schema_id = F.conv(F.hex(F.substring(raw, 2, 4)), 16, 10).try_cast("int")
     return df.select(
         "*",
         F.conv(F.hex(F.substring(raw, 1, 1)), 16, 10).cast("int").alias("magic"),
@@ -184,6 +190,7 @@ class _Cursors:
     """A read position per payload of a batch; a payload that runs short is marked failed."""
 
     def __init__(self, bodies: pa.Array):
+        bodies = bodies.cast(pa.binary())
         _, offsets, data = bodies.buffers()
         start = bodies.offset
         bounds = np.frombuffer(offsets, dtype=np.int32)[start : start + len(bodies) + 1].astype(np.int64)
@@ -193,7 +200,7 @@ class _Cursors:
         self.failed = np.zeros(len(bodies), dtype=bool)
 
     def _available(self, rows: np.ndarray, size) -> np.ndarray:
-        enough = (size >= 0) & (self.at[rows] + size <= self.end[rows])
+        enough = (size >= 0) & (size <= self.end[rows] - self.at[rows])
         self.failed[rows[~enough]] = True
         return rows[enough]
 

@@ -119,6 +119,7 @@ def scd2(
 
     ``collapse_unchanged`` opens a new version only where a tracked column (default: every kept
     column but the sequence) or the delete flag differs from the key's previous event.
+    Unless ``hot_rows`` is None, a job that counts rows per key runs when the function is called.
     """
     rules = ChangeRules(keys, sequence_by, apply_as_deletes, except_columns or [], tie_breakers or [])
     kept = rules.kept_columns(log.columns)

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def pull_by_cursor(read: Callable[[], DataFrame], cursor: str, last_value: str | None = None) -> DataFrame:
@@ -29,29 +30,43 @@ def jdbc_reader(
     spark: SparkSession,
     url: str,
     table: str,
+    partition_column: str,
     properties: dict[str, str] | None = None,
-    partition_column: str | None = None,
-    lower: str | None = None,
-    upper: str | None = None,
-    partitions: int = 1,
+    partitions: int = 16,
     fetch_size: int = 10_000,
 ) -> Callable[[], DataFrame]:
-    """A reader of a database table for :func:`pull_by_cursor`.
+    """A reader of a database table for :func:`pull_by_cursor`, with ``partitions`` parallel reads.
 
-    Without ``partition_column`` one task reads the whole result; give a numeric, date or
-    timestamp column with its bounds and a number of partitions for a large table.
+    ``partition_column`` is numeric, date or timestamp, for example the cursor. Its range is asked
+    from the database at each read; it only places the cuts, so no row is left out.
     """
-    reader = spark.read.format("jdbc").options(**(properties or {}))
-    reader = reader.option("url", url).option("dbtable", table).option("fetchsize", fetch_size)
-    if partition_column:
-        if lower is None or upper is None or partitions < 2:
-            raise ValueError("a partitioned read needs lower, upper and at least 2 partitions")
-        reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", lower)
-            .option("upperBound", upper)
+    if partitions < 1:
+        raise ValueError("partitions must be at least 1")
+
+    def source() -> DataFrameReader:
+        return spark.read.format("jdbc").options(**(properties or {})).option("url", url)
+
+    def read() -> DataFrame:
+        whole = source().option("dbtable", table).option("fetchsize", fetch_size)
+        asked = f"SELECT MIN({partition_column}) AS low, MAX({partition_column}) AS high FROM {table}"
+        found = source().option("query", asked).load()
+        found = found.select(*[_bound(found, name) for name in found.columns]).first()
+        if found[0] is None or partitions == 1:
+            return whole.load()
+        return (
+            whole.option("partitionColumn", partition_column)
+            .option("lowerBound", found[0])
+            .option("upperBound", found[1])
             .option("numPartitions", partitions)
+            .load()
         )
-    elif partitions != 1:
-        raise ValueError("a partitioned read needs partition_column")
-    return reader.load
+
+    return read
+
+
+def _bound(found: DataFrame, name: str) -> Column:
+    """A bound as the text the reader takes: whole numbers, dates or timestamps."""
+    column = F.col(name)
+    if isinstance(found.schema[name].dataType, T.NumericType):
+        column = column.cast("bigint")
+    return column.cast("string")
