@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.csv_lots import RESCUED
 
+# The output names of the two lot reports.
+
 
 def group_counts(df: DataFrame, *keys: str, name: str = "count") -> DataFrame:
     """Rows per key combination, NULL being a group, in key order with NULLs first."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cdc import END_AT, START_AT, current_versions
 
+# The expectation's name and condition, and the column names of the views below.
 CUSTOMER_EXPECTATIONS = {"tipdoc_no_nulo": "cod_tipodoc IS NOT NULL"}
 
 

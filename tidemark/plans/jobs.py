@@ -20,6 +20,7 @@ from tidemark.streaming.files import change_feed_columns, ingest_files
 from tidemark.streaming.sinks import append_audited, append_stream, safe_name
 from tidemark.streaming.tables import AuditedTable, refresh_view
 
+# Columns and rules of the product feed.
 PRODUCT_FEED = (
     T.StructType()
     .add("codigo", "string")
@@ -33,7 +34,7 @@ PRODUCT_RULES = ChangeRules(
     apply_as_deletes="operation = 'DELETE'",
     except_columns=["_source_metadata", "operation", "event_ts", "_ingested_at"],
 )
-# Primary key, SCD type of the four core tables; all are pulled by the same cursor column.
+# Primary key and SCD type of the four core tables, and the cursor column of all.
 CORE_TABLES = {
     "cliente": ("cliente_id", 2),
     "cuenta": ("cuenta_id", 1),

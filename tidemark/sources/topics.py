@@ -16,6 +16,7 @@ TOPIC_SCHEMA = (
     .add("timestamp", "timestamp")
     .add("timestampType", "integer")
 )
+# Names of the topic metadata columns.
 METADATA_COLUMNS = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "kafka_timestamp_type"]
 
 

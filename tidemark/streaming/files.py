@@ -51,6 +51,7 @@ class SchemaLog:
         line.write.mode("overwrite").text(f"{self.path}/version={version}")
 
 
+# The names of the technical columns in the two functions below.
 def lot_columns() -> dict[str, Column]:
     """Ingest time and source file name, the technical columns of a lot table."""
     return {
