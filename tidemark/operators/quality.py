@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -41,9 +39,3 @@ def _counters(rules: dict[str, str | Column], names: list[str] | None = None) ->
         passed, failed = (f"{names[i]}_passed", f"{names[i]}_failed") if names else (f"p{i}", f"f{i}")
         counters += [F.count_if(holds).alias(passed), F.count_if(~holds).alias(failed)]
     return counters
-
-
-def all_hold(rules: dict[str, str]) -> Column:
-    """Whether a row meets every rule."""
-    conditions = [F.coalesce(F.expr(rule), F.lit(False)) for rule in rules.values()]
-    return reduce(Column.__and__, conditions, F.lit(True))
