@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tidemark.llm import secret_scans
 from tidemark.llm.byte_bpe import op4_byte_bpe
 from tidemark.llm.packing import op1_best_fit_packing
+from tidemark.llm.secret_scans import op8_secret_scans
 from tidemark.llm.token_counts import op5_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_byte_bpe, op5_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_byte_bpe, op5_token_counts, op8_secret_scans)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_secret_scans": secret_scans.oracle()}
