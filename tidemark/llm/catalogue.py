@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from tidemark.llm import secret_scans
+from tidemark.llm import exact_search, secret_scans
 from tidemark.llm.byte_bpe import op4_byte_bpe
+from tidemark.llm.exact_search import op6_exact_search
+from tidemark.llm.forest_search import op2_forest_search
 from tidemark.llm.packing import op1_best_fit_packing
 from tidemark.llm.secret_scans import op8_secret_scans
 from tidemark.llm.token_counts import op5_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_byte_bpe, op5_token_counts, op8_secret_scans)}
+_ALL = (
+    op1_best_fit_packing,
+    op2_forest_search,
+    op4_byte_bpe,
+    op5_token_counts,
+    op6_exact_search,
+    op8_secret_scans,
+)
 
-ORACLES: dict[str, str] = {"op8_secret_scans": secret_scans.oracle()}
+QUERIES = {f.__name__: f for f in _ALL}
+
+ORACLES: dict[str, str] = {
+    "op6_exact_search": exact_search.ORACLE,
+    "op8_secret_scans": secret_scans.oracle(),
+}

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import re
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tidemark.llm
 from tidemark.workspace import scratch_path
 
+# Functions go to the workers with their tasks, wherever the driver found this package.
+cloudpickle.register_pickle_by_value(tidemark.llm)
+
 # The characters of Unicode's White_Space property, which the tokenizers' \s stands for.
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 

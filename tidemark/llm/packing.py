@@ -16,7 +16,6 @@ from __future__ import annotations
 import math
 import unicodedata
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WHITE_SPACE, Cache, small_batches, table, with_row_id, written
+from tidemark.llm.token_counts import load_tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -155,13 +155,6 @@ def pack(
     return result.drop("released")
 
 
-@lru_cache(2)
-def _tokenizer(path: str):
-    from tidemark.llm.token_counts import load_tokenizer
-
-    return load_tokenizer(path)
-
-
 class WordEncoder:
     """Ids of texts under a tokenizer that lower-cases and drops white space, unit by unit.
 
@@ -177,7 +170,7 @@ class WordEncoder:
     ODD_SPACE = regex.compile("[\x1c-\x1f]")
 
     def __init__(self, path: str, bound: int = 300_000):
-        self.tokenizer = _tokenizer(path)
+        self.tokenizer = load_tokenizer(path)
         self.units, self.words = Cache(bound), Cache(bound)
 
     def split(self, text: str) -> list[str]:

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -27,7 +26,6 @@ VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
 
 
-@lru_cache(2)
 def load_tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
