@@ -45,33 +45,40 @@ QUERY_BLOCK = 1_024
 class Tree:
     """Nodes in depth-first order; ``low`` and ``high`` are children, -1 at leaves."""
 
-    def __init__(self, sample: np.ndarray, leaf: int, seed: int):
-        self.random = np.random.default_rng(seed)
-        self.normal: list[np.ndarray] = []
-        self.cut: list[float] = []
-        self.low: list[int] = []
-        self.high: list[int] = []
+    def __init__(self, normal: np.ndarray, cut: np.ndarray, low: np.ndarray, high: np.ndarray):
+        self.normal, self.cut, self.low, self.high = normal, cut, low, high
+
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        return self.normal, self.cut, self.low, self.high
+
+    @classmethod
+    def grown(cls, sample: np.ndarray, leaf: int, seed: int) -> Tree:
+        random = np.random.default_rng(seed)
+        normals: list[np.ndarray] = []
+        cuts: list[float] = []
+        low: list[int] = []
+        high: list[int] = []
         todo = [(np.arange(len(sample)), -1, 0)]
         while todo:
             rows, parent, side = todo.pop()
-            node = len(self.cut)
+            node = len(cuts)
             if parent >= 0:
-                (self.high if side else self.low)[parent] = node
-            split = self.split(sample[rows]) if len(rows) > leaf else None
-            self.normal.append(split[0] if split else np.zeros(sample.shape[1]))
-            self.cut.append(split[1] if split else 0.0)
-            self.low.append(-1)
-            self.high.append(-1)
+                (high if side else low)[parent] = node
+            split = cls.split(sample[rows], random) if len(rows) > leaf else None
+            normals.append(split[0] if split else np.zeros(sample.shape[1]))
+            cuts.append(split[1] if split else 0.0)
+            low.append(-1)
+            high.append(-1)
             if split:
                 above = sample[rows] @ split[0] > split[1]
                 todo += [(rows[above], node, 1), (rows[~above], node, 0)]
-        self.normal, self.cut = np.array(self.normal), np.array(self.cut)
-        self.low, self.high = np.array(self.low), np.array(self.high)
+        return cls(np.array(normals), np.array(cuts), np.array(low), np.array(high))
 
-    def split(self, points: np.ndarray) -> tuple[np.ndarray, float] | None:
+    @staticmethod
+    def split(points: np.ndarray, random: np.random.Generator) -> tuple[np.ndarray, float] | None:
         """Normal and cut of a plane with points on both sides, or None after a few draws."""
         for _ in range(5):
-            a, b = points[self.random.choice(len(points), 2, replace=False)]
+            a, b = points[random.choice(len(points), 2, replace=False)]
             for _ in range(6):
                 nearer = points @ (a - b) > (a + b) @ (a - b) / 2
                 if nearer.all() or not nearer.any():
@@ -185,32 +192,33 @@ def search(
     known = written(classes(rows, keep), "classes")
     total = known.count()
     points = known.orderBy(F.xxhash64("vector"), "class_id").limit(sample).select("vector").toArrow()
-    forest = spark.sparkContext.broadcast([Tree(matrix(points.column(0).combine_chunks(), max(width, 1)), leaf, s) for s in range(trees)])
+    at_points = matrix(points.column(0).combine_chunks(), max(width, 1))
+    grown = [Tree.grown(at_points, leaf, seed) for seed in range(trees)]
+    forest = spark.sparkContext.broadcast([tree.arrays() for tree in grown])
 
     def route(parts):
+        walked = [Tree(*arrays) for arrays in forest.value]
         for batch in parts:
             at = matrix(batch.column(1), width)
-            routed = [pa.array(tree.route(at), pa.int32()) for tree in forest.value]
-            leaves = pa.FixedSizeListArray.from_arrays(pa.concat_arrays(routed), len(at)) if len(at) else None
-            if leaves is not None:
-                by_row = np.stack([r.to_numpy() for r in routed], 1).tolist()
-                columns = [*batch.columns, pa.array(by_row, pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["class_id", "vector", "ids", "leaves"])
+            leaves = np.stack([tree.route(at) for tree in walked], 1).tolist()
+            columns = [*batch.columns, pa.array(leaves, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["class_id", "vector", "ids", "leaves"])
 
     shape = "class_id long, vector array<double>, ids array<long>, leaves array<int>"
     routed = written(known.mapInArrow(route, shape), "routed")
     per_leaf = routed.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect()
-    plan = spark.sparkContext.broadcast(_plan(forest.value, per_leaf))
+    plan = spark.sparkContext.broadcast(_plan(grown, per_leaf))
     query_blocks = max(1, math.ceil(rows.where("asked").count() / QUERY_BLOCK))
     enough = max(AT_LEAST, visit * total) * _repeats(visit, trees)
 
     def ask(parts):
         held, group_of, _ = plan.value
+        walked = [Tree(*arrays) for arrays in forest.value]
         for batch in parts:
             out = []
             for class_id, query in zip(batch.column(0).to_pylist(), matrix(batch.column(1), width)):
                 visits: dict[int, list[int]] = {}
-                for t, node in visited_leaves(forest.value, held, query, enough):
+                for t, node in visited_leaves(walked, held, query, enough):
                     visits.setdefault(int(group_of[t][node]), []).append(node)
                 out += [(g, class_id, query, nodes) for g, nodes in visits.items()]
             if out:
