@@ -6,6 +6,8 @@ from tidemark.llm import exact_search, secret_scans
 from tidemark.llm.byte_bpe import op4_byte_bpe
 from tidemark.llm.exact_search import op6_exact_search
 from tidemark.llm.forest_search import op2_forest_search
+from tidemark.llm.language_id import op9_language_id
+from tidemark.llm.minhash import op7_minhash_dedup
 from tidemark.llm.packing import op1_best_fit_packing
 from tidemark.llm.secret_scans import op8_secret_scans
 from tidemark.llm.token_counts import op5_token_counts
@@ -16,7 +18,9 @@ _ALL = (
     op4_byte_bpe,
     op5_token_counts,
     op6_exact_search,
+    op7_minhash_dedup,
     op8_secret_scans,
+    op9_language_id,
 )
 
 QUERIES = {f.__name__: f for f in _ALL}
