@@ -10,11 +10,13 @@ from tidemark.llm.language_id import op9_language_id
 from tidemark.llm.minhash import op7_minhash_dedup
 from tidemark.llm.packing import op1_best_fit_packing
 from tidemark.llm.secret_scans import op8_secret_scans
+from tidemark.llm.suffix_dedup import op3_suffix_dedup
 from tidemark.llm.token_counts import op5_token_counts
 
 _ALL = (
     op1_best_fit_packing,
     op2_forest_search,
+    op3_suffix_dedup,
     op4_byte_bpe,
     op5_token_counts,
     op6_exact_search,
