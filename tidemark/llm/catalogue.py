@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm import exact_search, secret_scans
 from tidemark.llm.byte_bpe import op4_byte_bpe
+from tidemark.llm.chat_format import op10_chat_format
 from tidemark.llm.exact_search import op6_exact_search
 from tidemark.llm.forest_search import op2_forest_search
 from tidemark.llm.language_id import op9_language_id
@@ -23,6 +24,7 @@ _ALL = (
     op7_minhash_dedup,
     op8_secret_scans,
     op9_language_id,
+    op10_chat_format,
 )
 
 QUERIES = {f.__name__: f for f in _ALL}

@@ -282,6 +282,23 @@ def predict(df: DataFrame, key: str, text: str, model: Model | None) -> DataFram
     return df.select(key, text).mapInArrow(batches, f"`{key}` {kind}, lang_pred string, score double")
 
 
+def keep_identified(df: DataFrame, text: str, model: Model | None) -> DataFrame:
+    """The rows of ``df`` whose text has a language."""
+    small_batches(df.sparkSession)
+    if model is None:
+        return df.limit(0)
+    shared = df.sparkSession.sparkContext.broadcast(model.arrays())
+    place = df.columns.index(text)
+
+    def batches(parts):
+        own, table_of = Model.of(shared.value), script_table()
+        for batch in parts:
+            names, _ = own.predict([t or "" for t in batch.column(place).to_pylist()], table_of)
+            yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+
+    return df.mapInArrow(batches, df.schema)
+
+
 def label_spans(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
     """(``key``, start, end, lang): spans of equal language in code points, from a first word to a last one."""
     small_batches(df.sparkSession)
@@ -314,11 +331,14 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, source: DataFrame | None = None) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) for ``docs``, learned from the rows of ``source`` that are not held out."""
-    source = docs if source is None else source
-    model = fit(source.where(~held_out("doc_id") & F.col("doc_id").isNotNull()).select("lang", "text"))
-    found = predict(docs, "doc_id", "text", model)
+def learned(docs: DataFrame) -> Model | None:
+    """A model of the documents that are not held out."""
+    return fit(docs.where(~held_out("doc_id") & F.col("doc_id").isNotNull()).select("lang", "text"))
+
+
+def identify(docs: DataFrame) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score), learned from the rows that are not held out."""
+    found = predict(docs, "doc_id", "text", learned(docs))
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 

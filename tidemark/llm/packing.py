@@ -116,13 +116,11 @@ def pack(
 ) -> DataFrame:
     """Adds ``sequence_id``, ``offset`` and ``certified`` to rows with ``length`` from 1 to ``capacity``.
 
-    Other columns are carried along. Rows whose length is null or out of range are an error. An empty
-    table gives an empty result. ``row_id`` (long, unique) must be there; it breaks ties. Ids of
-    sequences are unique, not dense.
+    Other columns are carried along; one named like a result gives way to it. Rows whose length is null
+    or out of range are an error. An empty table gives an empty result. ``row_id`` (long, unique) must be
+    there; it breaks ties. Ids of sequences are unique, not dense.
     """
-    added = {"sequence_id", "offset", "certified", "released"}
-    if clash := added & set(df.columns):
-        raise ValueError(f"columns {sorted(clash)} are given by packing")
+    df = df.drop("sequence_id", "offset", "certified", "released")
     wrong = F.col("length").isNull() | (F.col("length") < 1) | (F.col("length") > capacity)
     length = F.when(wrong, F.raise_error(F.lit(f"a length is not from 1 to {capacity}"))).otherwise(F.col("length"))
     current = df.withColumn("length", length.cast("long")).withColumns(

@@ -137,10 +137,9 @@ def find_secrets(df: DataFrame, keys: list[str], text: str, rules: tuple[Rule, .
 
 def redact(df: DataFrame, keys: list[str], text: str, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
     """``df`` with every span of its ``text`` replaced; overlapping and touching spans by one mark."""
-    if clash := {"key", "cuts"} & set(df.columns):
-        raise ValueError(f"columns {sorted(clash)} are used by redact")
-    keyed = df.withColumn("key", text_key(df, keys, text))
-    spans = matches(keyed.select("key", F.col(text).alias("text")), rules)
+    rows = df.select(text_key(df, keys, text).alias("key"), F.struct(*[df[c] for c in df.columns]).alias("row"))
+    own = F.col("row")[text]
+    spans = matches(rows.select("key", own.alias("text")), rules)
     order = Window.partitionBy("key").orderBy("start", "end")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(F.col("start") > F.coalesce(before, F.lit(-1)), 1).otherwise(0)
@@ -149,10 +148,11 @@ def redact(df: DataFrame, keys: list[str], text: str, rules: tuple[Rule, ...] =
     cuts = merged.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
     # What stays: from each cut's end (first: 0) to the next one's start (last: the text's end).
     begins = F.concat(F.array(F.lit(0).cast("long")), F.col("cuts.end"))
-    ends = F.concat(F.col("cuts.start"), F.array(F.length(text).cast("long")))
-    kept = F.zip_with(begins, ends, lambda b, e: F.substring(F.col(text), (b + 1).cast("int"), (e - b).cast("int")))
-    changed = F.when(F.col("cuts").isNotNull(), F.array_join(kept, mark)).otherwise(F.col(text))
-    return keyed.join(cuts, "key", "left").withColumn(text, changed).select(*df.columns)
+    ends = F.concat(F.col("cuts.start"), F.array(F.length(own).cast("long")))
+    kept = F.zip_with(begins, ends, lambda b, e: F.substring(own, (b + 1).cast("int"), (e - b).cast("int")))
+    changed = F.when(F.col("cuts").isNotNull(), F.array_join(kept, mark)).otherwise(own)
+    values = [changed.alias(c) if c == text else F.col("row")[c].alias(c) for c in df.columns]
+    return rows.join(cuts, "key", "left").select(*values)
 
 
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

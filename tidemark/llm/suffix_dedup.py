@@ -465,11 +465,12 @@ def repeated_blocks(base: DataFrame, length: int) -> list:
         depth *= WIDEN
 
 
-def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, as_text: bool = False) -> DataFrame:
     """(row, kept, n_bytes, n_removed, n_spans) per row of ``df``.
 
     ``row`` holds the columns other than ``text``; ``kept`` the bytes not covered by any string of ``length``
-    bytes that starts at two places.
+    bytes that starts at two places. With ``as_text`` they are text, without the rests of characters that
+    were removed in part.
     """
     base = shards(df, text, length)
     told = repeated_blocks(base, length)
@@ -530,6 +531,9 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH) -> D
     told_all = [*told_groups, ("windows", _back(equal.where("n > 1"), "windows"))]
     final = _joined(base, told_all, [*with_text, "rows"])
 
+    def strings(kept: list[bytes]) -> pa.Array:
+        return pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+
     def keep(parts):
         for batch in parts:
             for i in range(len(batch)):
@@ -553,11 +557,11 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH) -> D
                     kept.append(np.frombuffer(text, np.uint8)[~mask].tobytes() if removed[-1] else text)
                 numbers = [pa.array(x, pa.int64()) for x in (sizes, removed, spans)]
                 yield pa.RecordBatch.from_arrays(
-                    [row["rows"].values, pa.array(kept, pa.binary()), *numbers], names=["row", "kept", "n_bytes", "n_removed", "n_spans"]
+                    [row["rows"].values, strings(kept), *numbers], names=["row", "kept", "n_bytes", "n_removed", "n_spans"]
                 )
 
     kind = base.schema["rows"].dataType.elementType.simpleString()
-    return final.mapInArrow(keep, f"row {kind}, kept binary, n_bytes long, n_removed long, n_spans long")
+    return final.mapInArrow(keep, f"row {kind}, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long")
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
