@@ -12,7 +12,7 @@ length L, a query of length Q needs a cosine of threshold / (L * Q):
 * below, only the vectors long enough to reach the threshold at a cosine of 1 are.
 
 Products of candidates are then verified exactly. Pruning allows for rounding, so results are exact. Where
-scores might pass 2^53 they are summed as Python integers; one beyond a long is cut to the range of longs.
+scores might pass 2^53 they are summed as Python integers; one beyond a long becomes the greatest or least of them.
 
 Defined results: null vectors and those that hold null or non-finite components take no part, nor do
 vectors of another length than most; zero vectors do. An empty table gives an empty result; other columns
@@ -82,15 +82,18 @@ def _one_list(column: pa.ChunkedArray) -> pa.ListArray:
 def allowed(unit: np.ndarray, direction: np.ndarray, cosine: float, focus: int) -> np.ndarray:
     """Which rows of ``unit`` can have ``cosine`` or more with ``direction``, by its largest coordinates.
 
-    With x the query's coordinate, the rest of the two vectors can add at most sqrt(1 - x^2) sqrt(1 - y^2),
-    so y lies between x * cosine -+ sqrt((1 - x^2)(1 - cosine^2)); beyond the point where y = x alone
-    suffices there is no bound on that side.
+    The angle between a vector and an axis differs from the query's by at most the angle of ``cosine``. So
+    with x the query's coordinate, y lies between x * cosine -+ sqrt((1 - x^2)(1 - cosine^2)), and where the
+    axis itself is within that angle of the query (or its opposite) there is no bound on that side.
     """
     keep = np.ones(len(unit), bool)
     for f in np.argsort(-np.abs(direction))[:focus]:
         x = direction[f]
         reach = math.sqrt(max(0.0, (1 - x * x) * (1 - cosine * cosine)))
-        keep &= (unit[:, f] >= x * cosine - reach - SLACK) & (unit[:, f] <= x * cosine + reach + SLACK)
+        if x > -cosine:
+            keep &= unit[:, f] >= x * cosine - reach - SLACK
+        if x < cosine:
+            keep &= unit[:, f] <= x * cosine + reach + SLACK
     return keep
 
 
@@ -149,7 +152,7 @@ def best(q: int, rows, scores, threshold: float, first, limit: int):
     # Each class has a row at least, so the first of them by score and id suffice.
     order = sorted(reached.tolist(), key=lambda i: (-scores[i], first[rows[i]]))[:limit]
     for i in order:
-        yield q, int(rows[i]), max(-(2**63), min(2**63 - 1, int(scores[i])))
+        yield q, int(rows[i]), max(1 - 2**63, min(2**63 - 1, int(scores[i])))
 
 
 def search(df: DataFrame, ids: str, components, is_query, limit: int = 5) -> DataFrame:
