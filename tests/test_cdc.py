@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.cdc import ChangeRules, current_versions, scd1, scd2, split_rejects
+from tidemark.operators.neighbours import cut_points
 from tidemark.operators.views import loan_current, loan_history
 from tidemark.streaming.change_targets import ChangeTarget, merge_into
 
@@ -140,8 +141,36 @@ def test_arguments_are_checked(spark):
         scd1(log, ["codigo"], "other")
     with pytest.raises(ValueError, match="cannot be left out"):
         scd1(log, ["codigo"], "event_ts", except_columns=["codigo"])
-    with pytest.raises(TypeError, match="numeric, date or timestamp"):
-        scd2(log, ["codigo"], "descripcion", hot_rows=1)
+
+
+@pytest.mark.parametrize("collapse", [False, True])
+def test_segments_of_text_sequences(spark, collapse):
+    log = spark.createDataFrame(random_log(3), SCHEMA).withColumn("event_ts", F.col("event_ts").cast("string"))
+    plain = scd2(log, hot_rows=None, collapse_unchanged=collapse, **ARGS)
+    for hot_rows in (1, 9, 80):
+        assert rows(scd2(log, hot_rows=hot_rows, collapse_unchanged=collapse, **ARGS)) == rows(plain)
+
+
+def test_segments_follow_the_rows_of_their_key(spark):
+    numbers = [("big", i) for i in range(5000)] + [("small", i) for i in range(60)] + [("cold", 1)]
+    cuts = cut_points(spark.createDataFrame(numbers, "k string, s long"), ["k"], "s", 50)
+    found = {r["k"]: len(r["__cuts"] or []) for r in cuts.collect()}
+    assert set(found) == {"big", "small"} and found["big"] >= 90 and found["small"] <= 5
+
+
+def test_payloads_with_maps(spark, base):
+    shape = "k string, s int, m map<string,int>, op string"
+    log = spark.createDataFrame([("a", 1, {"x": 1}, "U"), ("a", 1, {"y": 2}, "U"), ("a", 2, None, "U"), ("b", 1, {}, "U"), ("b", 2, {"z": 1}, "D")], shape)
+    rules = dict(keys=["k"], sequence_by="s", apply_as_deletes="op = 'D'", except_columns=["s", "op"])
+    assert rows(scd1(log, **rules)) == [("a", None)]
+    want = [("a", None, 2, None), ("a", {"y": 2}, 1, 2), ("b", {}, 1, 2)]
+    assert rows(scd2(log, **rules)) == rows(scd2(log, hot_rows=1, **rules)) == want
+    assert rows(scd2(log, collapse_unchanged=True, hot_rows=1, **rules)) == want
+    for scd_type, expected in ((1, [("a", None)]), (2, want)):
+        target = ChangeTarget(spark, f"{base}/{scd_type}", ChangeRules(**rules), scd_type)
+        target.merge(log.where("s = 2"), "w", 0)
+        target.merge(log.where("s = 1"), "w", 1)
+        assert rows(target.read()) == expected
 
 
 def random_log(seed, size=400, keys=12):

@@ -6,6 +6,7 @@ Rules shared by the batch functions here and the incremental targets in ``stream
 * events are ordered by the sequence column, never by arrival;
 * of several events with one key and sequence the last by tie-breakers wins, then by the kept
   columns themselves, so the winner does not depend on arrival order;
+* maps cannot be ordered, so a point holds a map column as its sorted entries and gives it back as a map;
 * a delete predicate that evaluates to NULL is not a delete;
 * events with a NULL key or NULL sequence are not applied, see :func:`split_rejects`.
 """
@@ -16,8 +17,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.neighbours import HOT_ROWS, Timeline, find_hot_keys, hot_key_frame
+from tidemark.operators.neighbours import HOT_ROWS, Timeline, hot_keys, written
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -56,15 +58,40 @@ class ChangeRules:
         kept = self.kept_columns(log.columns)
         deleted = F.coalesce(F.expr(self.apply_as_deletes), F.lit(False)) if self.apply_as_deletes else F.lit(False)
         ties = [F.col(c).alias(f"__tie{i}") for i, c in enumerate(self.tie_breakers)]
-        payload = [F.col(c) for c in kept if c not in self.keys]
+        payload = [_held(log.schema[c]) for c in kept if c not in self.keys]
         return log.where(self.is_applicable()).select(
             *self.keys,
             F.col(self.sequence_by).alias(SEQ),
             F.struct(*ties, deleted.alias(DELETED), *payload).alias(ROW),
         )
 
-    def unpack(self, kept: list[str]) -> list[Column]:
-        return [F.col(c) if c in self.keys else F.col(f"{ROW}.`{c}`").alias(c) for c in kept]
+    def unpack(self, kept: list[str], points: DataFrame) -> list[Column]:
+        """The kept columns of ``points`` as they came."""
+        held = points.schema[ROW].dataType.names
+
+        def given(name: str) -> Column:
+            if name in self.keys:
+                return F.col(name)
+            if _ENTRIES + name in held:
+                return F.map_from_entries(F.col(f"{ROW}.`{_ENTRIES}{name}`")).alias(name)
+            return F.col(f"{ROW}.`{name}`").alias(name)
+
+        return [given(c) for c in kept]
+
+
+_ENTRIES = "__entries_of_"
+
+
+def _held(column: T.StructField) -> Column:
+    """A payload column in a form that can be ordered."""
+    if isinstance(column.dataType, T.MapType):
+        return F.sort_array(F.map_entries(F.col(column.name))).alias(_ENTRIES + column.name)
+    return F.col(column.name)
+
+
+def _content(name: str, points: DataFrame) -> Column:
+    held = points.schema[ROW].dataType.names
+    return F.col(f"{ROW}.`{_ENTRIES + name if _ENTRIES + name in held else name}`")
 
 
 def split_rejects(log: DataFrame, keys: list[str], sequence_by: str) -> tuple[DataFrame, DataFrame]:
@@ -91,7 +118,8 @@ def scd1(
     """
     rules = ChangeRules(keys, sequence_by, apply_as_deletes, except_columns or [], tie_breakers or [])
     kept = rules.kept_columns(log.columns)
-    return current_rows(latest_points(rules.points(log), keys)).select(*rules.unpack(kept))
+    points = rules.points(log)
+    return current_rows(latest_points(points, keys)).select(*rules.unpack(kept, points))
 
 
 def latest_points(points: DataFrame, keys: list[str]) -> DataFrame:
@@ -124,38 +152,35 @@ def scd2(
     rules = ChangeRules(keys, sequence_by, apply_as_deletes, except_columns or [], tie_breakers or [])
     kept = rules.kept_columns(log.columns)
     points = rules.points(log)
-    hot = find_hot_keys(points, keys, hot_rows)
-    if hot:
-        points = fold_hot_copies(points, keys, hot)
     ties = [F.col(ROW)]
-    line = Timeline(points, keys, SEQ, hot, hot_rows).with_next_sequence("__next", ties)
-    # A row followed by its own sequence lost the tie and would be a version of no length.
-    line = line.where(F.col("__next").isNull() | (F.col("__next") > F.col(SEQ)))
+    if hot_rows is not None and hot_keys(points, keys, hot_rows).take(1):
+        # Copies of one event meet here, spread by their sequence, and not in the task of a segment.
+        points = written(points.groupBy(*keys, SEQ).agg(F.max(ROW).alias(ROW)), "points")
+        line, ties = Timeline(points, keys, SEQ, hot_rows), []
+    else:
+        line = Timeline(points, keys, SEQ, None)
     if collapse_unchanged:
-        line = _changed_only(line, rules, kept, track)
+        line = _changed_only(line, rules, kept, track, ties)
+    else:
+        line = line.with_next_sequence("__next", ties)
+        # A row followed by its own sequence lost the tie and would be a version of no length.
+        line = line.where(F.col("__next").isNull() | (F.col("__next") > F.col(SEQ)))
     return (
         line.result()
         .where(~F.col(f"{ROW}.{DELETED}"))
-        .select(*rules.unpack(kept), F.col(SEQ).alias(START_AT), F.col("__next").alias(END_AT))
-    )
-
-
-def fold_hot_copies(points: DataFrame, keys: list[str], hot: list) -> DataFrame:
-    """Reduce copies (same key and sequence) of hot keys before they can meet in one task."""
-    hot_keys = F.broadcast(hot_key_frame(points, keys, hot))
-    folded = (
-        points.join(hot_keys, keys, "left_semi").groupBy(*keys, SEQ).agg(F.max(ROW).alias(ROW))
+        .select(*rules.unpack(kept, points), F.col(SEQ).alias(START_AT), F.col("__next").alias(END_AT))
     )
-    return points.join(hot_keys, keys, "left_anti").unionByName(folded)
 
 
-def _changed_only(line: Timeline, rules: ChangeRules, kept: list[str], track: list[str] | None) -> Timeline:
+def _changed_only(line: Timeline, rules: ChangeRules, kept: list[str], track: list[str] | None, ties: list[Column]) -> Timeline:
+    if ties:
+        line = line.with_next_sequence("__next", ties)
+        line = line.where(F.col("__next").isNull() | (F.col("__next") > F.col(SEQ))).drop("__next")
     tracked = track or [c for c in kept if c not in rules.keys and c != rules.sequence_by]
-    content = F.struct(F.col(f"{ROW}.{DELETED}"), *[F.col(f"{ROW}.`{c}`") for c in tracked])
+    content = F.struct(F.col(f"{ROW}.{DELETED}"), *[_content(c, line.rows) for c in tracked])
     line = line.with_previous("__before", content, [])
-    line = line.where(F.col("__before").isNull() | ~F.col("__before").eqNullSafe(content))
-    line = line._like(line.rows.drop("__next", "__before"))
-    return line.with_next_sequence("__next", [])
+    line = line.where(F.col("__before").isNull() | ~F.col("__before").eqNullSafe(content)).drop("__before")
+    return line.settled().with_next_sequence("__next", [])
 
 
 def current_versions(history: DataFrame, end_at: str = END_AT) -> DataFrame:

@@ -51,37 +51,44 @@ _EVENT_POINTS = """
     qualify row_number() over (partition by user_id, ts order by event_id desc) = 1
 """
 _SCD1_EVENTS = """
-select event_id, ts, user_id, event_type, value from (
+select * exclude (rn) from (
     select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events
 ) where rn = 1 and event_type is distinct from 'error'
 """
 _SCD2_EVENTS = f"""
-select * exclude (props) from (
+select * from (
     select *, ts as __START_AT, lead(ts) over (partition by user_id order by ts) as __END_AT
     from ({_EVENT_POINTS})
 ) where event_type is distinct from 'error'
 """
 
 
-@query("scd1_current", _SCD1_EVENTS)
+@query("scd1_current", f"select * exclude (props) from ({_SCD1_EVENTS})")
 def scd1_current(spark, sf_dir):
     return scd1(table(spark, sf_dir, "events"), except_columns=["props"], **EVENT_RULES)
 
 
 @query("scd2_history", _SCD2_EVENTS)
 def scd2_history(spark, sf_dir):
-    return scd2(table(spark, sf_dir, "events").drop("props"), **EVENT_RULES)
+    return scd2(table(spark, sf_dir, "events"), **EVENT_RULES)
 
 
 @query("scd2_hot_keys", _SCD2_EVENTS)
 def scd2_hot_keys(spark, sf_dir):
     """The same history with every busy user's timeline cut into segments."""
-    return scd2(table(spark, sf_dir, "events").drop("props"), hot_rows=40, **EVENT_RULES)
+    return scd2(table(spark, sf_dir, "events"), hot_rows=40, **EVENT_RULES)
 
 
-@query(
-    "scd2_collapsed",
-    f"""
+@query("scd2_text_sequence", f"select * replace (cast(__START_AT as varchar) as __START_AT, cast(__END_AT as varchar) as __END_AT) from ({_SCD2_EVENTS})")
+def scd2_text_sequence(spark, sf_dir):
+    """Segments of a sequence that is text; times of one format sort like their texts."""
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    versions = scd2(table(spark, sf_dir, "events").withColumn("at", text), hot_rows=40, **EVENT_RULES | {"sequence_by": "at"})
+    short = [F.regexp_replace(c, r"\.?0+$", "").alias(c) for c in ("__START_AT", "__END_AT")]
+    return versions.drop("at").select(*[c for c in versions.columns if c not in ("at", "__START_AT", "__END_AT")], *short)
+
+
+_COLLAPSED = f"""
     with points as ({_EVENT_POINTS}),
     marked as (
         select *, event_type = 'error' as gone, value > 20 as large,
@@ -99,16 +106,28 @@ def scd2_hot_keys(spark, sf_dir):
                lead(ts) over (partition by user_id order by ts) as __END_AT
         from changed
     ) where not gone
-    """,
-)
-def scd2_collapsed(spark, sf_dir):
+"""
+
+
+def _collapsed(spark: SparkSession, sf_dir: str, **more) -> DataFrame:
     log = table(spark, sf_dir, "events").select(
         "user_id", "ts", "event_id", "event_type", (F.col("value") > 20).alias("large")
     )
-    versions = scd2(log, collapse_unchanged=True, track=["large"], **EVENT_RULES)
+    versions = scd2(log, collapse_unchanged=True, track=["large"], **EVENT_RULES, **more)
     return versions.select("user_id", "large", "__START_AT", "__END_AT")
 
 
+@query("scd2_collapsed", _COLLAPSED)
+def scd2_collapsed(spark, sf_dir):
+    return _collapsed(spark, sf_dir)
+
+
+@query("scd2_hot_collapsed", _COLLAPSED)
+def scd2_hot_collapsed(spark, sf_dir):
+    """Unchanged versions collapsed across the segments of busy users."""
+    return _collapsed(spark, sf_dir, hot_rows=40)
+
+
 @query("scd2_current", f"select * from ({_SCD2_EVENTS}) where __END_AT is null")
 def scd2_current(spark, sf_dir):
     return current_versions(scd2_history(spark, sf_dir))
@@ -166,7 +185,7 @@ def change_rejects(spark, sf_dir):
 
 def _event_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     """Events as a stream of a few batches in an order unlike their time."""
-    events = table(spark, sf_dir, "events").drop("props")
+    events = table(spark, sf_dir, "events")
     path = inputs.land_scrambled(events, f"{base}/landing", "event_id")
     files = inputs.share_of_files(spark, path, 3)
     schema = spark.read.parquet(path).schema

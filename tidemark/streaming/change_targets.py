@@ -6,9 +6,11 @@ a new point cuts short only its key, start and new end. Folding is a maximum ove
 minimum over ends, so parts may be folded in any order and more than once: late events, replays
 and restarts all lead to the state of one full rebuild. Deletes stay in the parts as tombstones.
 
-The cost of a batch depends on the batch and on the tiles around it, not on the size of the
-target. Parts are folded in tiers: ``fan_out`` parts of one tier become one of the next, so a row
-is rewritten once per tier and never because the whole table is. ``compact`` folds all parts.
+What a batch rewrites depends on the batch and on the tiles around it, not on the size of the target.
+What a type 2 batch reads does depend on it: keys and bounds of the open tile of every key, and of closed
+tiles of the batch's period; only the period is pruned by the scan. Parts are folded in tiers: ``fan_out``
+parts of one tier become one of the next, so a row is rewritten once per tier and never because the whole
+table is. ``compact`` folds all parts.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from tidemark.operators.cdc import (
     latest_points,
     split_rejects,
 )
-from tidemark.operators.neighbours import HOT_ROWS, Timeline, find_hot_keys
+from tidemark.operators.neighbours import HOT_ROWS, Timeline
 from tidemark.streaming.sinks import for_each_batch
 from tidemark.streaming.tables import AuditedTable
 
@@ -125,8 +127,7 @@ class ChangeTarget:
     def _tiles(self, marks: DataFrame) -> DataFrame:
         """New tiles, and stored tiles whose end changed (without their row)."""
         keys = self.rules.keys
-        hot = find_hot_keys(marks, keys, self.hot_rows)
-        line = Timeline(marks, keys, SEQ, hot, self.hot_rows).with_next_sequence("__next", []).result()
+        line = Timeline(marks, keys, SEQ, self.hot_rows).with_next_sequence("__next", []).result()
         cut_short = F.col("__tile") & ~F.col("__next").eqNullSafe(F.col(_END))
         return line.where(F.col(ROW).isNotNull() | cut_short).select(
             *keys, SEQ, F.col("__next").alias(_END), ROW
@@ -140,7 +141,8 @@ class ChangeTarget:
         """
         keys = self.rules.keys
         place = _as_number(points)
-        low, high, lowest = points.agg(F.min(place), F.max(place), F.min(SEQ).cast("string")).first()
+        bounds = points.agg(F.min(place), F.max(place), F.min(SEQ).cast("string"), F.max(SEQ).cast("string"))
+        low, high, lowest, highest = bounds.first()
         width = ((high - low) / _PERIODS if low is not None else 0.0) or 1.0
         spans = points.groupBy(*keys, F.floor((place - F.lit(low)) / F.lit(width)).alias("__period")).agg(
             F.min(SEQ).alias("__low"), F.max(SEQ).alias("__high")
@@ -149,6 +151,7 @@ class ChangeTarget:
         stored = stored.where(
             F.col(_END).isNull() | (F.col(_END) > F.lit(lowest).cast(points.schema[SEQ].dataType))
         )
+        stored = stored.where(F.col(SEQ).isNull() | (F.col(SEQ) <= F.lit(highest).cast(points.schema[SEQ].dataType)))
         overlap = (F.col(SEQ).isNull() | (F.col(SEQ) <= F.col("__high"))) & (
             F.col(_END).isNull() | (F.col(_END) > F.col("__low"))
         )
@@ -186,8 +189,8 @@ class ChangeTarget:
 
     def read(self) -> DataFrame:
         """The SCD table: current rows (type 1) or versions with start and end (type 2)."""
-        columns = self.rules.unpack(self._columns())
         stored = self.table.read()
+        columns = self.rules.unpack(self._columns(), stored)
         if len(self.table.parts) > 1:
             stored = self._fold(stored)
         if self.scd_type == 1:
@@ -249,6 +252,6 @@ def latest_by_key(
     updates = latest_points(rules.points(changes), rules.keys)
 
     def read(emitted: DataFrame) -> DataFrame:
-        return current_rows(latest_points(emitted, rules.keys)).select(*rules.unpack(kept))
+        return current_rows(latest_points(emitted, rules.keys)).select(*rules.unpack(kept, emitted))
 
     return updates, read
