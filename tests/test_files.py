@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tidemark.operators.reports import rescued_rows, rescued_summary, table_profile
 from tidemark.plans.jobs import ingest_lots, product_dimension
 from tidemark.sources.batch import file_inventory, read_csv
+from tidemark.sources.csv_lots import group_by_header
 from tidemark.streaming.files import SchemaLog, ingest_files
 from tidemark.streaming.sinks import drain
 from tidemark.streaming.tables import AuditedTable
@@ -201,3 +202,24 @@ def test_batch_reads_and_inventory(spark, base, put):
     assert [tuple(r) for r in read_csv(spark, path, header=False).collect()] == [("x", "y"), ("1", "2")]
     found = file_inventory(spark, f"{base}/in").first()
     assert (found["name"], found["length"]) == ("a.csv", os.path.getsize(path))
+
+
+def test_fields_named_like_technical_columns_are_rescued(spark, base, put):
+    put("in/a.csv", "id,_source_file,_Ingestion_Timestamp\n1,x,y\n")
+    for _ in range(2):
+        drain(ingest_lots(spark, f"{base}/in", f"{base}/out", f"{base}/job"))
+    row = AuditedTable(spark, f"{base}/out").read().collect()[0]
+    assert row["id"] == 1 and row["_source_file"] == "a.csv"
+    assert row["_rescued_data"] == '{"_source_file":"x","_Ingestion_Timestamp":"y"}'
+    with pytest.raises(ValueError, match="technical"):
+        ingest_lots(spark, f"{base}/in", f"{base}/out2", f"{base}/job2", schema=T.StructType().add("_source_file", "string"))
+
+
+def test_headers_of_many_files_take_one_job(spark, base, put):
+    paths = [put(f"in/{n} é.csv", f"id,v{n % 3}\n{n},x\n") for n in range(50)]
+    tracker, group = spark.sparkContext.statusTracker(), f"headers-{base[-8:]}"
+    spark.sparkContext.setJobGroup(group, "headers")
+    groups = group_by_header(spark, sorted(paths))
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs <= 2 and {k: len(v) for k, v in groups.items()} == {("id", "v0"): 17, ("id", "v1"): 17, ("id", "v2"): 16}

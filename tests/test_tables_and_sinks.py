@@ -13,7 +13,7 @@ from tidemark.plans.jobs import core_tables, pull_into, silver_views
 from tidemark.sources.cursor import jdbc_reader, pull_by_cursor
 from tidemark.streaming.change_targets import ChangeTarget
 from tidemark.streaming.sinks import append_audited, append_stream, drain, for_each_batch, safe_name, trigger_options
-from tidemark.streaming.tables import AuditedTable, describe_table, refresh_view
+from tidemark.streaming.tables import AuditedTable, ConcurrentWriteError, describe_table, refresh_view
 
 
 def at(day):
@@ -265,3 +265,15 @@ def test_shared_folder_rules(spark, monkeypatch):
         workspace.shared_dir(Session("spark://m:7077", None))
     local = Session("local[2]", None)
     assert workspace.shared_dir(local) == workspace.shared_dir(local)
+
+
+def test_two_writers_fail_loudly_and_lose_nothing(spark, base):
+    first, second = AuditedTable(spark, base), AuditedTable(spark, base)
+    first.append(spark.range(0, 5), "a", 0)
+    assert second.last()["version"] == 0
+    first.append(spark.range(5, 10), "a", 1)
+    with pytest.raises(ConcurrentWriteError):
+        second.append(spark.range(10, 15), "b", 0)
+    assert sorted(r["id"] for r in AuditedTable(spark, base).read().collect()) == list(range(10))
+    second.append(spark.range(10, 15), "b", 0)
+    assert AuditedTable(spark, base).read().count() == 15

@@ -37,8 +37,8 @@ def rescued_summary(df: DataFrame, lot: str, rescued: str = RESCUED) -> DataFram
     )
 
 
-def rescued_rows(df: DataFrame, key: str, n: int | None = 10, rescued: str = RESCUED) -> DataFrame:
-    """Rows with rescued data: key and JSON text; the first ``n`` by key, or all of them."""
+def rescued_rows(df: DataFrame, key: str, n: int | None = None, rescued: str = RESCUED) -> DataFrame:
+    """Rows with rescued data: key and JSON text; all of them, or the first ``n`` by key."""
     found = df.where(F.col(rescued).isNotNull()).select(key, rescued)
     return found if n is None else found.orderBy(key, rescued).limit(n)
 

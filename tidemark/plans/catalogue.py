@@ -497,13 +497,14 @@ _RESCUED = f"""
 
 
 def _evolving_lots(spark: SparkSession, sf_dir: str) -> tuple[AuditedTable, list[DataFrame]]:
-    """Lot F, then lot O with a new column, by the same job; the counts per lot after each run."""
+    """Lot F, then lots O and P with new columns, then nothing new, by the same job; the counts per lot after each run."""
     base = scratch_path(spark, "lots")
     counts = []
     target = AuditedTable(spark, f"{base}/bronze")
-    for n, status in enumerate(["F", "O"]):
-        inputs.land_csv(inputs.lot(spark, sf_dir, status), f"{base}/landing/lote{n + 1}")
-        drain(ingest_lots(spark, f"{base}/landing", target.path, f"{base}/job", max_files=1000))
+    for n, status in enumerate(["F", "O", "P", None]):
+        if status:
+            inputs.land_csv(inputs.lot(spark, sf_dir, status), f"{base}/landing/lote{n + 1}")
+        drain(ingest_lots(spark, f"{base}/landing", target.path, f"{base}/job"))
         counts.append(group_counts(target.refresh().read(), "lote_proceso"))
     return target, counts
 
@@ -514,9 +515,10 @@ def _evolving_lots(spark: SparkSession, sf_dir: str) -> tuple[AuditedTable, list
     select orden_id, lote_proceso, fecha_orden, cast(cliente_id as bigint) as cliente_id, total_linea, estado_orden,
            case when bad_days is null then cast(dias_entrega_prometidos as varchar) else 'n/a' end
                as dias_entrega_prometidos,
-           case when estado_orden = 'O' then prioridad end as prioridad_envio,
+           case when estado_orden <> 'F' then prioridad end as prioridad_envio,
+           case when estado_orden = 'P' then extra end as campo_extra_inesperado,
            cast(null as varchar) as _rescued_data, true as has_source_file
-    from ({_LOT}) where estado_orden in ('F', 'O')
+    from ({_LOT})
     """,
 )
 def csv_evolve_add_columns(spark, sf_dir):
@@ -530,6 +532,7 @@ def csv_evolve_add_columns(spark, sf_dir):
         "estado_orden",
         "dias_entrega_prometidos",
         "prioridad_envio",
+        "campo_extra_inesperado",
         "_rescued_data",
         F.col("_source_file").endswith(".csv").alias("has_source_file"),
     )
@@ -538,18 +541,18 @@ def csv_evolve_add_columns(spark, sf_dir):
 @query(
     "no_reprocess",
     """
-    select 'LOTE-' || o_orderstatus as lote_proceso,
-           count(*) filter (o_orderstatus = 'F') as after_first, count(*) as after_second
-    from orders where o_orderstatus in ('F', 'O') group by all
+    select 'LOTE-' || o_orderstatus as lote_proceso, count(*) filter (o_orderstatus = 'F') as after_1,
+           count(*) filter (o_orderstatus in ('F', 'O')) as after_2, count(*) as after_3, count(*) as after_4
+    from orders group by all
     """,
 )
 def no_reprocess(spark, sf_dir):
-    _, (first, second) = _evolving_lots(spark, sf_dir)
-    before = first.withColumnRenamed("count", "after_first")
-    after = second.withColumnRenamed("count", "after_second")
-    return after.join(before, "lote_proceso", "left").select(
-        "lote_proceso", F.coalesce("after_first", F.lit(0)).alias("after_first"), "after_second"
-    )
+    """Rows per lot after each run; the fourth run finds nothing new."""
+    _, counts = _evolving_lots(spark, sf_dir)
+    found = counts[-1].select("lote_proceso")
+    for n, run in enumerate(counts, 1):
+        found = found.join(run.withColumnRenamed("count", f"after_{n}"), "lote_proceso", "left")
+    return found.na.fill(0)
 
 
 def _fixed_lots(spark: SparkSession, sf_dir: str, batches: int = 1) -> AuditedTable:
@@ -573,7 +576,7 @@ def csv_rescue_fixed_schema(spark, sf_dir):
 
 @query(
     "rescued_rows",
-    f"select orden_id, _rescued_data from ({_RESCUED}) where _rescued_data is not null order by orden_id limit 10",
+    f"select orden_id, _rescued_data from ({_RESCUED}) where _rescued_data is not null",
 )
 def rescued_rows_report(spark, sf_dir):
     return rescued_rows(_fixed_lots(spark, sf_dir).read(), "orden_id")
@@ -606,7 +609,7 @@ def admission_control(spark, sf_dir):
     "write_history",
     """
     select version, 'STREAMING UPDATE' as operation, true as has_time, '1' as headers
-    from (values (0, 'F'), (1, 'O')) as runs(version, lot)
+    from (values (0, 'F'), (1, 'O'), (2, 'P')) as runs(version, lot)
     where lot in (select o_orderstatus from orders)
     """,
 )
@@ -637,14 +640,22 @@ def file_inventory_report(spark, sf_dir):
     )
 
 
-@query("csv_batch_preview", f"""
-    select orden_id, lote_proceso, fecha_orden, cliente_id, estado_orden, prioridad as prioridad_envio
-    from ({_LOT}) where estado_orden = 'O'
-""")
+@query(
+    "csv_batch_preview",
+    f"""
+    select orden_id, lote_proceso, fecha_orden, cliente_id, total_linea, estado_orden,
+           coalesce(cast(dias_entrega_prometidos as varchar), 'n/a') as dias_entrega_prometidos,
+           case when estado_orden <> 'F' then prioridad end as prioridad_envio,
+           case when estado_orden = 'P' then extra end as campo_extra_inesperado
+    from ({_LOT})
+    """,
+)
 def csv_batch_preview(spark, sf_dir):
+    """Each lot read as it is; the columns that a lot lacks are NULL."""
     base = scratch_path(spark, "preview")
-    path = inputs.land_csv(inputs.lot(spark, sf_dir, "O"), f"{base}/lote2")
-    return read_csv(spark, path).drop("total_linea", "dias_entrega_prometidos")
+    lots = [read_csv(spark, inputs.land_csv(inputs.lot(spark, sf_dir, s), f"{base}/{s}")) for s in ("F", "O", "P")]
+    every = lots[0].unionByName(lots[1], True).unionByName(lots[2], True)
+    return every.withColumn("total_linea", F.col("total_linea").cast("double"))
 
 
 @query(
@@ -690,7 +701,7 @@ def _landed_topic(spark: SparkSession, sf_dir: str, base: str, topic: str = "pag
 )
 def topic_envelope(spark, sf_dir):
     base = scratch_path(spark, "envelope")
-    stream = read_topic_files(spark, _landed_topic(spark, sf_dir, base), max_files=1000)
+    stream = read_topic_files(spark, _landed_topic(spark, sf_dir, base))
     events = stream.select(*metadata_columns("prestamo_key"))
     target = AuditedTable(spark, f"{base}/bronze")
     drain(for_each_batch(events, target.append, f"{base}/checkpoint"))
@@ -723,7 +734,7 @@ _DECODED = f"""
 @query("topic_decode", _DECODED)
 def topic_decode(spark, sf_dir):
     base = scratch_path(spark, "decode")
-    stream = read_topic_files(spark, _landed_topic(spark, sf_dir, base), max_files=1000)
+    stream = read_topic_files(spark, _landed_topic(spark, sf_dir, base))
     job = ingest_topic(
         stream, inputs.registry(spark), "pagos", "dev", f"{base}/checkpoints", path=f"{base}/bronze", key_alias="prestamo_key"
     )
@@ -784,7 +795,7 @@ def topic_two_targets(spark, sf_dir):
     base = scratch_path(spark, "topics")
     reports = []
     for topic in ("pagos", "transacciones"):
-        stream = read_topic_files(spark, _landed_topic(spark, sf_dir, base, topic), max_files=1000)
+        stream = read_topic_files(spark, _landed_topic(spark, sf_dir, base, topic))
         drain(ingest_topic(stream, inputs.registry(spark, topic), topic, "dev", f"{base}/checkpoints", path=f"{base}/bronze_{topic}"))
         bronze = AuditedTable(spark, f"{base}/bronze_{topic}").read()
         reports.append(

@@ -114,7 +114,7 @@ def ingest_lots(
     base: str,
     schema: T.StructType | None = None,
     rescued: str = RESCUED,
-    max_files: int = 10,
+    max_files: int | None = None,
     **more,
 ) -> StreamingQuery:
     """Lots of CSV files into an audited table.
@@ -143,7 +143,7 @@ def product_dimension(
     base: str,
     schema: T.StructType = PRODUCT_FEED,
     rules: ChangeRules = PRODUCT_RULES,
-    max_files: int = 10,
+    max_files: int | None = None,
     **more,
 ) -> tuple[StreamingQuery, ChangeTarget, ChangeTarget]:
     """A CSV change feed into a bronze table, and from it the current and the historical table.

@@ -10,10 +10,12 @@ whose field count does not fit its header.
 
 from __future__ import annotations
 
+import csv
 import re
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote, urlsplit
 
+import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,25 +32,48 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
+def first_lines(spark: SparkSession, paths: list[str], options: dict[str, str] | None = None) -> dict[str, str]:
+    """The first line of each file that has one, in one job: a task per file, which stops after its first rows."""
+    probe = spark.newSession()
+    probe.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))
+    probe.conf.set("spark.sql.files.minPartitionNum", "1")
+    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    # Neither a separator nor a quote that a header could hold: a row is a line.
+    given = {k.lower(): v for k, v in (options or {}).items()}
+    whole = {**(options or {}), "header": "false", "sep": "\u0001", "quote": "", "multiLine": "false", "mode": "PERMISSIVE"}
+    lines = probe.read.options(**whole).schema("value string").csv([literal_path(p) for p in paths])
+    rows = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    quote = given.get("quote", '"') if given.get("multiline", "false").lower() == "true" else ""
+
+    def first(batches):
+        """The first line, with those that follow while a quote is open."""
+        held = []
+        for batch in batches:
+            held.append(batch.column(0)[0].as_py() or "")
+            if not quote or "\n".join(held).count(quote) % 2 == 0:
+                break
+        if held:
+            texts = pyarrow.array(["\n".join(held)], pyarrow.string())
+            yield pyarrow.RecordBatch.from_arrays([texts, *batch.columns[1:]], names=batch.schema.names)
+
+    found = rows.where("start = 0").mapInArrow(first, rows.schema).collect()
+    return {unquote(urlsplit(row["path"]).path): row["value"] for row in found if row["value"]}
+
+
 def group_by_header(spark: SparkSession, paths: list[str], options: dict[str, str] | None = None) -> Headers:
-    """Paths by header, as the CSV reader itself splits it; files without a line are left out.
-
-    Reads the first record of each file only. The number of paths is bounded by the caller
-    (files per micro-batch).
-    """
-
-    def header(path: str) -> tuple[str, ...]:
-        reader = spark.read.options(**(options or {})).option("header", False).option("inferSchema", False)
-        first = reader.csv(literal_path(path)).limit(1).collect()
-        if not first:
-            return ()
-        names = [(name or "").removeprefix("﻿") for name in first[0]]
-        return tuple(name or f"_c{i}" for i, name in enumerate(names))
-
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        found = list(pool.map(header, paths))
+    """Paths by header; files without a line are left out. The caller bounds the paths (files per micro-batch)."""
+    lines = first_lines(spark, paths, options) if paths else {}
+    given = {k.lower(): v for k, v in (options or {}).items()}
+    style = {"delimiter": given.get("sep", given.get("delimiter", ",")), "quotechar": given.get("quote", '"') or None}
+    if style["quotechar"] is None:
+        style["quoting"] = csv.QUOTE_NONE
+    split: dict[str, tuple[str, ...]] = {}
+    for line in set(lines.values()):
+        names = next(csv.reader(line.removeprefix("\ufeff").splitlines(keepends=True), **style), [])
+        split[line] = tuple(name or f"_c{i}" for i, name in enumerate(names))
     groups: Headers = {}
-    for path, names in zip(paths, found):
+    for path in paths:
+        names = split.get(lines.get(unquote(urlsplit(path).path)), ())
         if names:
             groups.setdefault(names, []).append(path)
     for names, members in groups.items():

@@ -24,7 +24,7 @@ def kafka_options(
     bootstrap_servers: str,
     topic: str,
     starting_offsets: str = "earliest",
-    max_offsets_per_trigger: int = 1000,
+    max_offsets_per_trigger: int | None = None,
     fail_on_data_loss: bool = True,
     security_protocol: str | None = None,
     sasl_mechanism: str | None = None,
@@ -39,15 +39,17 @@ def kafka_options(
     """
     if not bootstrap_servers or not topic:
         raise ValueError("bootstrap_servers and topic are required")
-    if max_offsets_per_trigger < 1:
+    if max_offsets_per_trigger is not None and max_offsets_per_trigger < 1:
         raise ValueError("max_offsets_per_trigger must be at least 1")
+    # The option keys of the Kafka reader.
     options = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "maxOffsetsPerTrigger": str(max_offsets_per_trigger),
         "failOnDataLoss": "true" if fail_on_data_loss else "false",
     }
+    if max_offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if security_protocol:
         options["kafka.security.protocol"] = security_protocol
     if sasl_mechanism:
@@ -68,9 +70,10 @@ def read_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def read_topic_files(spark: SparkSession, path: str, max_files: int = 10) -> DataFrame:
+def read_topic_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A stream with a topic's columns from parquet files, for exported topics and tests."""
-    return spark.readStream.schema(TOPIC_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
+    reader = spark.readStream.schema(TOPIC_SCHEMA)
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).parquet(path)
 
 
 def metadata_columns(key_alias: str = "kafka_key") -> list[Column]:

@@ -74,7 +74,7 @@ def ingest_files(
     evolution: str = "add",
     rescued: str | None = RESCUED,
     schema_log: str | None = None,
-    max_files: int = 10,
+    max_files: int | None = None,
     added: dict[str, Column] | None = None,
     options: dict[str, str] | None = None,
     pattern: str = "*.csv",
@@ -88,7 +88,8 @@ def ingest_files(
     ``evolution``: ``add`` infers columns, adds new ones and logs their types in ``schema_log``;
     ``rescue`` keeps ``schema`` and puts everything else into the ``rescued`` column; ``none``
     keeps ``schema`` and drops everything else. ``then`` is called with the rows of each
-    micro-batch as written, for work that must follow the append.
+    micro-batch as written, for work that must follow the append. ``max_files`` bounds the files of
+    a micro-batch; None takes all that are there.
     """
     if evolution not in EVOLUTION_MODES:
         raise ValueError(f"unknown evolution mode {evolution!r}: use one of {', '.join(EVOLUTION_MODES)}")
@@ -98,30 +99,28 @@ def ingest_files(
         raise ValueError("evolution 'add' needs a schema_log path")
     if schema_log and schema_log.rstrip("/") == checkpoint.rstrip("/"):
         raise ValueError("schema_log and checkpoint must be different paths")
-    if max_files < 1:
+    if max_files is not None and max_files < 1:
         raise ValueError("max_files must be at least 1")
     table = AuditedTable(spark, target)
     log = SchemaLog(spark, schema_log) if schema_log else None
     extra = lot_columns() if added is None else added
     rescue_column = None if evolution == "none" else rescued
+    own = {name.lower() for name in [*extra, rescue_column] if name}
+    if schema is not None and (clash := sorted(n for n in schema.names if n.lower() in own)):
+        raise ValueError(f"columns {', '.join(clash)} of the schema have the names of technical columns")
 
-    # Discovery only: the contents are not in the scan's schema, and a batch is max_files paths.
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILES)
-        .option("maxFilesPerTrigger", max_files)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(path)
-        .select("path")
-    )
+    # Discovery only: the contents are not in the scan's schema, and a batch is its paths.
+    discovery = spark.readStream.format("binaryFile").schema(_FILES).option("recursiveFileLookup", True)
+    if max_files is not None:
+        discovery = discovery.option("maxFilesPerTrigger", max_files)
+    files = discovery.option("pathGlobFilter", pattern).load(path).select("path")
 
     def ingest(batch: DataFrame, writer: str, number: int) -> None:
         part = f"{writer}/{number}"
         if not table.has(writer, number):
             paths = sorted(row["path"] for row in batch.collect())
             groups = group_by_header(spark, paths, options)
-            columns = schema if log is None else _evolve(spark, log, groups, options)
+            columns = schema if log is None else _evolve(spark, log, groups, options, own)
             if groups:
                 rows = bind_columns(spark, groups, columns, rescue_column, extra, options)
                 details = {"files": len(paths), "headers": len(groups)}
@@ -134,10 +133,11 @@ def ingest_files(
     return for_each_batch(files, ingest, checkpoint, trigger, interval, name)
 
 
-def _evolve(spark, log: SchemaLog, groups, options) -> T.StructType:
+def _evolve(spark, log: SchemaLog, groups, options, own: set[str]) -> T.StructType:
     version, known = log.read()
-    # Names that differ in case only are one column; the other spellings are rescued.
-    taken = {n.lower() for n in known.names}
+    # Names that differ in case only are one column; the other spellings are rescued, and so is a
+    # field with the name of a technical column.
+    taken = {n.lower() for n in known.names} | own
     new = []
     for name in (n for header in groups for n in header):
         if name.lower() not in taken:

@@ -3,12 +3,14 @@
 Each write goes to a directory of its own and becomes visible when its history row, which
 lists the live directories, has been written after it. A reader takes the last row, so it never
 sees half a write; a repeated micro-batch finds its number in the row and does nothing.
-One writer per table at a time.
+One writer per table at a time: a writer that finds its version taken, or its row replaced, fails and has
+changed nothing that readers see.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -26,9 +28,14 @@ _HISTORY_SCHEMA = (
     .add("schema_json", "string")
     .add("live", T.ArrayType(T.StringType()))
     .add("progress", T.MapType(T.StringType(), T.LongType()))
+    .add("token", "string")
 )
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another writer has committed to the table in between."""
+
+
 def merge_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     """Old columns first, then columns seen for the first time; structs are merged field by field.
 
@@ -196,13 +203,29 @@ class AuditedTable:
             "schema_json": schema.json(),
             "live": _as_runs(parts),
             "progress": progress,
+            "token": uuid.uuid4().hex,
         }
         # Readable by executors and drivers alike, and visible only when the write job commits.
         text = json.dumps({**row, "committed_at": datetime.now(timezone.utc).isoformat()})
         line = self.spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
-        line.write.mode("overwrite").text(f"{self.path}/history/v={version}")
+        if self._committed(version) is None:
+            # A directory without a row is what a writer left that died in its commit.
+            line.write.mode("overwrite").text(f"{self.path}/history/v={version}")
+        if self._committed(version) != row["token"]:
+            self._looked = False
+            raise ConcurrentWriteError(f"version {version} of {self.path} was written by another writer")
         self._last, self._looked = row, True
 
+    def _committed(self, version: int) -> str | None:
+        """The token of a version's history row, if there is one."""
+        try:
+            rows = self.spark.read.schema(_HISTORY_SCHEMA).json(f"{self.path}/history/v={version}").collect()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        return (rows[0]["token"] or "") if rows else None
+
 
 def refresh_view(df: DataFrame, path: str, name: str | None = None) -> AuditedTable:
     """Full refresh of a materialized view; ``name`` also publishes it as a session view."""
