@@ -1,17 +1,9 @@
-"""Properties over generated data: change logs in Spark, payload bytes and part names in Python."""
+"""Properties over generated data: change logs in Spark, part names in Python."""
 
-import json
-import struct
-from datetime import date
-
-import numpy as np
-import pyarrow as pa
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from test_cdc import ARGS, SCHEMA, at, model, rows
-from test_topics import varint
-from tidemark.functions.avro import decode_records, record_fields
 from tidemark.operators.cdc import scd2
 from tidemark.streaming.tables import _as_names, _as_runs
 
@@ -36,67 +28,6 @@ def test_versions_follow_the_model_and_do_not_overlap(spark, log, hot_rows):
         assert all(end is not None and end <= later for (_, end), (later, _) in zip(spans, spans[1:]))
 
 
-FIELDS = record_fields(
-    json.dumps(
-        {
-            "type": "record",
-            "name": "R",
-            "fields": [
-                {"name": "s", "type": "string"},
-                {"name": "n", "type": ["null", "long"]},
-                {"name": "d", "type": {"type": "int", "logicalType": "date"}},
-                {"name": "x", "type": ["double", "null"]},
-                {"name": "b", "type": "boolean"},
-                {"name": "r", "type": "bytes"},
-            ],
-        }
-    )
-)
-RECORD = st.tuples(
-    st.text(max_size=200),
-    st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1)),
-    st.integers(-700_000, 2_900_000),
-    st.one_of(st.none(), st.floats(allow_nan=False)),
-    st.booleans(),
-    st.binary(max_size=30),
-)
-
-
-def body(record):
-    text, number, day, amount, flag, raw = record
-    data = text.encode()
-    return (
-        varint(len(data)) + data
-        + (varint(0) if number is None else varint(1) + varint(number))
-        + varint(day)
-        + (varint(1) if amount is None else varint(0) + struct.pack("<d", amount))
-        + bytes([flag])
-        + varint(len(raw)) + raw
-    )
-
-
-TEXT = st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60)
-
-
-@settings(max_examples=200, deadline=None)
-@given(records=st.lists(RECORD.flatmap(lambda r: TEXT.map(lambda t: (t, *r[1:]))), min_size=1, max_size=20))
-def test_records_decode_to_what_was_written(records):
-    columns, failed = decode_records(pa.array([body(r) for r in records], pa.binary()), FIELDS)
-    assert not failed.any()
-    found = list(zip(*[columns[name].to_pylist() for name, *_ in FIELDS]))
-    assert [(r[0], r[1], r[2].toordinal() - date(1970, 1, 1).toordinal(), *r[3:]) for r in found] == records
-
-
-@settings(max_examples=200, deadline=None)
-@given(records=st.lists(RECORD.map(lambda r: ("t", *r[1:])), min_size=1, max_size=10), data=st.data())
-def test_cut_payloads_fail_alone(records, data):
-    bodies = [body(r) for r in records]
-    place = data.draw(st.integers(0, len(bodies) - 1))
-    bodies[place] = bodies[place][: data.draw(st.integers(0, len(bodies[place]) - 1))]
-    _, failed = decode_records(pa.array(bodies, pa.binary()), FIELDS)
-    assert list(np.flatnonzero(failed)) == [place]
-
-
 @given(st.lists(st.tuples(st.sampled_from(["w", "a/b", "tier-1"]), st.integers(0, 9)), unique=True))
 def test_part_names_survive_their_short_form(parts):
     names = [f"{owner}/{number}" for owner, number in parts]

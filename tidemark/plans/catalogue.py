@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.avro import split_envelope
+from tidemark.functions.payloads import split_envelope
 from tidemark.operators.cdc import ChangeRules, current_versions, scd1, scd2, split_rejects
 from tidemark.operators.quality import expectation_metrics
 from tidemark.operators.reports import (
@@ -432,13 +432,15 @@ def lot_counts(spark, sf_dir):
 @query(
     "lot_priority_counts",
     """
-    select o_orderstatus, nullif(o_orderpriority, '5-LOW') as prioridad, count(*) as "count"
+    select 'LOTE-' || o_orderstatus as lot_name,
+           case when o_orderstatus <> 'F' then substring(o_orderpriority, 3, 20) end as ship_priority, count(*) as "count"
     from orders group by all
     """,
 )
 def lot_priority_counts(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").withColumn("prioridad", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
-    return group_counts(orders, "o_orderstatus", "prioridad")
+    """Rows per lot and value of a column that the first lot did not have."""
+    target, _ = _evolving_lots(spark, sf_dir)
+    return group_counts(target.read(), "lot_name", "ship_priority")
 
 
 @query(
@@ -473,24 +475,24 @@ def table_profile_report(spark, sf_dir):
 # -- CSV lots ----------------------------------------------------------------------------
 
 _LOT = """
-    select 'ORD-' || o_orderkey as orden_id, 'LOTE-' || o_orderstatus as lote_proceso,
-           cast(cast(o_orderdate as date) as varchar) as fecha_orden, cast(o_custkey as varchar) as cliente_id,
-           o_totalprice as total_linea, o_orderstatus as estado_orden,
+    select 'ORD-' || o_orderkey as order_ref, 'LOTE-' || o_orderstatus as lot_name,
+           cast(cast(o_orderdate as date) as varchar) as order_day, cast(o_custkey as varchar) as customer_ref,
+           o_totalprice as line_total, o_orderstatus as order_state,
            case when not starts_with(o_orderpriority, '3') then cast(length(o_orderpriority) as integer) end
-               as dias_entrega_prometidos,
-           case when starts_with(o_orderpriority, '3') then '"dias_entrega_prometidos":"n/a"' end as bad_days,
+               as promised_days,
+           case when starts_with(o_orderpriority, '3') then '"promised_days":"n/a"' end as bad_days,
            substring(o_orderpriority, 3, 20) as prioridad, 'valor ' || o_custkey as extra
     from orders
 """
 _RESCUED = f"""
-    select orden_id, lote_proceso, fecha_orden, cliente_id, total_linea, estado_orden, dias_entrega_prometidos,
+    select order_ref, lot_name, order_day, customer_ref, line_total, order_state, promised_days,
            case when parts <> '' then '{{' || parts || '}}' end as _rescued_data
     from (
-        select *, case estado_orden
+        select *, case order_state
             when 'F' then coalesce(bad_days, '')
-            when 'O' then concat_ws(',', bad_days, '"prioridad_envio":"' || prioridad || '"')
-            else concat_ws(',', '"campo_extra_inesperado":"' || extra || '"',
-                           '"prioridad_envio":"' || prioridad || '"', bad_days) end as parts
+            when 'O' then concat_ws(',', bad_days, '"ship_priority":"' || prioridad || '"')
+            else concat_ws(',', '"extra_remark":"' || extra || '"',
+                           '"ship_priority":"' || prioridad || '"', bad_days) end as parts
         from ({_LOT})
     )
 """
@@ -505,18 +507,18 @@ def _evolving_lots(spark: SparkSession, sf_dir: str) -> tuple[AuditedTable, list
         if status:
             inputs.land_csv(inputs.lot(spark, sf_dir, status), f"{base}/landing/lote{n + 1}")
         drain(ingest_lots(spark, f"{base}/landing", target.path, f"{base}/job"))
-        counts.append(group_counts(target.refresh().read(), "lote_proceso"))
+        counts.append(group_counts(target.refresh().read(), "lot_name"))
     return target, counts
 
 
 @query(
     "csv_evolve_add_columns",
     f"""
-    select orden_id, lote_proceso, fecha_orden, cast(cliente_id as bigint) as cliente_id, total_linea, estado_orden,
-           case when bad_days is null then cast(dias_entrega_prometidos as varchar) else 'n/a' end
-               as dias_entrega_prometidos,
-           case when estado_orden <> 'F' then prioridad end as prioridad_envio,
-           case when estado_orden = 'P' then extra end as campo_extra_inesperado,
+    select order_ref, lot_name, order_day, cast(customer_ref as bigint) as customer_ref, line_total, order_state,
+           case when bad_days is null then cast(promised_days as varchar) else 'n/a' end
+               as promised_days,
+           case when order_state <> 'F' then prioridad end as ship_priority,
+           case when order_state = 'P' then extra end as extra_remark,
            cast(null as varchar) as _rescued_data, true as has_source_file
     from ({_LOT})
     """,
@@ -524,15 +526,15 @@ def _evolving_lots(spark: SparkSession, sf_dir: str) -> tuple[AuditedTable, list
 def csv_evolve_add_columns(spark, sf_dir):
     target, _ = _evolving_lots(spark, sf_dir)
     return target.read().select(
-        "orden_id",
-        "lote_proceso",
-        F.col("fecha_orden").cast("string").alias("fecha_orden"),
-        F.col("cliente_id").cast("bigint").alias("cliente_id"),
-        "total_linea",
-        "estado_orden",
-        "dias_entrega_prometidos",
-        "prioridad_envio",
-        "campo_extra_inesperado",
+        "order_ref",
+        "lot_name",
+        F.col("order_day").cast("string").alias("order_day"),
+        F.col("customer_ref").cast("bigint").alias("customer_ref"),
+        "line_total",
+        "order_state",
+        "promised_days",
+        "ship_priority",
+        "extra_remark",
         "_rescued_data",
         F.col("_source_file").endswith(".csv").alias("has_source_file"),
     )
@@ -541,7 +543,7 @@ def csv_evolve_add_columns(spark, sf_dir):
 @query(
     "no_reprocess",
     """
-    select 'LOTE-' || o_orderstatus as lote_proceso, count(*) filter (o_orderstatus = 'F') as after_1,
+    select 'LOTE-' || o_orderstatus as lot_name, count(*) filter (o_orderstatus = 'F') as after_1,
            count(*) filter (o_orderstatus in ('F', 'O')) as after_2, count(*) as after_3, count(*) as after_4
     from orders group by all
     """,
@@ -549,9 +551,9 @@ def csv_evolve_add_columns(spark, sf_dir):
 def no_reprocess(spark, sf_dir):
     """Rows per lot after each run; the fourth run finds nothing new."""
     _, counts = _evolving_lots(spark, sf_dir)
-    found = counts[-1].select("lote_proceso")
+    found = counts[-1].select("lot_name")
     for n, run in enumerate(counts, 1):
-        found = found.join(run.withColumnRenamed("count", f"after_{n}"), "lote_proceso", "left")
+        found = found.join(run.withColumnRenamed("count", f"after_{n}"), "lot_name", "left")
     return found.na.fill(0)
 
 
@@ -567,42 +569,42 @@ def _fixed_lots(spark: SparkSession, sf_dir: str, batches: int = 1) -> AuditedTa
 
 @query(
     "csv_rescue_fixed_schema",
-    f"select * replace (cast(dias_entrega_prometidos as double) as dias_entrega_prometidos) from ({_RESCUED})",
+    f"select * replace (cast(promised_days as double) as promised_days) from ({_RESCUED})",
 )
 def csv_rescue_fixed_schema(spark, sf_dir):
     lots = _fixed_lots(spark, sf_dir).read().drop("_ingestion_timestamp", "_source_file")
-    return lots.withColumn("dias_entrega_prometidos", F.col("dias_entrega_prometidos").cast("double"))
+    return lots.withColumn("promised_days", F.col("promised_days").cast("double"))
 
 
 @query(
     "rescued_rows",
-    f"select orden_id, _rescued_data from ({_RESCUED}) where _rescued_data is not null",
+    f"select order_ref, _rescued_data from ({_RESCUED}) where _rescued_data is not null",
 )
 def rescued_rows_report(spark, sf_dir):
-    return rescued_rows(_fixed_lots(spark, sf_dir).read(), "orden_id")
+    return rescued_rows(_fixed_lots(spark, sf_dir).read(), "order_ref")
 
 
 @query(
     "rescued_summary",
     f"""
-    select lote_proceso, count(*) as total_registros, count(_rescued_data) as con_rescued_data
-    from ({_RESCUED}) group by lote_proceso
+    select lot_name, count(*) as total_registros, count(_rescued_data) as con_rescued_data
+    from ({_RESCUED}) group by lot_name
     """,
 )
 def rescued_summary_report(spark, sf_dir):
-    return rescued_summary(_fixed_lots(spark, sf_dir).read(), "lote_proceso")
+    return rescued_summary(_fixed_lots(spark, sf_dir).read(), "lot_name")
 
 
 @query(
     "admission_control",
     """
-    select 'LOTE-' || o_orderstatus as lote_proceso, count(*) as "count", true as several_batches
+    select 'LOTE-' || o_orderstatus as lot_name, count(*) as "count", true as several_batches
     from orders group by all
     """,
 )
 def admission_control(spark, sf_dir):
     target = _fixed_lots(spark, sf_dir, batches=2)
-    return group_counts(target.read(), "lote_proceso").withColumn("several_batches", F.lit(len(target.parts) > 1))
+    return group_counts(target.read(), "lot_name").withColumn("several_batches", F.lit(len(target.parts) > 1))
 
 
 @query(
@@ -643,10 +645,10 @@ def file_inventory_report(spark, sf_dir):
 @query(
     "csv_batch_preview",
     f"""
-    select orden_id, lote_proceso, fecha_orden, cliente_id, total_linea, estado_orden,
-           coalesce(cast(dias_entrega_prometidos as varchar), 'n/a') as dias_entrega_prometidos,
-           case when estado_orden <> 'F' then prioridad end as prioridad_envio,
-           case when estado_orden = 'P' then extra end as campo_extra_inesperado
+    select order_ref, lot_name, order_day, customer_ref, line_total, order_state,
+           coalesce(cast(promised_days as varchar), 'n/a') as promised_days,
+           case when order_state <> 'F' then prioridad end as ship_priority,
+           case when order_state = 'P' then extra end as extra_remark
     from ({_LOT})
     """,
 )
@@ -655,7 +657,7 @@ def csv_batch_preview(spark, sf_dir):
     base = scratch_path(spark, "preview")
     lots = [read_csv(spark, inputs.land_csv(inputs.lot(spark, sf_dir, s), f"{base}/{s}")) for s in ("F", "O", "P")]
     every = lots[0].unionByName(lots[1], True).unionByName(lots[2], True)
-    return every.withColumn("total_linea", F.col("total_linea").cast("double"))
+    return every.withColumn("line_total", F.col("line_total").cast("double"))
 
 
 @query(
@@ -695,14 +697,14 @@ def _landed_topic(spark: SparkSession, sf_dir: str, base: str, topic: str = "pag
     "topic_envelope",
     """
     select 'pagos' as kafka_topic, cast(user_id % 4 as integer) as kafka_partition, event_id as kafka_offset,
-           ts as kafka_timestamp, 0 as kafka_timestamp_type, cast(user_id as varchar) as prestamo_key
+           ts as kafka_timestamp, 0 as kafka_timestamp_type, cast(user_id as varchar) as user_key
     from events
     """,
 )
 def topic_envelope(spark, sf_dir):
     base = scratch_path(spark, "envelope")
     stream = read_topic_files(spark, _landed_topic(spark, sf_dir, base))
-    events = stream.select(*metadata_columns("prestamo_key"))
+    events = stream.select(*metadata_columns("user_key"))
     target = AuditedTable(spark, f"{base}/bronze")
     drain(for_each_batch(events, target.append, f"{base}/checkpoint"))
     return target.read().withColumn("kafka_timestamp", F.col("kafka_timestamp").cast("timestamp_ntz"))
@@ -722,11 +724,10 @@ def envelope_schema_id(spark, sf_dir):
 
 
 _DECODED = f"""
-    select 'EVT-' || event_id as evento_id, event_id as cuota_id, user_id as prestamo_id,
-           cast(cast(ts as date) as varchar) as fecha_pago, value as monto_pagado,
-           event_type as metodo_pago_codigo, date_trunc('millisecond', ts) as timestamp_evento,
-           case when ts >= timestamp '{inputs.SCHEMA_CHANGE_AT}' then props end as canal_codigo,
-           event_id as kafka_offset, cast(user_id as varchar) as prestamo_key, 'dev' as source_environment
+    select 'EVT-' || event_id as event_ref, event_id, user_id, cast(cast(ts as date) as varchar) as event_day, value,
+           event_type, date_trunc('millisecond', ts) as event_at,
+           case when ts >= timestamp '{inputs.SCHEMA_CHANGE_AT}' then props end as props,
+           event_id as kafka_offset, cast(user_id as varchar) as user_key, 'dev' as source_environment
     from events
 """
 
@@ -736,7 +737,7 @@ def topic_decode(spark, sf_dir):
     base = scratch_path(spark, "decode")
     stream = read_topic_files(spark, _landed_topic(spark, sf_dir, base))
     job = ingest_topic(
-        stream, inputs.registry(spark), "pagos", "dev", f"{base}/checkpoints", path=f"{base}/bronze", key_alias="prestamo_key"
+        stream, inputs.registry(spark), "pagos", "dev", f"{base}/checkpoints", path=f"{base}/bronze", key_alias="user_key", payload_format="json"
     )
     drain(job)
     return _decoded_columns(AuditedTable(spark, f"{base}/bronze").read())
@@ -744,48 +745,40 @@ def topic_decode(spark, sf_dir):
 
 def _decoded_columns(events: DataFrame) -> DataFrame:
     return events.select(
-        "evento_id",
-        "cuota_id",
-        "prestamo_id",
-        F.col("fecha_pago").cast("string").alias("fecha_pago"),
-        "monto_pagado",
-        "metodo_pago_codigo",
-        F.col("timestamp_evento").cast("timestamp_ntz").alias("timestamp_evento"),
-        "canal_codigo",
-        "kafka_offset",
-        "prestamo_key",
-        "source_environment",
-    )
+        "event_ref", "event_id", "user_id", F.col("event_day").cast("string").alias("event_day"), "value", "event_type",
+        F.col("event_at").cast("timestamp_ntz").alias("event_at"), "props", "kafka_offset", "user_key", "source_environment",
+    )
 
 
 @query("topic_decode_batch", _DECODED)
 def topic_decode_batch(spark, sf_dir):
     """The decoder on a bounded read of the topic."""
-    events = decode_topic(inputs.messages(spark, sf_dir), inputs.payment_schemas(), "dev", "prestamo_key")
+    events = decode_topic(inputs.messages(spark, sf_dir), inputs.payload_schemas(), "dev", "user_key", payload_format="json")
     return _decoded_columns(events)
 
 
 @query(
     "topic_permissive",
     """
-    select event_id % 3 = 0 as undecoded, count(*) as n, count(*) filter (event_id % 3 <> 0) as decoded
-    from events group by all
+    select event_id as kafka_offset, event_id % 3 = 0 as undecoded, case when event_id % 3 <> 0 then 'EVT-' || event_id end as event_ref,
+           case when event_id % 3 <> 0 then value end as value, case when event_id % 3 <> 0 then event_type end as event_type
+    from events
     """,
 )
 def topic_permissive(spark, sf_dir):
     """Every third body is cut short: its event is NULL and its raw value is kept."""
     cut = F.when(F.col("offset") % 3 == 0, F.expr("substring(value, 1, 9)")).otherwise(F.col("value"))
     messages = inputs.messages(spark, sf_dir).withColumn("value", cut)
-    events = decode_topic(messages, inputs.payment_schemas(), "dev", mode="PERMISSIVE", keep_undecoded=True)
-    return events.groupBy(F.col("undecoded").isNotNull().alias("undecoded")).agg(
-        F.count(F.lit(1)).alias("n"), F.count("evento_id").alias("decoded")
+    events = decode_topic(
+        messages, inputs.payload_schemas(), "dev", mode="PERMISSIVE", keep_undecoded=True, payload_format="json"
     )
+    return events.select("kafka_offset", F.col("undecoded").isNotNull().alias("undecoded"), "event_ref", "value", "event_type")
 
 
 @query(
     "topic_two_targets",
     """
-    select topic as target, topic as kafka_topic, count(*) as n, count(distinct user_id) as loans,
+    select topic as target, topic as kafka_topic, count(*) as n, count(distinct user_id) as users,
            min(event_id) as first_offset, max(event_id) as last_offset
     from events cross join (values ('pagos'), ('transacciones')) as t(topic) group by topic
     """,
@@ -796,13 +789,13 @@ def topic_two_targets(spark, sf_dir):
     reports = []
     for topic in ("pagos", "transacciones"):
         stream = read_topic_files(spark, _landed_topic(spark, sf_dir, base, topic))
-        drain(ingest_topic(stream, inputs.registry(spark, topic), topic, "dev", f"{base}/checkpoints", path=f"{base}/bronze_{topic}"))
+        drain(ingest_topic(stream, inputs.registry(spark, topic), topic, "dev", f"{base}/checkpoints", path=f"{base}/bronze_{topic}", payload_format="json"))
         bronze = AuditedTable(spark, f"{base}/bronze_{topic}").read()
         reports.append(
             bronze.groupBy("kafka_topic")
             .agg(
                 F.count(F.lit(1)).alias("n"),
-                F.count_distinct("prestamo_id").alias("loans"),
+                F.count_distinct("user_id").alias("users"),
                 F.min("kafka_offset").alias("first_offset"),
                 F.max("kafka_offset").alias("last_offset"),
             )

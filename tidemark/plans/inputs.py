@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.avro import encode_avro
 from tidemark.sources.batch import file_inventory
 
 EVENT_RULES = {
@@ -19,37 +18,35 @@ EVENT_RULES = {
 }
 LOT_SCHEMA = (
     T.StructType()
-    .add("orden_id", "string")
-    .add("lote_proceso", "string")
-    .add("fecha_orden", "string")
-    .add("cliente_id", "string")
-    .add("total_linea", "double")
-    .add("estado_orden", "string")
-    .add("dias_entrega_prometidos", "integer")
+    .add("order_ref", "string")
+    .add("lot_name", "string")
+    .add("order_day", "string")
+    .add("customer_ref", "string")
+    .add("line_total", "double")
+    .add("order_state", "string")
+    .add("promised_days", "integer")
 )
 SCHEMA_CHANGE_AT = "2024-01-15 00:00:00"
-PAYMENT_FIELDS = [
-    '{"name": "evento_id", "type": "string"}',
-    '{"name": "cuota_id", "type": "long"}',
-    '{"name": "prestamo_id", "type": "long"}',
-    '{"name": "fecha_pago", "type": {"type": "int", "logicalType": "date"}}',
-    '{"name": "monto_pagado", "type": "double"}',
-    '{"name": "metodo_pago_codigo", "type": "string"}',
-    '{"name": "timestamp_evento", "type": {"type": "long", "logicalType": "timestamp-millis"}}',
-]
-CHANNEL_FIELD = '{"name": "canal_codigo", "type": ["null", "string"]}'
+PAYLOAD = (
+    T.StructType()
+    .add("event_ref", "string")
+    .add("event_id", "long")
+    .add("user_id", "long")
+    .add("event_day", "date")
+    .add("value", "double")
+    .add("event_type", "string")
+    .add("event_at", "timestamp")
+)
+ADDED_FIELD = T.StructField("props", T.StringType())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def record(fields: list[str]) -> str:
-    return '{"type": "record", "name": "Payment", "fields": [%s]}' % ", ".join(fields)
-
-
 def loan_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as changes of the loan of their customer."""
+    # The column names that the loan views read.
     return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("prestamo_id"),
         F.col("o_custkey").alias("cliente_id"),
@@ -95,15 +92,15 @@ def lot(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status)
     urgent = F.col("o_orderpriority").startswith("3")
     columns = {
-        "orden_id": F.concat(F.lit("ORD-"), F.col("o_orderkey")),
-        "lote_proceso": F.concat(F.lit("LOTE-"), F.col("o_orderstatus")),
-        "fecha_orden": F.col("o_orderdate").cast("date"),
-        "cliente_id": F.col("o_custkey"),
-        "total_linea": F.col("o_totalprice"),
-        "estado_orden": F.col("o_orderstatus"),
-        "dias_entrega_prometidos": F.when(urgent, F.lit("n/a")).otherwise(F.length("o_orderpriority").cast("string")),
-        "prioridad_envio": F.substring("o_orderpriority", 3, 20),
-        "campo_extra_inesperado": F.concat(F.lit("valor "), F.col("o_custkey")),
+        "order_ref": F.concat(F.lit("ORD-"), F.col("o_orderkey")),
+        "lot_name": F.concat(F.lit("LOTE-"), F.col("o_orderstatus")),
+        "order_day": F.col("o_orderdate").cast("date"),
+        "customer_ref": F.col("o_custkey"),
+        "line_total": F.col("o_totalprice"),
+        "order_state": F.col("o_orderstatus"),
+        "promised_days": F.when(urgent, F.lit("n/a")).otherwise(F.length("o_orderpriority").cast("string")),
+        "ship_priority": F.substring("o_orderpriority", 3, 20),
+        "extra_remark": F.concat(F.lit("valor "), F.col("o_custkey")),
     }
     names = list(columns)
     if status == "F":
@@ -132,36 +129,36 @@ def land_scrambled(df: DataFrame, path: str, key: str, lots: int = 3) -> str:
 
 
 def messages(spark: SparkSession, sf_dir: str, topic: str = "pagos") -> DataFrame:
-    """Events as topic messages, with a new schema version from ``SCHEMA_CHANGE_AT`` on."""
-    events = table(spark, sf_dir, "events").select(
+    """Events as topic messages with JSON bodies, with a new schema version from ``SCHEMA_CHANGE_AT`` on."""
+    at = F.col("ts").cast("timestamp")
+    late = at >= F.lit(SCHEMA_CHANGE_AT).cast("timestamp")
+    fields = [
+        F.concat(F.lit("EVT-"), F.col("event_id")).alias("event_ref"),
+        "event_id",
+        "user_id",
+        F.col("ts").cast("date").alias("event_day"),
+        "value",
+        "event_type",
+        at.alias("event_at"),
+    ]
+    schema_id = F.when(late, 2).otherwise(1)
+    body = F.when(late, F.to_json(F.struct(*fields, "props"))).otherwise(F.to_json(F.struct(*fields)))
+    head = F.unhex(F.concat(F.lit("00"), F.lpad(F.hex(schema_id), 8, "0")))
+    return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.concat(head, body.cast("binary")).alias("value"),
         F.lit(topic).alias("topic"),
         F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        at.alias("timestamp"),
         F.lit(0).alias("timestampType"),
-        F.struct(
-            F.concat(F.lit("EVT-"), F.col("event_id")).alias("evento_id"),
-            F.col("event_id").alias("cuota_id"),
-            F.col("user_id").alias("prestamo_id"),
-            F.col("ts").cast("date").alias("fecha_pago"),
-            F.col("value").alias("monto_pagado"),
-            F.col("event_type").alias("metodo_pago_codigo"),
-            F.col("ts").cast("timestamp").alias("timestamp_evento"),
-            F.col("props").alias("canal_codigo"),
-        ).alias("payload"),
     )
-    late = F.col("timestamp") >= F.lit(SCHEMA_CHANGE_AT).cast("timestamp")
-    schemas = payment_schemas()
-    old = encode_avro(events.where(~late), "payload", schemas[1], 1)
-    new = encode_avro(events.where(late), "payload", schemas[2], 2)
-    return old.unionByName(new).drop("payload")
 
 
-def payment_schemas() -> dict[int, str]:
-    return {1: record(PAYMENT_FIELDS), 2: record([*PAYMENT_FIELDS, CHANNEL_FIELD])}
+def payload_schemas() -> dict[int, str]:
+    return {1: PAYLOAD.json(), 2: T.StructType([*PAYLOAD.fields, ADDED_FIELD]).json()}
 
 
 def registry(spark: SparkSession, topic: str = "pagos") -> DataFrame:
-    rows = [(f"{topic}-value", i, text) for i, text in payment_schemas().items()]
+    rows = [(f"{topic}-value", i, text) for i, text in payload_schemas().items()]
     return spark.createDataFrame(rows, "subject string, schema_id int, schema_json string")

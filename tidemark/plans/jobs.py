@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.avro import decode_avro, record_struct, split_envelope
+from tidemark.functions.payloads import decode_payload, payload_names, split_envelope
 from tidemark.operators.cdc import ChangeRules
 from tidemark.operators.views import customer_current, loan_current, loan_history
 from tidemark.sources.csv_lots import RESCUED
@@ -51,17 +51,18 @@ def decode_topic(
     key_alias: str = "kafka_key",
     mode: str = "FAILFAST",
     keep_undecoded: bool = False,
+    payload_format: str = "avro",
 ) -> DataFrame:
     """Payload fields, topic metadata, key as text, ingest time and environment.
 
     ``keep_undecoded`` adds ``undecoded``: the raw value of a message that did not decode.
     """
     own = [*METADATA_COLUMNS, key_alias, "ingested_at", "source_environment"]
-    clashes = sorted(set(own) & set(record_struct(schemas[max(schemas)]).names))
+    clashes = sorted(set(own) & set(payload_names(schemas[max(schemas)])))
     if clashes:
         raise ValueError(f"payload fields {', '.join(clashes)} have the names of metadata columns")
     envelope = split_envelope(messages.select(*metadata_columns(key_alias), "value"))
-    events = decode_avro(envelope, schemas, mode)
+    events = decode_payload(envelope, schemas, mode, payload_format)
     undecoded = F.when(F.col("event").isNull(), F.col("value")).alias("undecoded")
     return (
         events.select("event.*", *METADATA_COLUMNS, key_alias, *([undecoded] if keep_undecoded else []))
@@ -85,12 +86,15 @@ def ingest_topic(
     interval: str | None = None,
     name: str | None = None,
     output_mode: str = "append",
+    payload_format: str = "avro",
+    checkpoint: str | None = None,
 ) -> StreamingQuery:
     """Decode one topic into a bronze table; every topic has a query and a checkpoint of its own.
 
     Writes to the catalog table ``target`` (``path`` places its files), or with ``path`` alone to
     an audited table, which also takes up new payload fields. The schemas are read once, when the
     job starts: a message with an unknown schema id fails its batch, and the next run reloads them.
+    ``checkpoint`` overrides the folder below ``checkpoint_base``.
     """
     if not topic or not environment:
         raise ValueError("topic and environment are required")
@@ -99,8 +103,8 @@ def ingest_topic(
     if not target and output_mode != "append":
         raise ValueError("an audited table can only be appended to")
     schemas = subject_schemas(registry, subject or default_subject(topic))
-    events = decode_topic(messages, schemas, environment, key_alias, mode, keep_undecoded=mode == "PERMISSIVE")
-    checkpoint = f"{checkpoint_base.rstrip('/')}/{safe_name(topic)}"
+    events = decode_topic(messages, schemas, environment, key_alias, mode, mode == "PERMISSIVE", payload_format)
+    checkpoint = checkpoint or f"{checkpoint_base.rstrip('/')}/{safe_name(topic)}"
     name = name or f"bronze_{safe_name(topic)}_kafka"
     if target:
         return append_stream(events, target, checkpoint, trigger, interval, name, output_mode, path)
