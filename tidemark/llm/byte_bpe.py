@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import CHUNKS, Cache, small_batches, table
+from tidemark.llm.common import CHUNKS, Cache, kept_in_worker, small_batches, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -129,7 +129,7 @@ def encode_documents(df: DataFrame, key: str, text: str, path: str, pattern: str
     shared = _broadcast(df.sparkSession, path)
 
     def batches(parts):
-        codec = Codec(*shared.value, pattern)
+        codec = kept_in_worker(f"codec {path} {pattern}", lambda: Codec(*shared.value, pattern))
         for batch in parts:
             ids = [codec.encode(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -147,7 +147,7 @@ def digest_documents(df: DataFrame, key: str, text: str, path: str, pattern: str
     shared = _broadcast(df.sparkSession, path)
 
     def batches(parts):
-        codec = Codec(*shared.value, pattern)
+        codec = kept_in_worker(f"codec {path} {pattern}", lambda: Codec(*shared.value, pattern))
         for batch in parts:
             counts, digests, decoded = [], [], []
             for chunks in codec.look_up([t or "" for t in batch.column(1).to_pylist()]):

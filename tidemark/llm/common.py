@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -61,3 +63,16 @@ class Cache(dict):
             self.clear()
             self.update(kept)
         return new
+
+
+def worker_store() -> dict:
+    """A dict that lives as long as the Python worker, for what one task can leave to the next."""
+    return sys.modules.setdefault("tidemark_worker_store", types.ModuleType("tidemark_worker_store")).__dict__
+
+
+def kept_in_worker(name: str, make):
+    """What ``make`` gives, made once per worker."""
+    store = worker_store()
+    if name not in store:
+        store[name] = make()
+    return store[name]

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WHITE_SPACE, Cache, small_batches, table, with_row_id, written
+from tidemark.llm.common import WHITE_SPACE, Cache, kept_in_worker, small_batches, table, with_row_id, written
 from tidemark.llm.token_counts import load_tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
@@ -167,9 +167,14 @@ class WordEncoder:
     UNITS = regex.compile(f"[^{WHITE_SPACE}]+")
     ODD_SPACE = regex.compile("[\x1c-\x1f]")
 
-    def __init__(self, path: str, bound: int = 300_000):
+    JOINED = 1000
+
+    def __init__(self, path: str, bound: int = 600_000):
         self.tokenizer = load_tokenizer(path)
         self.units, self.words = Cache(bound), Cache(bound)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def split(self, text: str) -> list[str]:
         # str.split takes four control characters for white space that the tokenizer keeps.
@@ -179,23 +184,38 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def merged(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, encoded many at a time: a word's last token is the one that closes it."""
+        texts = [" ".join(words[i : i + self.JOINED]) for i in range(0, len(words), self.JOINED)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in found]) if found else np.zeros(0, "<u4")
+        raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)] if len(ends) == len(words) else self.library(words)
+
+    def words_of(self, unit: str) -> list[str]:
+        """The pre-tokens of a unit of Latin letters; mostly it is one word, with a mark after it or not."""
+        lowered = unit.lower() if unit.isascii() else unicodedata.normalize("NFC", unit).lower()
+        if lowered.isalpha():
+            return [lowered]
+        if lowered[-1] in ".,;:!?" and lowered[:-1].isalpha():
+            return [lowered[:-1], lowered[-1]]
+        return self.SPLIT.findall(lowered)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         parts = [self.split(t) for t in texts]
         wanted = set()
         for units in parts:
             wanted.update(units)
-        new = self.units.missing(wanted)
         plain, other = [], []
-        for unit in new:
+        for unit in self.units.missing(wanted):
             if "<|" not in unit and "İ" not in unit and self.PLAIN.fullmatch(unit):
-                lowered = unit.lower() if unit.isascii() else unicodedata.normalize("NFC", unit).lower()
-                plain.append((unit, self.SPLIT.findall(lowered)))
+                plain.append((unit, self.words_of(unit)))
             else:
                 other.append(unit)
         words = {w for _, found in plain for w in found}
         fresh = self.words.missing(words)
-        self.words.update(zip(fresh, self.library(fresh) if fresh else []))
+        self.words.update(zip(fresh, self.merged(fresh)))
         word = self.words.__getitem__
         self.units.update((unit, b"".join(map(word, found))) for unit, found in plain)
         self.units.update(zip(other, self.library(other) if other else []))
@@ -213,7 +233,7 @@ def token_pieces(df: DataFrame, key: str, text: str, path: str, capacity: int =
     close = end.to_bytes(4, "little")
 
     def batches(parts):
-        encoder = WordEncoder(path)
+        encoder = kept_in_worker(f"words {path}", lambda: WordEncoder(path))
         for batch in parts:
             rows, numbers, starts, lengths, sums = [], [], [], [], []
             for row, ids in enumerate(encoder.encode([t or "" for t in batch.column(1).to_pylist()])):

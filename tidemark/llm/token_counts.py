@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import CHUNKS, Cache, small_batches, table
+from tidemark.llm.common import CHUNKS, Cache, kept_in_worker, small_batches, table
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
@@ -95,7 +95,7 @@ def count_tokens(df: DataFrame, key: str, text: str, path: str, pattern: str) ->
     whole = df.sparkSession.sparkContext.broadcast(whole_tokens(path, pattern))
 
     def batches(parts):
-        counter = Counter(path, pattern, whole.value)
+        counter = kept_in_worker(f"counts {path} {pattern}", lambda: Counter(path, pattern, whole.value))
         for batch in parts:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             sizes = [len(t.encode()) for t in texts]
