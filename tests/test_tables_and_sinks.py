@@ -10,7 +10,7 @@ from tidemark.operators.cdc import ChangeRules
 from tidemark.operators.quality import expect, expect_stream, expectation_metrics
 from tidemark.operators.views import CUSTOMER_EXPECTATIONS
 from tidemark.plans.jobs import core_tables, pull_into, silver_views
-from tidemark.sources.cursor import jdbc_reader, pull_by_cursor
+from tidemark.sources.cursor import cursor_text, cursor_value, jdbc_reader, pull_by_cursor
 from tidemark.streaming.change_targets import ChangeTarget
 from tidemark.streaming.sinks import append_audited, append_stream, drain, for_each_batch, safe_name, trigger_options
 from tidemark.streaming.tables import AuditedTable, ConcurrentWriteError, describe_table, refresh_view
@@ -201,6 +201,31 @@ def test_jdbc_reads_are_partitioned_by_the_range_found(spark, low, high, bounds)
         assert (whole["lowerBound"], whole["upperBound"]) == bounds
 
 
+@pytest.mark.parametrize(
+    "last, condition",
+    [("7", "7"), ("2024-01-05 00:00:00", "'2024-01-05 00:00:00'"), ("1704412800000001 us", "TIMESTAMP '2024-01-05 00:00:00.000001+00:00'")],
+)
+def test_later_jdbc_pulls_cut_the_range_that_is_left(spark, last, condition):
+    log, answer = [], spark.sql("select cast(7 as bigint) as low, cast(9 as bigint) as high, 7L as changed")
+    session = type("Session", (), {"read": property(lambda _: RecordedReader(answer, log))})()
+    pull_by_cursor(jdbc_reader(session, "jdbc:x", "t", "id", None, 8), "changed", last)
+    asked, whole = log
+    assert asked["query"] == f"SELECT MIN(id) AS low, MAX(id) AS high FROM t WHERE changed >= {condition}"
+    assert (whole["lowerBound"], whole["upperBound"], whole["numPartitions"]) == ("7", "9", 8)
+
+
+def test_cursor_values_mean_the_same_in_every_zone(spark):
+    rows = spark.sql("select timestamp'2024-01-05 01:02:03.000004Z' as changed")
+    text = rows.agg(cursor_text(rows, "changed")).first()[0]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert pull_by_cursor(lambda: rows, "changed", text).count() == 1
+        assert rows.where(rows["changed"] > cursor_value(text, rows.schema["changed"].dataType)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_core_tables_to_silver_views(spark, base):
     def read(name):
         return {
@@ -232,7 +257,13 @@ def test_core_tables_to_silver_views(spark, base):
     )
     changes = [("P1", "old", "INSERT", at(1)), ("P1", "Hipoteca", "UPDATE", at(2)), ("GONE", "x", "INSERT", at(1)), ("GONE", None, "DELETE", at(2))]
     products.merge(spark.createDataFrame(changes, feed), "job", 0)
-    views = silver_views(core, products, f"{base}/silver")
+    name = "m_cliente_" + base.rsplit("-", 1)[-1]
+    views = silver_views(core, products, f"{base}/silver", {"m_cliente": name})
+    assert spark.table(name).count() == 2
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"describe table extended {name}").collect()}
+    assert about["Comment"] == "Current customers"
+    logged = AuditedTable(spark, f"{base}/silver/expectations").read().collect()
+    assert [tuple(r) for r in logged] == [(0, "m_cliente", "tipdoc_no_nulo", 1, 1)]
     customers = sorted(map(tuple, views["m_cliente"].read().collect()))
     assert customers == [(1, "DNI", "Ana", "Paz", None, None), (2, None, "Luis", "Rey", None, None)]
     history = views["h_prestamo"].read().collect()

@@ -20,7 +20,16 @@ from tidemark.operators.reports import (
 from tidemark.operators.views import CUSTOMER_EXPECTATIONS, customer_current, loan_current, loan_history
 from tidemark.plans import inputs
 from tidemark.plans.inputs import EVENT_RULES, LOT_SCHEMA, table
-from tidemark.plans.jobs import decode_topic, ingest_lots, ingest_topic, product_dimension, pull_into
+from tidemark.plans.jobs import (
+    PRODUCT_RULES,
+    core_tables,
+    decode_topic,
+    ingest_lots,
+    ingest_topic,
+    product_dimension,
+    pull_into,
+    silver_views,
+)
 from tidemark.sources.batch import file_inventory, read_csv, read_table
 from tidemark.sources.cursor import pull_by_cursor
 from tidemark.sources.topics import TOPIC_SCHEMA, metadata_columns, read_topic_files
@@ -381,6 +390,68 @@ def silver_refresh(spark, sf_dir):
     return refresh_view(loan_history(target.read(), lookup), f"{base}/h_prestamo").read()
 
 
+_CORE_TIME = f"timestamp '{inputs.CORE_FIRST_PULL}'"
+
+
+def _core_to_silver(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
+    """Two rounds of the four core pulls, each followed by a refresh of the three views; their catalog names."""
+    base = scratch_path(spark, "core")
+    names = {v: f"{v}_{base.rsplit('-', 1)[-1]}" for v in ("m_cliente", "h_prestamo", "m_prestamo")}
+    products = ChangeTarget(spark, f"{base}/products", PRODUCT_RULES, 1)
+    products.merge(inputs.product_log(spark, sf_dir), "feed", 0)
+    for until in (inputs.CORE_FIRST_PULL, "9999-12-31 00:00:00"):
+        seen = F.col("fec_modificacion") < F.lit(until).cast("timestamp_ntz")
+        core = core_tables(spark, lambda name, seen=seen: inputs.core_table(spark, sf_dir, name).where(seen), f"{base}/core")
+        silver_views(core, products, f"{base}/silver", names)
+    return base, names
+
+
+@query(
+    "core_to_silver",
+    f"""
+    with loans as (
+        select o_orderkey, o_orderstatus, o_orderdate, coalesce(descripcion, '-') as product from orders
+        left join (select codigo, descripcion from ({_PRODUCTS}) where rn = 1 and not gone) on cast(o_custkey as varchar) = codigo
+    )
+    select 'm_cliente' as view_name, c_custkey as id, c_name || '|' || c_mktsegment || '|' || coalesce(nullif(c_mktsegment, 'BUILDING'), '-') as detail
+    from customer
+    union all select 'h_prestamo', o_orderkey, product || '|' || o_orderstatus || '|' || strftime(o_orderdate, '%Y-%m-%d') from loans
+    union all select 'm_prestamo', o_orderkey, product from loans
+    """,
+)
+def core_to_silver(spark, sf_dir):
+    """From the core tables to the views, read by their names."""
+    _, names = _core_to_silver(spark, sf_dir)
+    product = F.coalesce("producto", F.lit("-"))
+    since = F.date_format("__START_AT", "yyyy-MM-dd")
+    details = {
+        "m_cliente": ("cliente_id", F.concat_ws("|", "nombre", "apellido", F.coalesce("cod_tipodoc", F.lit("-")))),
+        "h_prestamo": ("prestamo_id", F.concat_ws("|", product, "estado_prestamo_codigo", since)),
+        "m_prestamo": ("prestamo_id", product),
+    }
+    views = [
+        spark.table(names[v]).select(F.lit(v).alias("view_name"), F.col(key).alias("id"), detail.alias("detail"))
+        for v, (key, detail) in details.items()
+    ]
+    return views[0].unionByName(views[1]).unionByName(views[2])
+
+
+@query(
+    "customer_expectation_log",
+    f"""
+    select cast(refresh as integer) as refresh, 'm_cliente' as view_name, 'tipdoc_no_nulo' as rule,
+           count(*) filter (c_mktsegment <> 'BUILDING') as passed, count(*) filter (c_mktsegment = 'BUILDING') as failed
+    from customer join (values (0), (1)) as r(refresh)
+        on refresh = 1 or timestamp '1994-12-20' + to_days(cast(c_nationkey as integer)) < {_CORE_TIME}
+    group by refresh
+    """,
+)
+def customer_expectation_log(spark, sf_dir):
+    """How many customers met the expectation at each refresh of their view."""
+    base, _ = _core_to_silver(spark, sf_dir)
+    return AuditedTable(spark, f"{base}/silver/expectations").read()
+
+
 @query(
     "customer_current",
     """

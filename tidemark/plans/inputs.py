@@ -84,6 +84,30 @@ def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CORE_FIRST_PULL = "1995-01-01 00:00:00"
+
+
+def core_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a core system keeps it, with the column by which it is pulled."""
+    # The column names that the silver views read.
+    if name == "prestamo":
+        loans = loan_log(spark, sf_dir)
+        return loans.withColumn("prestamo_id", F.col("orden")).drop("orden")
+    if name == "cliente":
+        customers = customer_versions(spark, sf_dir).drop("__END_AT")
+        return customers.withColumn("fec_modificacion", _day(F.col("fecha_nacimiento")))
+    if name == "cuenta":
+        accounts = table(spark, sf_dir, "supplier")
+        return accounts.select(F.col("s_suppkey").alias("cuenta_id"), "s_acctbal", _day(F.col("s_nationkey")).alias("fec_modificacion"))
+    parts = table(spark, sf_dir, "part")
+    return parts.select(F.col("p_partkey").alias("cuota_id"), "p_retailprice", _day(F.col("p_partkey") % 25).alias("fec_modificacion"))
+
+
+def _day(number):
+    """A day of December 1994 or January 1995, so that a first pull sees about half of the rows."""
+    return F.date_add(F.lit("1994-12-20").cast("date"), number.cast("int")).cast("timestamp_ntz")
+
+
 def lot(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     """Orders of one status as a lot of text columns.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +12,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.payloads import decode_payload, payload_names, split_envelope
 from tidemark.operators.cdc import ChangeRules
-from tidemark.operators.views import customer_current, loan_current, loan_history
+from tidemark.operators.quality import expect
+from tidemark.operators.views import CUSTOMER_EXPECTATIONS, customer_current, loan_current, loan_history
 from tidemark.sources.csv_lots import RESCUED
-from tidemark.sources.cursor import pull_by_cursor
+from tidemark.sources.cursor import cursor_text, pull_by_cursor
 from tidemark.sources.topics import METADATA_COLUMNS, default_subject, metadata_columns, subject_schemas
 from tidemark.streaming.change_targets import ChangeTarget, merge_into
 from tidemark.streaming.files import change_feed_columns, ingest_files
 from tidemark.streaming.sinks import append_audited, append_stream, safe_name
-from tidemark.streaming.tables import AuditedTable, refresh_view
+from tidemark.streaming.tables import AuditedTable, publish, refresh_view
 
 # Columns and rules of the product feed.
 PRODUCT_FEED = (
@@ -152,8 +154,10 @@ def product_dimension(
 ) -> tuple[StreamingQuery, ChangeTarget, ChangeTarget]:
     """A CSV change feed into a bronze table, and from it the current and the historical table.
 
-    One micro-batch appends its events and then applies them to both targets.
+    One micro-batch appends its events and then applies them to both targets. What the schema has no
+    place for stays in the bronze table's rescue column.
     """
+    rules = replace(rules, except_columns=[*rules.except_columns, RESCUED])
     current = ChangeTarget(spark, f"{base}/current", rules, 1)
     history = ChangeTarget(spark, f"{base}/history", rules, 2)
     query = ingest_files(
@@ -162,7 +166,7 @@ def product_dimension(
         f"{base}/bronze",
         checkpoint=f"{base}/checkpoint",
         schema=schema,
-        evolution="none",
+        evolution="rescue",
         max_files=max_files,
         added=change_feed_columns(),
         then=lambda events, writer, number: merge_into(events, [current, history], writer, number),
@@ -192,7 +196,7 @@ def _apply_pull(target: ChangeTarget, pulls: AuditedTable, number: int, cursor:
     if target.table.has("pull", number):
         return
     landed = pulls.read_parts([f"pull/{number}"])
-    reached = landed.agg(F.max(cursor).cast("string")).first()[0] or target.table.parameter("cursor_value")
+    reached = landed.agg(cursor_text(landed, cursor)).first()[0] or target.table.parameter("cursor_value")
     target.merge(landed, "pull", number, {"cursor_value": reached} if reached else None)
 
 
@@ -210,14 +214,29 @@ def core_tables(
     return targets
 
 
+# What the silver views are, as comments of their tables.
+SILVER_COMMENTS = {
+    "m_cliente": "Current customers",
+    "h_prestamo": "Loan versions with their product",
+    "m_prestamo": "Current loans with their product",
+}
+
+
 def silver_views(
-    core: dict[str, ChangeTarget], products: ChangeTarget, base: str
+    core: dict[str, ChangeTarget], products: ChangeTarget, base: str, names: dict[str, str] | None = None
 ) -> dict[str, AuditedTable]:
-    """Full refresh of the customer and loan views from the core tables and the product lookup."""
+    """Full refresh of the customer and loan views from the core tables and the product lookup.
+
+    ``names`` gives views a catalog name. Each refresh adds to the table ``expectations`` how many
+    customers met and failed the expectations, counted while the view is written.
+    """
     loans, lookup = core["prestamo"].read(), products.read()
-    frames = {
-        "m_cliente": customer_current(core["cliente"].read()),
-        "h_prestamo": loan_history(loans, lookup),
-        "m_prestamo": loan_current(loans, lookup),
-    }
-    return {name: refresh_view(df, f"{base}/{name}") for name, df in frames.items()}
+    customers, seen = expect(customer_current(core["cliente"].read()), CUSTOMER_EXPECTATIONS)
+    frames = {"m_cliente": customers, "h_prestamo": loan_history(loans, lookup), "m_prestamo": loan_current(loans, lookup)}
+    views = {name: refresh_view(df, f"{base}/{name}") for name, df in frames.items()}
+    log, version = AuditedTable(products.spark, f"{base}/expectations"), views["m_cliente"].last()["version"]
+    rows = [(version, "m_cliente", rule, seen.get[f"{rule}_passed"], seen.get[f"{rule}_failed"]) for rule in CUSTOMER_EXPECTATIONS]
+    log.append(products.spark.createDataFrame(rows, "refresh int, view_name string, rule string, passed long, failed long"), "m_cliente", version)
+    for view, name in (names or {}).items():
+        publish(views[view], name, SILVER_COMMENTS[view])
+    return views

@@ -6,24 +6,49 @@ pulls only the last is seen.
 
 from __future__ import annotations
 
+import inspect
+import re
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def pull_by_cursor(read: Callable[[], DataFrame], cursor: str, last_value: str | None = None) -> DataFrame:
+_MICROS = re.compile(r"-?\d+ us")
+
+
+def cursor_text(df: DataFrame, cursor: str) -> Column:
+    """The greatest cursor value of ``df`` as text that means the same in every session.
+
+    An instant is kept as microseconds since 1970 in UTC, anything else as Spark prints it.
+    """
+    greatest = F.max(cursor)
+    if isinstance(df.schema[cursor].dataType, T.TimestampType):
+        return F.concat(F.unix_micros(greatest).cast("string"), F.lit(" us"))
+    return greatest.cast("string")
+
+
+def cursor_value(text: str, kind: T.DataType) -> Column:
+    """The value that :func:`cursor_text` kept; plain texts are cast."""
+    if isinstance(kind, T.TimestampType) and _MICROS.fullmatch(text):
+        return F.timestamp_micros(F.lit(int(text.split()[0])))
+    return F.lit(text).cast(kind)
+
+
+def pull_by_cursor(read: Callable[..., DataFrame], cursor: str, last_value: str | None = None) -> DataFrame:
     """Rows whose cursor is at or after ``last_value`` (text); all rows on the first pull.
 
     At, not after: rows that share the last cursor value may arrive after a pull. Applying them
     twice changes nothing, because change targets order and fold by key and cursor. The
-    comparison is a plain column filter, so Spark pushes it to the source.
+    comparison is a plain column filter, so Spark pushes it to the source. A reader that takes the
+    cursor and its last value (as :func:`jdbc_reader`'s does) is given them.
     """
-    table = read()
+    table = read(cursor, last_value) if len(inspect.signature(read).parameters) >= 2 else read()
     if last_value is None:
         return table
-    return table.where(F.col(cursor) >= F.lit(last_value).cast(table.schema[cursor].dataType))
+    return table.where(F.col(cursor) >= cursor_value(last_value, table.schema[cursor].dataType))
 
 
 def jdbc_reader(
@@ -37,8 +62,9 @@ def jdbc_reader(
 ) -> Callable[[], DataFrame]:
     """A reader of a database table for :func:`pull_by_cursor`, with ``partitions`` parallel reads.
 
-    ``partition_column`` is numeric, date or timestamp, for example the cursor. Its range is asked
-    from the database at each read; it only places the cuts, so no row is left out.
+    ``partition_column`` is numeric, date or timestamp, for example the cursor. Its range over the rows
+    to pull is asked from the database at each read, so a pull of a few recent rows is cut into as many
+    reads as the first one. The range only places the cuts, so no row is left out.
     """
     if partitions < 1:
         raise ValueError("partitions must be at least 1")
@@ -46,9 +72,11 @@ def jdbc_reader(
     def source() -> DataFrameReader:
         return spark.read.format("jdbc").options(**(properties or {})).option("url", url)
 
-    def read() -> DataFrame:
+    def read(cursor: str | None = None, last_value: str | None = None) -> DataFrame:
         whole = source().option("dbtable", table).option("fetchsize", fetch_size)
         asked = f"SELECT MIN({partition_column}) AS low, MAX({partition_column}) AS high FROM {table}"
+        if cursor and last_value is not None:
+            asked += f" WHERE {cursor} >= {_literal(last_value)}"
         found = source().option("query", asked).load()
         found = found.select(*[_bound(found, name) for name in found.columns]).first()
         if found[0] is None or partitions == 1:
@@ -64,6 +92,14 @@ def jdbc_reader(
     return read
 
 
+def _literal(text: str) -> str:
+    """A cursor value as SQL text; instants in UTC."""
+    if _MICROS.fullmatch(text):
+        moment = datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=int(text.split()[0]))
+        return f"TIMESTAMP '{moment.strftime('%Y-%m-%d %H:%M:%S.%f')}+00:00'"
+    return text if re.fullmatch(r"-?\d+(\.\d+)?", text) else "'" + text.replace("'", "''") + "'"
+
+
 def _bound(found: DataFrame, name: str) -> Column:
     """A bound as the text the reader takes: whole numbers, dates or timestamps."""
     column = F.col(name)

@@ -236,6 +236,19 @@ def refresh_view(df: DataFrame, path: str, name: str | None = None) -> AuditedTa
     return table
 
 
+def publish(table: AuditedTable, name: str, comment: str | None = None, properties: dict[str, str] | None = None) -> None:
+    """Give the snapshot that ``table`` holds now a catalog name, in place of what had the name before.
+
+    The catalog table is external: dropping it leaves the files. A later refresh has to be published again.
+    """
+    if len(table.parts) != 1:
+        raise ValueError(f"{table.path} is not a snapshot: it has {len(table.parts)} parts")
+    path = f"{table.path}/data/{table.parts[0]}"
+    table.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    table.spark.catalog.createTable(name, path=path, source="parquet", schema=table.schema)
+    describe_table(table.spark, name, comment, properties)
+
+
 def describe_table(
     spark: SparkSession, name: str, comment: str | None = None, properties: dict[str, str] | None = None
 ) -> None:
