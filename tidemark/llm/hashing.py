@@ -35,14 +35,26 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+class Powers:
+    """Powers of the base and its inverse, kept for the longest text so far."""
+
+    def __init__(self):
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def of(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < count:
+            self.up, self.down = powers(BASE, count), powers(INVERSE, count)
+        return self.up[:count], self.down[:count]
+
+
 class Ranges:
-    """Hashes of byte ranges of one text."""
+    """Hashes of ranges of one text, whose symbols stand for ``values``."""
 
-    def __init__(self, raw: np.ndarray, numbers: np.ndarray):
-        sums = np.empty(len(raw) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(numbers[raw] * powers(BASE, len(raw)), out=sums[1:])
-        self.sums, self.back = sums, powers(INVERSE, len(raw) + 1)
+    def __init__(self, values: np.ndarray, known: Powers | None = None):
+        up, self.back = (known or Powers()).of(len(values) + 1)
+        self.sums = np.empty(len(values) + 1, np.uint64)
+        self.sums[0] = 0
+        np.cumsum(values * up[:-1], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         plain = (self.sums[end] - self.sums[start]) * self.back[start]
@@ -57,30 +69,30 @@ _LOWER[65:91] += 32
 _NUMBERS = byte_numbers(1)[_LOWER]
 
 
-def word_hashes(text: bytes) -> np.ndarray:
+def word_hashes(text: bytes, known: Powers | None = None) -> np.ndarray:
     """A hash per word of ``text``, in order. Long texts are taken in blocks that end between words."""
-    raw = np.frombuffer(text, np.uint8)
+    raw, known = np.frombuffer(text, np.uint8), known or Powers()
     if len(raw) <= BLOCK:
-        return _block_words(raw)
+        return _block_words(raw, known)
     found, start = [], 0
     while start < len(raw):
         end = min(len(raw), start + BLOCK)
         while end < len(raw) and not _SPACE[raw[end]]:
             end += 1
-        found.append(_block_words(raw[start:end]))
+        found.append(_block_words(raw[start:end], known))
         start = end
     return np.concatenate(found)
 
 
-def _block_words(raw: np.ndarray) -> np.ndarray:
+def _block_words(raw: np.ndarray, known: Powers) -> np.ndarray:
     inside = np.concatenate([[False], ~_SPACE[raw], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
-    return Ranges(raw, _NUMBERS).of(edges[::2], edges[1::2])
+    return Ranges(_NUMBERS[raw], known).of(edges[::2], edges[1::2])
 
 
-def shingles(text: bytes, words: int) -> np.ndarray:
+def shingles(text: bytes, words: int, known: Powers | None = None) -> np.ndarray:
     """The sorted distinct hashes of runs of ``words`` words; of all words, if they are fewer."""
-    hashes = word_hashes(text)
+    hashes = word_hashes(text, known)
     if not len(hashes):
         return hashes
     width = min(words, len(hashes))

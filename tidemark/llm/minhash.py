@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches, table, with_row_id, written
 from tidemark.llm.components import components
-from tidemark.llm.hashing import mixed, shingles
+from tidemark.llm.hashing import Powers, mixed, shingles
 
 VALUES = 126
 MISS = 1e-4
@@ -78,9 +78,9 @@ def sign(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def batches(parts):
-        signer = Signer(similarity)
+        signer, known = Signer(similarity), Powers()
         for batch in parts:
-            sets = [shingles((t or "").encode(), words) for t in batch.column(1).to_pylist()]
+            sets = [shingles((t or "").encode(), words, known) for t in batch.column(1).to_pylist()]
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             bands: list = [None] * len(sets)
             filled = [i for i, s in enumerate(sets) if len(s)]

@@ -15,6 +15,7 @@ refines the blocks that are still shared, each row's block of r symbols joined t
 that follow it, to 4 r symbols; blocks with a single row are settled and drop out. A shard sends one row per
 run, never its suffixes, and gets back which of its runs are repeated. Rounds end when all blocks reach over
 ``length`` bytes: the common prefix of a block is then long enough, and its rows are repeated intervals.
+Names of one symbol only tell what can be dropped; whatever covers bytes has agreed in 128 bits.
 
 **Edges.** A repeat may begin and end inside phrases. Windows of ``length`` bytes that hold bytes not yet
 covered, and whose whole phrases are all repeated, are compared byte for byte by 128-bit hashes: in groups of
@@ -38,14 +39,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches, table, written
-from tidemark.llm.hashing import BASE, INVERSE, Ranges, byte_numbers, mixed, powers
+from tidemark.llm.hashing import Powers, Ranges, byte_numbers, mixed
 from tidemark.workspace import scratch_path
 
 LENGTH = 200
 KGRAM = 12
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 PARSE_BYTES = 1 << 19
-GROUP = 16
+GROUP = 32
 WIDEN = 4
 
 _FIRST, _SECOND = byte_numbers(11), byte_numbers(12)
@@ -59,55 +60,47 @@ def window_of(length: int) -> int:
 class Parsed:
     """Cuts and phrases of texts that stand one after the other, each followed by one separator.
 
-    ``bound`` has the cuts, starts and ends of the texts of ``length`` bytes or more, in order;
-    ``is_end`` tells the ends. ``name`` is the name of the phrase that begins at a bound, 0 at ends.
-    ``cut_of`` gives for each place the bound that is the cut of the window beginning there, or -1.
+    ``bound`` has the cuts, starts and ends of the texts of ``length`` bytes or more, in order; ``is_end``
+    tells the ends. ``name`` is the name of the phrase that begins at a bound, 0 at ends. The windows whose
+    cut is a bound begin at ``low`` and are ``count``.
     """
 
-    def __init__(self, texts: list[bytes], length: int):
-        bounds, ends, names, cuts, self.raw = [], [], [], [], []
-        base = number = 0
-        for part in self._parts(texts):
+    def __init__(self, texts: list[bytes], length: int, known: Powers | None = None):
+        found, base = [], 0
+        known = known or Powers()
+        for part in in_parts(texts):
             raw = np.frombuffer(b"\0".join(part) + b"\0", np.uint8)
-            bound, is_end, name, cut_of = parse(raw, np.array([len(t) for t in part]), length)
-            bounds.append(bound + base)
-            ends.append(is_end)
-            names.append(name)
-            cuts.append(np.where(cut_of >= 0, cut_of + number, -1))
-            self.raw.append(raw)
+            bound, is_end, name, low, count = parse(raw, np.array([len(t) for t in part]), length, known)
+            found.append((bound + base, is_end, name, low + base, count))
             base += len(raw)
-            number += len(bound)
         empty = np.zeros(0, np.int64)
-        self.bound = np.concatenate(bounds) if bounds else empty
-        self.is_end = np.concatenate(ends) if ends else empty.astype(bool)
-        self.name = np.concatenate(names) if names else empty.astype(np.uint64)
-        self.cut_of = np.concatenate(cuts) if cuts else empty
-        self.size = base
-
-    @staticmethod
-    def _parts(texts: list[bytes]):
-        part, size = [], 0
-        for text in texts:
-            part.append(text)
-            size += len(text)
-            if size >= PARSE_BYTES:
-                yield part
-                part, size = [], 0
-        if part:
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [empty, empty.astype(bool), empty.astype(np.uint64), empty, empty]
+        self.bound, self.is_end, self.name, self.low, self.count = columns
+
+
+def in_parts(texts: list[bytes]):
+    """Runs of whole texts of about ``PARSE_BYTES``."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= PARSE_BYTES:
             yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
-def parse(raw: np.ndarray, sizes: np.ndarray, length: int):
+def parse(raw: np.ndarray, sizes: np.ndarray, length: int, known: Powers):
     window = window_of(length)
     ends = np.cumsum(sizes + 1) - 1
     starts = ends - sizes
     long = sizes >= length
     starts, ends = starts[long], ends[long]
-    cut_of = np.full(len(raw), -1, np.int64)
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return none, none.astype(bool), none.astype(np.uint64), cut_of
-    ranges = Ranges(raw, _FIRST)
+        return none, none.astype(bool), none.astype(np.uint64), none, none
+    ranges = Ranges(_FIRST[raw], known)
     grams = mixed((ranges.sums[KGRAM:] - ranges.sums[:-KGRAM]) * ranges.back[: len(raw) - KGRAM + 1])
     # The hash above, the place below: the least is the leftmost of the least.
     least = (grams >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)
@@ -120,10 +113,13 @@ def parse(raw: np.ndarray, sizes: np.ndarray, length: int):
     inside = np.zeros(len(raw) + 1, np.int8)
     inside[starts] += 1
     inside[ends - (window + KGRAM - 1) + 1] -= 1
-    at = np.flatnonzero(np.cumsum(inside[:-1]))
+    at = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8))
     cut = (least[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    bound = np.unique(np.concatenate([starts, cut[np.concatenate([[True], cut[1:] != cut[:-1]])], ends]))
-    cut_of[at] = np.searchsorted(bound, cut)
+    first = np.flatnonzero(np.concatenate([[True], cut[1:] != cut[:-1]]))
+    bound = np.unique(np.concatenate([starts, cut[first], ends]))
+    low, count = np.zeros((2, len(bound)), np.int64)
+    index = np.searchsorted(bound, cut[first])
+    low[index], count[index] = at[first], np.diff(np.concatenate([first, [len(at)]]))
     is_end = np.zeros(len(bound), bool)
     is_end[np.searchsorted(bound, ends)] = True
     begin = np.flatnonzero(~is_end)
@@ -132,7 +128,7 @@ def parse(raw: np.ndarray, sizes: np.ndarray, length: int):
     size = (bound[begin + 1] - bound[begin]).astype(np.uint64)
     # The size tells a last phrase, which has no k-gram after it, from one that has.
     name[begin] = mixed(ranges.of(bound[begin], np.minimum(bound[begin + 1] + KGRAM, stop)) + size)
-    return bound, is_end, name, cut_of
+    return bound, is_end, name, low, count
 
 
 def suffix_order(name: np.ndarray, is_end: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,11 +171,17 @@ class Shard:
         self.need = np.where((stop - bound >= length) & ~is_end, reach - np.arange(n), 0)
         # Running sums of names times powers: the name of any run of symbols.
         raw = name.astype(np.uint64)
-        self.sums = [Names(mixed(raw + np.uint64(salt))) for salt in (1, 2)]
+        known = Powers()
+        self.sums = [Ranges(mixed(raw + np.uint64(salt)), known) for salt in (1, 2)]
         self.alive = np.zeros(n, bool)
         self.dead = np.zeros(n + 1, np.int64)
         self.repeated = np.zeros(n, bool)
-        self.covered: list[np.ndarray] = []
+        self.found: list[np.ndarray] = []
+
+    @property
+    def covered(self) -> tuple[np.ndarray, np.ndarray]:
+        """The intervals that repeated blocks cover."""
+        return merged(*(np.concatenate(self.found, 1) if self.found else np.zeros((2, 0), np.int64)))
 
     def rows(self, depth: int) -> np.ndarray:
         """The rows that a round to ``depth`` symbols refines."""
@@ -201,10 +203,10 @@ class Shard:
         return rows, np.cumsum(new) - 1, rows[new], size[new]
 
     def blocks(self, depth: int):
-        """One row per run: (at, rows, two halves of the block's name)."""
+        """One row per run: (at, rows, whether it needs more symbols, two halves of the block's name)."""
         rows, run, first, size = self.runs(depth)
         at = self.order[first]
-        return first, np.bincount(run, minlength=len(first)), *(s.of(at, at + size) for s in self.sums)
+        return first, np.bincount(run, minlength=len(first)), self.need[at] > depth, *(s.of(at, at + size) for s in self.sums)
 
     def told(self, depth: int, repeated: np.ndarray) -> None:
         """Takes in which runs of a round are repeated, by their first rows."""
@@ -218,112 +220,137 @@ class Shard:
         self.repeated[at] = True
         done = at[self.need[at] <= depth]
         if len(done):
-            self.covered.append(np.stack([self.bound[done], self.until[done]]))
-
-
-class Names(Ranges):
-    """Hashes of runs of symbols that are 64-bit numbers themselves."""
-
-    def __init__(self, symbols: np.ndarray):
-        sums = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(symbols * powers(BASE, len(symbols)), out=sums[1:])
-        self.sums, self.back = sums, powers(INVERSE, len(symbols) + 1)
-
-
-class Edges:
-    """The windows of a shard that the rounds leave open."""
-
-    def __init__(self, shard: Shard, parsed: Parsed):
-        self.shard, self.parsed, length = shard, parsed, shard.length
-        window = window_of(length)
-        last = length - (window + KGRAM - 1)
-        size = parsed.size
-        cut_of = parsed.cut_of
-        self.cover = np.zeros(size + 1, np.int32)
-        for intervals in shard.covered:
-            self.mark(*intervals)
-        places = np.flatnonzero(cut_of[: max(0, size - last)] >= 0)
-        j, l = cut_of[places], cut_of[places + last]
-        # Both windows in one text: no end lies between their cuts. All phrases between are repeated.
-        whole = (l >= 0) & (shard.dead[np.maximum(l, j)] == shard.dead[j])
-        self.place, self.cut = places[whole], j[whole]
-
-    def mark(self, start, end) -> None:
-        np.add.at(self.cover, start, 1)
-        np.add.at(self.cover, end, -1)
-
-    def asking(self) -> np.ndarray:
-        """Which bounds are the cut of a window with a byte that is not covered."""
-        covered = np.concatenate([[0], np.cumsum(np.cumsum(self.cover[:-1]) > 0)])
-        open_ = covered[self.place + self.shard.length] - covered[self.place] < self.shard.length
-        found = np.zeros(len(self.shard.bound), bool)
-        found[self.cut[open_]] = True
-        return found
-
-    def asked(self, rows_asked: np.ndarray) -> None:
-        """Keeps the windows whose cut begins a phrase that some window asks for."""
-        shard = self.shard
-        rows, run, first, _ = shard.runs(1)
-        wanted = np.zeros(len(shard.bound), bool)
-        wanted[shard.order[rows[np.isin(first, rows_asked)[run]]]] = True
-        keep = wanted[self.cut]
-        self.place, self.cut = self.place[keep], self.cut[keep]
-        distance = shard.bound[self.cut] - self.place
-        self.step = distance // GROUP
-        _, self.first, self.node = np.unique(self.cut * np.int64(64) + self.step, return_index=True, return_inverse=True)
-        self.bases = np.cumsum([0] + [len(r) for r in self.parsed.raw])
-
-    def hashes(self, start: np.ndarray, end: np.ndarray):
-        """Both halves of the hash of byte ranges, part by part; a range lies within one part."""
-        halves = np.zeros((2, len(start)), np.uint64)
-        part = np.searchsorted(self.bases, start, side="right") - 1
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(len(self.parsed.raw) + 1))
-        for number, raw in enumerate(self.parsed.raw):
-            rows = order[cuts[number] : cuts[number + 1]]
-            if len(rows):
-                base = self.bases[number]
-                for half, numbers in enumerate((_FIRST, _SECOND)):
-                    halves[half, rows] = Ranges(raw, numbers).of(start[rows] - base, end[rows] - base)
-        return halves
-
-    def nodes(self):
-        """Per class of equal groups: (class of each group, groups, hash of the common part, hash of all or none)."""
-        shard = self.shard
-        bound = shard.bound[self.cut[self.first]]
-        step = self.step[self.first]
-        high = bound - step * GROUP
-        low = high - GROUP + 1
-        core = self.hashes(high, low + shard.length)
-        core[0] = mixed(core[0] + step.astype(np.uint64))
-        ends = shard.bound[shard.is_end]
-        index = np.searchsorted(ends, bound, side="right")
-        stop = ends[index] if len(ends) else bound
-        start = self.text_starts[np.searchsorted(self.text_starts, bound, side="right") - 1]
-        fits = (low >= start) & (high + shard.length <= stop)
-        every = np.zeros((2, len(bound)), np.uint64)
-        if fits.any():
-            every[:, fits] = self.hashes(low[fits], high[fits] + shard.length)
-        names = np.stack([core[0], core[1], every[0], every[1], fits.astype(np.uint64)], 1)
-        _, first, same, count = np.unique(names, axis=0, return_index=True, return_inverse=True, return_counts=True)
-        return same.ravel(), count, core[:, first], every[:, first], fits[first]
-
-    def windows_of(self, classes: np.ndarray) -> np.ndarray:
-        """The windows (indices) of the groups in ``classes``."""
-        same = self.nodes()[0]
-        return np.flatnonzero(np.isin(same, classes)[self.node])
-
-    def settle(self, classes: np.ndarray) -> None:
-        if len(classes):
-            at = self.place[self.windows_of(classes)]
-            self.mark(at, at + self.shard.length)
-
-    def single(self, classes: np.ndarray):
-        """(places, class of each, count per class, both halves) of the windows compared one by one."""
-        at = self.place[self.windows_of(classes)]
-        halves = self.hashes(at, at + self.shard.length)
-        _, first, same, count = np.unique(halves[0], return_index=True, return_inverse=True, return_counts=True)
-        return at, same, count, halves[:, first]
+            self.found.append(np.stack([self.bound[done], self.until[done]]))
+
+
+def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The intervals that a set of intervals covers, in order; those that touch are one."""
+    if not len(start):
+        return start, end
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    new = np.concatenate([[True], start[1:] > reach[:-1]])
+    return start[new], reach[np.concatenate([new[1:], [True]])]
+
+
+def spread(low: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of ranges that begin at ``low`` and hold ``count``, and the range of each."""
+    of = np.repeat(np.arange(len(low)), count)
+    return np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + low[of], of
+
+
+def classed(*keys: np.ndarray):
+    """(first of each class, class of each, rows of each class) of rows that agree in all ``keys``."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[order[1:]] != key[order[:-1]]
+    same = np.empty(len(order), np.int64)
+    same[order] = np.cumsum(new) - 1
+    return order[new], same, np.diff(np.concatenate([np.flatnonzero(new), [len(order)]]))
+
+
+def open_runs(shard: Shard, low: np.ndarray, count: np.ndarray):
+    """Groups of windows that share their whole phrases, where these are all repeated.
+
+    A group is a cut and the last cut within the windows; its windows begin side by side. Gives the cut,
+    first place and number of windows of each group, its class by the name of its phrases, and per class whether one of its windows holds a byte that is not covered yet.
+    """
+    last = shard.length - (window_of(shard.length) + KGRAM - 1)
+    cuts = np.flatnonzero((count > 0) & shard.alive)
+    place, of = spread(low[cuts], count[cuts])
+    every = np.flatnonzero(count > 0)
+    # The window that begins ``last`` later, and its cut; none if the text ends before.
+    index = np.searchsorted(low[every], place + last, side="right") - 1
+    after = every[index]
+    j = cuts[of]
+    fits = (place + last < low[after] + count[after]) & (shard.dead[np.maximum(after, j)] == shard.dead[j])
+    place, j, after = place[fits], j[fits], after[fits]
+    starts, ends = shard.covered
+    known = np.searchsorted(starts, place, side="right") - 1
+    covered = (known >= 0) & (ends[np.maximum(known, 0)] >= place + shard.length) if len(starts) else np.zeros(len(place), bool)
+    new = np.zeros(len(place), bool)
+    new[:1] = True
+    new[1:] = (j[1:] != j[:-1]) | (after[1:] != after[:-1])
+    first = np.flatnonzero(new)
+    windows = np.diff(np.concatenate([first, [len(place)]]))
+    named = shard.sums[0].of(j[first], after[first])
+    chosen, same, groups = classed(named)
+    asks = np.zeros(len(chosen), bool)
+    asks[same[np.cumsum(new)[~covered] - 1]] = True
+    return j[first], place[first], windows, same, named[chosen], groups, asks
+
+
+def nodes_of(bound: np.ndarray, low: np.ndarray, count: np.ndarray):
+    """Windows of groups, and the groups of ``GROUP`` windows at like distances from their cut.
+
+    Gives places, node of each, and per node its cut's place and its distance in steps. Groups of one cut
+    are given side by side; ``bound`` is the place of a group's cut.
+    """
+    place, of = spread(low, count)
+    cut = bound[of]
+    step = (cut - place) // GROUP
+    # Distances shrink along the windows of a cut, so a node's windows are neighbours.
+    new = np.zeros(len(place), bool)
+    new[:1] = True
+    new[1:] = (cut[1:] != cut[:-1]) | (step[1:] != step[:-1])
+    return place, np.cumsum(new) - 1, cut[new], step[new]
+
+
+class Bytes:
+    """128-bit hashes of byte ranges of a shard's texts, part by part."""
+
+    def __init__(self, texts: list[bytes]):
+        sizes = np.array([len(t) + 1 for t in texts], np.int64)
+        self.starts = np.cumsum(sizes) - sizes
+        self.stops = self.starts + sizes - 1
+        self.parts = [b"\0".join(part) + b"\0" for part in in_parts(texts)]
+        self.bases = np.cumsum([0] + [len(p) for p in self.parts])
+        self.known = Powers()
+
+    def text(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and stop of the texts that hold ``place``."""
+        index = np.searchsorted(self.starts, place, side="right") - 1
+        return self.starts[index], self.stops[index]
+
+    def hashes(self, *ranges: tuple[np.ndarray, np.ndarray], halves=None) -> list[np.ndarray]:
+        """For each of several arrays of ranges, all within texts, its ``halves``: both unless told."""
+        halves = halves or [(_FIRST, _SECOND)] * len(ranges)
+        out = [np.zeros((len(h), len(start)), np.uint64) for h, (start, _) in zip(halves, ranges)]
+        places = []
+        for start, _ in ranges:
+            part = np.searchsorted(self.bases, start, side="right") - 1
+            order = np.argsort(part, kind="stable")
+            places.append((order, np.searchsorted(part[order], np.arange(len(self.parts) + 1))))
+        for number, part in enumerate(self.parts):
+            rows = [order[cuts[number] : cuts[number + 1]] for order, cuts in places]
+            if any(len(r) for r in rows):
+                raw, base = np.frombuffer(part, np.uint8), self.bases[number]
+                for numbers in (_FIRST, _SECOND):
+                    hashed = None
+                    for found, own, r, (start, end) in zip(out, halves, rows, ranges):
+                        for half, wanted in enumerate(own):
+                            if wanted is numbers and len(r):
+                                hashed = hashed or Ranges(numbers[raw], self.known)
+                                found[half, r] = hashed.of(start[r] - base, end[r] - base)
+        return out
+
+
+def node_hashes(raw: Bytes, cut: np.ndarray, step: np.ndarray, length: int):
+    """Per node a hash of what all its windows hold, with their distance, and one of all they hold together.
+
+    The two hashes are independent, so nodes that agree in both agree in 128 bits. Where the windows of a
+    whole node would reach beyond the text, the second hash is like no other.
+    """
+    high = cut - step * GROUP
+    low = high - GROUP + 1
+    start, stop = raw.text(cut)
+    fits = (low >= start) & (high + length <= stop)
+    core, every = raw.hashes((high, low + length), (low[fits], high[fits] + length), halves=((_FIRST,), (_SECOND,)))
+    whole = np.arange(len(cut)).astype(np.uint64)
+    whole[fits] = every[0]
+    return mixed(core[0] + step.astype(np.uint64)), whole, fits
 
 
 def shards(df: DataFrame, text: str, length: int) -> DataFrame:
@@ -336,7 +363,7 @@ def shards(df: DataFrame, text: str, length: int) -> DataFrame:
     def build(parts):
         from pyspark import TaskContext
 
-        shard = TaskContext.get().partitionId() << 32
+        shard, known = TaskContext.get().partitionId() << 32, Powers()
         held, texts, size = [], [], 0
         for batch in parts:
             start = 0
@@ -345,15 +372,15 @@ def shards(df: DataFrame, text: str, length: int) -> DataFrame:
                 size += len(texts[-1])
                 if size >= SHARD_BYTES:
                     held.append(batch.column(0).slice(start, i + 1 - start))
-                    yield row(shard, held, texts)
+                    yield row(shard, held, texts, known)
                     shard, held, texts, size, start = shard + 1, [], [], 0, i + 1
             if start < len(batch):
                 held.append(batch.column(0).slice(start))
         if texts:
-            yield row(shard, held, texts)
+            yield row(shard, held, texts, known)
 
-    def row(shard, held, texts):
-        parsed = Parsed(texts, length)
+    def row(shard, held, texts, known):
+        parsed = Parsed(texts, length, known)
         order, common = suffix_order(parsed.name, parsed.is_end, length)
         return pa.RecordBatch.from_arrays(
             [
@@ -362,12 +389,13 @@ def shards(df: DataFrame, text: str, length: int) -> DataFrame:
                 _listed(pa.array(texts, pa.binary())),
                 *(_listed(pa.array(x, pa.int32())) for x in (parsed.bound, np.flatnonzero(parsed.is_end), order, np.minimum(common, length))),
                 _listed(pa.array(parsed.name.view(np.int64))),
+                *(_listed(pa.array(x, pa.int32())) for x in (parsed.low, parsed.count)),
             ],
-            names=["shard", "rows", "texts", "bound", "ends", "order", "shared", "name"],
+            names=["shard", "rows", "texts", "bound", "ends", "order", "shared", "name", "low", "count"],
         )
 
     kinds = rows.schema["row"].dataType.simpleString()
-    shape = f"shard long, rows array<{kinds}>, texts array<binary>, bound array<int>, ends array<int>, order array<int>, shared array<int>, name array<long>"
+    shape = f"shard long, rows array<{kinds}>, texts array<binary>, bound array<int>, ends array<int>, order array<int>, shared array<int>, name array<long>, low array<int>, count array<int>"
     built = rows.mapInArrow(build, shape)
     name = f"shards_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -384,10 +412,10 @@ _STATE = ["shard", "bound", "ends", "order", "shared", "name"]
 
 
 def _joined(base: DataFrame, told: list, columns: list[str]) -> DataFrame:
-    """Shards with the lists that the rounds have sent them so far."""
+    """Shards with the lists that belong to them."""
     out = base.select(*columns)
-    for name, lists in told:
-        out = out.join(lists.select("shard", F.col("rows").alias(name)).hint("shuffle_hash"), "shard", "left")
+    for lists in told:
+        out = out.join(lists.hint("shuffle_hash"), "shard", "left")
     return out
 
 
@@ -405,27 +433,30 @@ def _restored(row: dict, depths: list[int], length: int) -> Shard:
     return shard
 
 
-def _edges(row: dict, shard: Shard) -> Edges:
-    texts = row["texts"].values.to_pylist()
-    parsed = Parsed(texts, shard.length)
-    edges = Edges(shard, parsed)
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    edges.text_starts = np.cumsum(sizes) - sizes
-    return edges
-
-
-def _over(frame: DataFrame, work, shape: str, names: list[str]) -> DataFrame:
-    """``work`` on each shard, which gives numpy columns to send."""
+def _over(frame: DataFrame, work, sent: str, kept: str = "") -> DataFrame:
+    """``work`` on each shard. It gives numpy columns to send, a row per class, and arrays of integers to keep
+    with the shard, which form one more row; either may be None."""
+    columns = [c.split() for c in sent.split(", ")]
+    lists = kept.split(", ") if kept else []
+    types = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    fields = [pa.field("shard", pa.int64()), *(pa.field(n, types[t]) for n, t in columns), *(pa.field(n, pa.list_(pa.int32())) for n in lists)]
 
     def run(parts):
         for batch in parts:
             for i in range(len(batch)):
                 row = {c: batch.column(k)[i] for k, c in enumerate(batch.schema.names)}
-                sent = work(row)
-                if sent is not None and len(sent[0]):
-                    shard = np.full(len(sent[0]), row["shard"].as_py())
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (shard, *sent)], names=["shard", *names])
-
+                values, keep = work(row)
+                if values is not None and len(values[0]):
+                    size = len(values[0])
+                    arrays = [pa.array(np.full(size, row["shard"].as_py())), *(pa.array(v, f.type) for v, f in zip(values, fields[1:]))]
+                    arrays += [pa.nulls(size, f.type) for f in fields[len(arrays) :]]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
+                if keep is not None:
+                    arrays = [pa.array([row["shard"].as_py()]), *(pa.nulls(1, f.type) for f in fields[1 : 1 + len(columns)])]
+                    arrays += [_listed(pa.array(k, pa.int32())) for k in keep]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
+
+    shape = ", ".join(["shard long", sent, *(f"{n} array<int>" for n in lists)])
     return frame.mapInArrow(run, shape)
 
 
@@ -433,35 +464,43 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def _back(chosen: DataFrame, name: str) -> DataFrame:
-    """Row numbers per shard, from (places: array of (shard, at)). A name has one place per shard at most."""
-    places = chosen.select(F.explode("places").alias("place")).select("place.shard", "place.at")
-    return written(places.groupBy("shard").agg(F.collect_list("at").alias("rows")), name)
+def _met(sent: DataFrame, names: list[str], *more) -> DataFrame:
+    """Classes of equal names over all shards: ``n``, what ``more`` says, and where (shard, at) they are.
 
+    A shard sends a class once, so there is nothing to combine before the shuffle, and a name has no more
+    rows than there are shards.
+    """
+    tasks = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = F.collect_list(F.struct("shard", "at")).alias("places")
+    return sent.repartition(tasks, *names).groupBy(*names).agg(F.sum("n").alias("n"), *more, places)
 
-def _places():
-    return F.collect_list(F.struct("shard", "at")).alias("places")
 
+def _back(chosen: DataFrame, name: str, *more: str) -> DataFrame:
+    """Lists of classes per shard, from (places: array of (shard, at)), and the maxima of ``more``."""
+    places = chosen.select(F.explode("places").alias("place"), *more).select("place.shard", "place.at", *more)
+    sums = [F.max(m).alias(m) for m in more]
+    return written(places.groupBy("shard").agg(F.collect_list("at").alias(name), *sums), name)
 
-def repeated_blocks(base: DataFrame, length: int) -> list:
-    """The rounds: [(name of the list, lists)], by depth 1, 4, 16 and so on."""
+
+def repeated_blocks(base: DataFrame, length: int) -> tuple[list, list[int]]:
+    """The rounds: lists per depth, and the depths 1, 4, 16 and so on."""
     told, depths, depth = [], [], 1
     while True:
-        frame = _joined(base, told, _STATE)
 
         def work(row, depth=depth, depths=tuple(depths)):
-            at, count, first, second = _restored(row, list(depths), length).blocks(depth)
-            return at, count, _signed(first), _signed(second)
-
-        names = ["at", "n", "first", "second"]
-        sent = _over(frame, work, "shard long, at long, n long, first long, second long", names)
-        blocks = sent.groupBy("first", "second").agg(F.sum("n").alias("n"), _places())
-        lists = _back(blocks.where("n > 1"), "blocks")
-        told.append((f"depth_{depth}", lists))
+            at, count, more, first, second = _restored(row, list(depths), length).blocks(depth)
+            # One symbol never covers anything by itself; half a name is enough to drop what is unique.
+            return (at, count, more, _signed(first), *([_signed(second)] if depth > 1 else [])), None
+
+        names = ["first", "second"] if depth > 1 else ["first"]
+        sent = _over(_joined(base, told, _STATE), work, ", ".join(["at int, n int, more boolean", *(f"{n} long" for n in names)]))
+        blocks = _met(sent, names, F.max("more").alias("more")).where("n > 1")
+        lists = _back(blocks, f"depth_{depth}", "more")
+        told.append(lists.drop("more"))
         depths.append(depth)
-        # A suffix never needs more symbols than bytes, nor does one go on whose block is settled.
-        if depth >= length or not lists.take(1):
-            return told
+        # A suffix goes on while its block is shared and does not reach far enough.
+        if depth > 1 and not lists.where("more").take(1):
+            return told, depths
         depth *= WIDEN
 
 
@@ -473,63 +512,78 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, as_t
     were removed in part.
     """
     base = shards(df, text, length)
-    told = repeated_blocks(base, length)
-    depths = [int(name.removeprefix("depth_")) for name, _ in told]
-    with_text = [*_STATE, "texts"]
+    told, depths = repeated_blocks(base, length)
 
     def ask(row):
         shard = _restored(row, depths, length)
+        starts, ends = shard.covered
         if not shard.alive.any():
-            return None
-        asking = _edges(row, shard).asking()
-        rows, run, first, _ = shard.runs(1)
-        live = shard.alive[shard.order[first]]
-        asks = np.zeros(len(first), bool)
-        asks[run[asking[shard.order[rows]]]] = True
-        return first[live], asks[live], _signed(shard.name[shard.order[first[live]]])
-
-    sent = _over(_joined(base, told, with_text), ask, "shard long, at long, asks boolean, name long", ["at", "asks", "name"])
-    asked = sent.groupBy("name").agg(F.max("asks").alias("asks"), _places()).where("asks")
-    told_asked = [*told, ("asked", _back(asked, "asked"))]
-
-    def opened(row):
-        shard = _restored(row, depths, length)
-        edges = _edges(row, shard)
-        edges.asked(_numpy(row["asked"]))
-        return edges
+            return None, (starts, ends, *np.zeros((4, 0), np.int64))
+        cut, place, windows, same, named, groups, asks = open_runs(shard, _numpy(row["low"]), _numpy(row["count"]))
+        return (np.arange(len(groups)), groups, asks, _signed(named)), (starts, ends, shard.bound[cut], place, windows, same)
+
+    kept = "starts, ends, cut, place, windows, same"
+    found = written(_over(_joined(base, told, [*_STATE, "low", "count"]), ask, "at int, n int, asks boolean, name long", kept), "runs")
+    runs = _met(found.where("at is not null").select("shard", "at", "n", "asks", "name"), ["name"], F.max("asks").alias("asks"))
+    asked = _back(runs.where("n > 1 and asks"), "asked")
+    state = found.where("at is null").select("shard", "starts", "ends", "cut", "place", "windows", "same")
+
+    def nodes(row):
+        """Windows and their nodes, and the nodes' classes: (first node, class of each, nodes), and their hashes."""
+        chosen = np.isin(_numpy(row["same"]), _numpy(row["asked"]))
+        place, node, cut, step = nodes_of(_numpy(row["cut"])[chosen], _numpy(row["place"])[chosen], _numpy(row["windows"])[chosen])
+        raw = Bytes(row["texts"].values.to_pylist())
+        core, whole, fits = node_hashes(raw, cut, step, length)
+        return raw, place, node, classed(core, whole, fits), core, whole, fits
 
     def groups(row):
         if not len(_numpy(row["asked"])):
-            return None
-        _, count, core, every, fits = opened(row).nodes()
-        return np.arange(len(count)), count, *map(_signed, (*core, *every)), fits
-
-    shape = "shard long, at long, n long, core long, core_2 long, every long, every_2 long, fits boolean"
-    names = ["at", "n", "core", "core_2", "every", "every_2", "fits"]
-    sent = _over(_joined(base, told_asked, with_text), groups, shape, names)
-    equal = sent.groupBy("core", "core_2", "every", "every_2", "fits").agg(F.sum("n").alias("n"), _places())
-    equal = written(equal.withColumn("settled", F.col("fits") & (F.col("n") > 1)), "groups")
-    cores = equal.groupBy("core", "core_2").agg(F.sum("n").alias("total"), F.bool_and("settled").alias("done"))
-    unclear = cores.where("total > 1 and not done").select("core", "core_2")
-    told_groups = [
-        *told_asked,
-        ("settled", _back(equal.where("settled"), "settled")),
-        ("unclear", _back(equal.join(unclear, ["core", "core_2"], "left_semi"), "unclear")),
-    ]
+            return None, None
+        _, _, _, (first, _, count), core, whole, fits = nodes(row)
+        # Beyond the text's ends nothing is equal: such a node is named by its shard as well.
+        place = np.uint64(row["shard"].as_py() * 0x9E3779B97F4A7C15 % 2**64)
+        own = np.where(fits, whole, mixed(whole + place))
+        return (np.arange(len(first)), count, _signed(core[first]), _signed(own[first]), fits[first]), None
+
+    sent = _over(_joined(base, [state, asked], ["shard", "texts"]), groups, "at int, n int, core long, every long, fits boolean")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = sent.repartition(tasks, "core")
+    shared = dealt.groupBy("core").agg(F.sum("n").alias("total")).where("total > 1").select("core")
+    equal = dealt.join(shared, "core", "left_semi").groupBy("core", "every", "fits")
+    places = F.collect_list(F.struct("shard", "at")).alias("places")
+    equal = equal.agg(F.sum("n").alias("n"), places).withColumn("settled", F.col("fits") & (F.col("n") > 1))
+    equal = written(equal, "groups")
+    done = equal.groupBy("core").agg(F.bool_and("settled").alias("done")).where("not done").select("core")
+    # A settled group has to show its windows to the others once only.
+    one = F.when(F.col("settled"), F.array(F.array_min("places"))).otherwise(F.col("places"))
+    settled = _back(equal.where("settled"), "settled")
+    unclear = _back(equal.join(done, "core", "left_semi").withColumn("places", one), "unclear")
 
     def windows(row):
-        unclear = _numpy(row["unclear"])
-        if not len(unclear):
-            return None
-        _, _, count, halves = opened(row).single(unclear)
-        return np.arange(len(count)), count, _signed(halves[0]), _signed(halves[1])
-
-    sent = _over(
-        _joined(base, told_groups, with_text), windows, "shard long, at long, n long, first long, second long", ["at", "n", "first", "second"]
-    )
-    equal = sent.groupBy("first", "second").agg(F.sum("n").alias("n"), _places())
-    told_all = [*told_groups, ("windows", _back(equal.where("n > 1"), "windows"))]
-    final = _joined(base, told_all, [*with_text, "rows"])
+        if not len(_numpy(row["unclear"])):
+            return None, None
+        raw, place, node, (first, _, _), _, _, _ = nodes(row)
+        place = place[np.isin(node, first[_numpy(row["unclear"])])]
+        (halves,) = raw.hashes((place, place + length))
+        first, same, count = classed(*halves)
+        return (np.arange(len(first)), count, *(_signed(h[first]) for h in halves)), (place, same)
+
+    frame = _joined(base, [state, asked, unclear], ["shard", "texts"])
+    found = written(_over(frame, windows, "at int, n int, first long, second long", "at_place, window_class"), "windows")
+    of_windows = found.where("at is null").select("shard", "at_place", "window_class")
+    equal = _met(found.where("at is not null").select("shard", "at", "n", "first", "second"), ["first", "second"])
+    repeated = _back(equal.where("n > 1"), "repeated")
+    final = _joined(base, [state, asked, settled, of_windows, repeated], ["shard", "rows", "texts"])
+
+    def covered(row) -> tuple[np.ndarray, np.ndarray]:
+        starts, ends = [_numpy(row["starts"])], [_numpy(row["ends"])]
+        if len(_numpy(row["settled"])):
+            _, place, node, (_, same, _), _, _, _ = nodes(row)
+            place = place[np.isin(same, _numpy(row["settled"]))[node]]
+            starts.append(place)
+            ends.append(place + length)
+        place = _numpy(row["at_place"])[np.isin(_numpy(row["window_class"]), _numpy(row["repeated"]))]
+        return merged(np.concatenate([*starts, place]), np.concatenate([*ends, place + length]))
 
     def strings(kept: list[bytes]) -> pa.Array:
         return pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
@@ -538,30 +592,26 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, as_t
         for batch in parts:
             for i in range(len(batch)):
                 row = {c: batch.column(k)[i] for k, c in enumerate(batch.schema.names)}
-                shard = _restored(row, depths, length)
-                edges = _edges(row, shard)
-                if len(_numpy(row["asked"])):
-                    edges.asked(_numpy(row["asked"]))
-                    edges.settle(_numpy(row["settled"]))
-                    if len(_numpy(row["unclear"])):
-                        at, same, _, _ = edges.single(_numpy(row["unclear"]))
-                        at = at[np.isin(same, _numpy(row["windows"]))]
-                        edges.mark(at, at + length)
-                gone = np.cumsum(edges.cover[:-1]) > 0
-                kept, sizes, removed, spans = [], [], [], []
-                for text, start in zip(row["texts"].values.to_pylist(), edges.text_starts):
-                    mask = gone[start : start + len(text)]
-                    spans.append(int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum()))
-                    removed.append(int(mask.sum()))
-                    sizes.append(len(text))
-                    kept.append(np.frombuffer(text, np.uint8)[~mask].tobytes() if removed[-1] else text)
-                numbers = [pa.array(x, pa.int64()) for x in (sizes, removed, spans)]
+                starts, ends = covered(row)
+                texts = row["texts"].values.to_pylist()
+                sizes = np.array([len(t) for t in texts], np.int64)
+                begin = np.cumsum(sizes + 1) - sizes - 1
+                # Intervals never cross texts, so each text has a run of them.
+                low, high = np.searchsorted(starts, begin), np.searchsorted(starts, begin + sizes)
+                kept, removed = [], []
+                for text, base_, a, b in zip(texts, begin.tolist(), low.tolist(), high.tolist()):
+                    cuts = [0, *(np.stack([starts[a:b], ends[a:b]], 1) - base_).ravel().tolist(), len(text)]
+                    kept.append(b"".join([text[x:y] for x, y in zip(cuts[::2], cuts[1::2])]) if b > a else text)
+                    removed.append(len(text) - len(kept[-1]))
+                numbers = [pa.array(x, pa.int64()) for x in (sizes, removed, high - low)]
                 yield pa.RecordBatch.from_arrays(
                     [row["rows"].values, strings(kept), *numbers], names=["row", "kept", "n_bytes", "n_removed", "n_spans"]
                 )
 
     kind = base.schema["rows"].dataType.elementType.simpleString()
-    return final.mapInArrow(keep, f"row {kind}, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long")
+    needed = ["rows", "texts", "starts", "ends", "cut", "place", "windows", "same", "asked", "settled", "at_place", "window_class", "repeated"]
+    shape = f"row {kind}, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long"
+    return final.select(*needed).mapInArrow(keep, shape)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
