@@ -11,6 +11,9 @@ How much must be visited depends on the data. Vectors without structure, such as
 dimensions, have neighbours hardly nearer than the rest and need about half of the table for a recall of
 0.9; clustered ones need far less. ``VISIT`` is a share, so recall is the same at every size.
 
+A vector that more than one row in ``HEAVY`` holds can fill a query's whole answer, so the vectors of this kind,
+at most ``HEAVY`` of them, are candidates of every query and stay outside the trees.
+
 Neighbouring leaves of a tree form a group. A group's vectors are dealt into blocks of bounded size, and
 queries into blocks as well; a task gets one block of each and multiplies leaf by leaf.
 
@@ -35,8 +38,9 @@ from tidemark.llm.vectors import classes, give_results, matrix, usual_length
 SAMPLE = 20_000
 TREES = 8
 LEAF = 64
-VISIT = 0.6
+VISIT = 0.9
 AT_LEAST = 2_000
+HEAVY = 1_000
 GROUPS = 8
 BLOCK = 8_192
 QUERY_BLOCK = 1_024
@@ -189,7 +193,11 @@ def search(
     usable = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     rows = rows.where(F.col("id").isNotNull() & (F.size("vector") == width) & usable & F.exists("vector", lambda x: x != 0))
     rows = rows.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
-    known = written(classes(rows, keep), "classes")
+    every = written(classes(rows, keep), "classes")
+    held_by = rows.groupBy("vector").agg(F.count("*").alias("n"), F.min("id").alias("class_id"))
+    often = [r["class_id"] for r in held_by.where(F.col("n") * HEAVY > rows.count()).select("class_id").collect()]
+    heavy = spark.sparkContext.broadcast([(r["vector"], r["ids"]) for r in every.where(F.col("class_id").isin(often)).collect()])
+    known = every.where(~F.col("class_id").isin(often))
     total = known.count()
     points = known.orderBy(F.xxhash64("vector"), "class_id").limit(sample).select("vector").toArrow()
     at_points = matrix(points.column(0).combine_chunks(), max(width, 1))
@@ -239,10 +247,9 @@ def search(
     dealt = routed.mapInArrow(deal, "group int, block int, leaf int, class_id long, vector array<double>, ids array<long>")
     packed = dealt.groupBy("group", "block").agg(F.collect_list(F.struct("leaf", "class_id", "vector", "ids")).alias("rows"))
     members = rows.where("asked").select(F.col("id").alias("query_id"), "vector").distinct()
-    queries = written(members.join(known.select("class_id", "vector"), "vector").select("query_id", "class_id", "vector"), "queries")
-    asked = queries.select("class_id", "vector").dropDuplicates(["class_id"]).mapInArrow(
-        ask, "group int, query long, at array<double>, visits array<int>"
-    )
+    queries = written(members.join(every.select("class_id", "vector"), "vector").select("query_id", "class_id", "vector"), "queries")
+    distinct = queries.select("class_id", "vector").dropDuplicates(["class_id"])
+    asked = distinct.mapInArrow(ask, "group int, query long, at array<double>, visits array<int>")
     in_blocks = asked.groupBy("group", F.pmod(F.xxhash64("query"), F.lit(query_blocks)).alias("part")).agg(
         F.collect_list(F.struct("query", "at", "visits")).alias("queries")
     )
@@ -263,8 +270,19 @@ def search(
                     columns = [q.field("query").take(pa.array(a)), v.field("ids").take(pa.array(b)), pa.array(d, pa.float64())]
                     yield pa.RecordBatch.from_arrays(columns, names=["class_id", "ids", "score"])
 
+    def rerank_heavy(parts):
+        points = np.array([v for v, _ in heavy.value]).reshape(-1, width)
+        for batch in parts:
+            for class_id, query in zip(batch.column(0).to_pylist(), matrix(batch.column(1), width)):
+                distance = np.sqrt(((points - query) ** 2).sum(1))
+                best = np.argsort(distance, kind="stable")[:keep].tolist()
+                if best:
+                    columns = [pa.array([class_id] * len(best), pa.int64()), pa.array([heavy.value[i][1] for i in best], pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(distance[best])], names=["class_id", "ids", "score"])
+
+    shape = "class_id long, ids array<long>, score double"
     pairs = packed.join(in_blocks, "group").select("rows", "queries")
-    found = pairs.mapInArrow(rerank, "class_id long, ids array<long>, score double")
+    found = pairs.mapInArrow(rerank, shape).union(distinct.mapInArrow(rerank_heavy, shape))
     return give_results(queries.select("query_id", "class_id"), found, limit, ascending=True)
 
 
