@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +22,22 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*docs.columns).alias("row"))
-    rows = written(rows, "documents")
+    rows = _identified(docs)
     found = minhash.near_duplicates(rows.select("row_id", "row.doc_id", "row.text"))
     kept = found.where("row_id = first_row").select("row_id")
     return rows.join(kept, "row_id", "left_semi").select("row.*")
 
 
+def _identified(docs: DataFrame) -> DataFrame:
+    """(row_id, row): a row of a Parquet table is known by its file and its place there, however the scan is
+    split; other rows are written with an id first."""
+    row = F.struct(*docs.columns).alias("row")
+    try:
+        return docs.select(F.concat_ws(":", "_metadata.file_path", "_metadata.row_index").alias("row_id"), row)
+    except AnalysisException:
+        return written(docs.select(F.monotonically_increasing_id().alias("row_id"), row), "documents")
+
+
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(docs, as_text=True)
     values = [F.col("kept").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]

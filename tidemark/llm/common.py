@@ -39,7 +39,7 @@ def small_batches(spark: SparkSession) -> None:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table below the shared folder: computed once, its lineage cut, safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -96,7 +96,8 @@ def sign(docs: DataFrame, words: int, similarity: float) -> DataFrame:
             columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["row_id", "n_shingles", "digest", "bands"])
 
-    return docs.select("row_id", "text").mapInArrow(batches, "row_id long, n_shingles long, digest binary, bands array<long>")
+    kind = docs.schema["row_id"].dataType.simpleString()
+    return docs.select("row_id", "text").mapInArrow(batches, f"row_id {kind}, n_shingles long, digest binary, bands array<long>")
 
 
 def shared_counts(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
