@@ -178,6 +178,27 @@ def test_no_labels_and_no_rows(spark, model):
     assert [tuple(r) for r in language_id.predict(row, "doc_id", "text", None).collect()] == [(1, "und", 0.0)]
 
 
+@pytest.mark.parametrize("unlabelled", ["no labels", "no ids", "all held out"])
+def test_language_stage_without_a_model(spark, unlabelled):
+    """The stage keeps what has a letter, whether there is anything to learn from or not."""
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    import corpus_pipeline as pipeline
+
+    texts = [None, "", " 123 !? ", "the dog", "日本語", "12 x", "İ", "🙂 ²"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts * 20)], "doc_id long, text string, lang string, source string, n_chars int")
+    if unlabelled == "no labels":
+        docs = docs.withColumn("lang", language_id.F.lit(None).cast("string"))
+    elif unlabelled == "no ids":
+        docs = docs.withColumn("doc_id", language_id.F.lit(None).cast("long"))
+    else:
+        docs = docs.where(language_id.held_out("doc_id"))
+    assert language_id.learned(docs) is None
+    kept = pipeline.identify_languages(spark, docs, None)
+    expected = [r for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")]
+    assert kept.columns == docs.columns and {r["text"] for r in expected} == {"the dog", "日本語", "12 x", "İ"}
+    assert sorted(map(str, kept.collect())) == sorted(map(str, expected))
+
+
 CHATS = "conv_id long, turn long, role string, text string, segment string"
 
 

@@ -12,7 +12,8 @@ The counts are fitted on a bounded sample of labelled rows (about ``SAMPLE`` tex
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; a text whose letters are
 all of unknown scripts gets the most frequent language and score 0; ties go to the language that sorts
-first; with no labelled rows everything is ``und``; other columns are left alone.
+first; with no labelled rows everything is ``und``, and ``keep_identified`` keeps the texts with a letter all the
+same; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -283,12 +284,17 @@ def predict(df: DataFrame, key: str, text: str, model: Model | None) -> DataFram
 
 
 def keep_identified(df: DataFrame, text: str, model: Model | None) -> DataFrame:
-    """The rows of ``df`` whose text has a language."""
+    """The rows of ``df`` whose text has a language; without a model, those whose text has a letter."""
     small_batches(df.sparkSession)
+    place = df.columns.index(text)
     if model is None:
-        return df.limit(0)
+
+        def lettered(parts):
+            for batch in parts:
+                yield batch.filter(pa.array([any(map(str.isalpha, t or "")) for t in batch.column(place).to_pylist()], pa.bool_()))
+
+        return df.mapInArrow(lettered, df.schema)
     shared = df.sparkSession.sparkContext.broadcast(model.arrays())
-    place = df.columns.index(text)
 
     def batches(parts):
         own, table_of = Model.of(shared.value), script_table()
