@@ -178,6 +178,18 @@ def test_no_labels_and_no_rows(spark, model):
     assert [tuple(r) for r in language_id.predict(row, "doc_id", "text", None).collect()] == [(1, "und", 0.0)]
 
 
+def test_copies_neither_hide_nor_swamp_a_language(spark):
+    """A language of few texts with many copies is learned from all of them, each once."""
+    texts = [("en", f"the dog number {i} sat with the cat on the mat") for i in range(3000)]
+    greek = [("el", t) for t in ("η γάτα κάθισε στο χαλί", "ο σκύλος ήταν εκεί", "όταν ήρθε η βροχή")]
+    once = spark.createDataFrame(texts + greek, "lang string, text string")
+    copied = once.union(spark.createDataFrame([(k, t) for k, t in texts[:5] + greek for _ in range(2000)], once.schema)).repartition(4)
+    few, many = (language_id.fit(rows, sample=40) for rows in (once, copied))
+    assert np.array_equal(few.log, many.log) and np.array_equal(few.uses, many.uses)
+    row = spark.createDataFrame([(1, "η βροχή και η γάτα")], "doc_id long, text string")
+    assert [r["lang_pred"] for r in language_id.predict(row, "doc_id", "text", many).collect()] == ["el"]
+
+
 @pytest.mark.parametrize("unlabelled", ["no labels", "no ids", "all held out"])
 def test_language_stage_without_a_model(spark, unlabelled):
     """The stage keeps what has a letter, whether there is anything to learn from or not."""

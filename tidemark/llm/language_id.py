@@ -7,8 +7,9 @@ language's counts, hashed into ``BUCKETS``. Viterbi then finds the languages of
 sum of scores less ``PENALTY`` for every switch, which labels the spans of a mixed text. The language of a
 text is the one with the most letters; the score is its share of the letters.
 
-The counts are fitted on a bounded sample of labelled rows (about ``SAMPLE`` texts, chosen by hash); they are
-``BUCKETS`` numbers per language whatever the size of the input.
+The counts are fitted on a bounded sample of the labelled texts (about ``SAMPLE`` distinct ones, chosen by hash, an
+equal share per language); copies of a text count once. They are ``BUCKETS`` numbers per language whatever the
+size of the input.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; a text whose letters are
 all of unknown scripts gets the most frequent language and score 0; ties go to the language that sorts
@@ -27,6 +28,7 @@ from tidemark.llm.common import small_batches, table
 from tidemark.llm.hashing import BASE, INVERSE, mixed, powers
 
 SAMPLE = 20_000
+FIT_ROWS = 100
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 PENALTY = 8.0
@@ -221,24 +223,27 @@ class Model:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """A model from rows (lang, text), about ``sample`` of them by a hash of the text; None without rows."""
+    """A model from rows (lang, text), about ``sample`` distinct ones by a hash of the text; None without rows."""
     small_batches(labelled.sparkSession)
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    per_language = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    # Copies of a text are drawn or left together, so shares are of distinct texts, and a drawn text counts once.
+    per_text = rows.groupBy("lang", F.xxhash64("text").alias("hash")).count()
+    sizes = per_text.groupBy("lang").agg(F.sum("count").alias("rows"), F.count("*").alias("texts")).collect()
+    per_language = {r["lang"]: r["rows"] for r in sizes}
     if not per_language:
         return None
     languages = sorted(per_language)
-    # Equal shares of the sample for all languages, as far as they have rows.
-    share = {k: min(1.0, sample / len(languages) / n) for k, n in per_language.items()}
+    # Equal shares of the sample for all languages, as far as they have texts.
+    share = {r["lang"]: min(1.0, sample / len(languages) / r["texts"]) for r in sizes}
     chosen = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
-    rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < chosen * 1_000_000)
+    rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < chosen * 1_000_000).distinct()
 
     def count(parts):
         table_of = script_table()
         counts = np.zeros((len(languages), BUCKETS), np.int64)
         scripts = np.zeros((len(languages), OTHER + 1), np.int64)
         place = {k: i for i, k in enumerate(languages)}
-        for batch in parts:
+        for batch in _few(parts):
             owners = np.array([place[k] for k in batch.column(0).to_pylist()], np.int64)
             words = Words(batch.column(1).to_pylist(), table_of)
             if len(words.owner):
@@ -264,6 +269,13 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     return Model(languages, counts, scripts, usual)
 
 
+def _few(parts):
+    """Batches of at most ``FIT_ROWS`` texts: the n-grams of a batch take many times its size."""
+    for batch in parts:
+        for start in range(0, len(batch), FIT_ROWS):
+            yield batch.slice(start, FIT_ROWS)
+
+
 def predict(df: DataFrame, key: str, text: str, model: Model | None) -> DataFrame:
     """(``key``, lang_pred, score) per row of ``df``."""
     spark = df.sparkSession
