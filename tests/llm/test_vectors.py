@@ -147,6 +147,17 @@ def test_searches_of_nothing(spark):
     assert exact_search.search(one, "vec_id", F.col("embedding").cast("array<double>"), asked).count() == 0
 
 
+def test_repeated_ids_do_not_mix_vectors(spark):
+    """Two vectors whose smallest id is the same: each query gets the neighbours of its own vector."""
+    rows = [(i, v) for i, v in sample(4, 1500, 4) if i % 100] + [(7, [9.0, 9.0, 9.0, 9.0]), (100, [9.0, 9.0, 9.0, 9.0]), (7, [-9.0, 9.0, -9.0, 9.0]), (200, [-9.0, 9.0, -9.0, 9.0])]
+    asked = F.col("vec_id") % 100 == 0
+    found = collected(forest_search.search(table_of(spark, rows), "vec_id", "embedding", asked))
+    expected = brute(rows, lambda q: q % 100 == 0, 10, distance, 1)
+    assert {q: [i for _, i, _ in v] for q, v in found.items()} == {q: [i for _, i, _ in v] for q, v in expected.items()}
+    whole = F.transform(F.col("embedding").cast("array<double>"), exact_search._floor_256)
+    assert collected(exact_search.search(table_of(spark, rows), "vec_id", whole, asked)) == brute(rows, lambda q: q % 100 == 0, 5, inner, -1)
+
+
 def test_classes_keep_the_smallest_ids(spark):
     rows = [(i, [1.0, float(i % 2)]) for i in range(200)] + [(3, [1.0, 1.0])] * 5
     df = spark.createDataFrame(rows, "id long, vector array<double>").repartition(7)

@@ -165,7 +165,7 @@ def search(df: DataFrame, ids: str, components, is_query, limit: int = 5) -> Dat
     usable = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     rows = rows.where(F.col("id").isNotNull() & (F.size("vector") == width) & usable)
     rows = rows.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
-    known = written(classes(rows, keep), "classes")
+    known = classes(rows, keep)
     packed = written(buckets(known, width, known.count()), "buckets")
     heads = packed.select("part", "number", "longest")
     # One number per bucket; buckets follow each other by part, then by number within it.

@@ -193,13 +193,14 @@ def search(
     usable = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     rows = rows.where(F.col("id").isNotNull() & (F.size("vector") == width) & usable & F.exists("vector", lambda x: x != 0))
     rows = rows.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
-    every = written(classes(rows, keep), "classes")
-    held_by = rows.groupBy("vector").agg(F.count("*").alias("n"), F.min("id").alias("class_id"))
-    often = [r["class_id"] for r in held_by.where(F.col("n") * HEAVY > rows.count()).select("class_id").collect()]
+    every = classes(rows, keep)
+    held_by = rows.groupBy("vector").agg(F.count("*").alias("n"))
+    many = held_by.where(F.col("n") * HEAVY > rows.count()).select("vector")
+    often = [r["class_id"] for r in every.join(many, "vector").select("class_id").collect()]
     heavy = spark.sparkContext.broadcast([(r["vector"], r["ids"]) for r in every.where(F.col("class_id").isin(often)).collect()])
     known = every.where(~F.col("class_id").isin(often))
     total = known.count()
-    points = known.orderBy(F.xxhash64("vector"), "class_id").limit(sample).select("vector").toArrow()
+    points = known.orderBy(F.xxhash64("vector"), "vector").limit(sample).select("vector").toArrow()
     at_points = matrix(points.column(0).combine_chunks(), max(width, 1))
     grown = [Tree.grown(at_points, leaf, seed) for seed in range(trees)]
     forest = spark.sparkContext.broadcast([tree.arrays() for tree in grown])
@@ -245,7 +246,7 @@ def search(
                 yield pa.RecordBatch.from_arrays(arrays, names=["group", "block", "leaf", "class_id", "vector", "ids"])
 
     dealt = routed.mapInArrow(deal, "group int, block int, leaf int, class_id long, vector array<double>, ids array<long>")
-    packed = dealt.groupBy("group", "block").agg(F.collect_list(F.struct("leaf", "class_id", "vector", "ids")).alias("rows"))
+    packed = dealt.groupBy("group", "block").agg(F.collect_list(F.struct("leaf", F.element_at("ids", 1).alias("first"), "vector", "ids")).alias("rows"))
     members = rows.where("asked").select(F.col("id").alias("query_id"), "vector").distinct()
     queries = written(members.join(every.select("class_id", "vector"), "vector").select("query_id", "class_id", "vector"), "queries")
     distinct = queries.select("class_id", "vector").dropDuplicates(["class_id"])
@@ -258,7 +259,7 @@ def search(
         for batch in parts:
             for vectors, queries in zip(batch.column("rows"), batch.column("queries")):
                 v, q = vectors.values, queries.values
-                ids = v.field("class_id").to_numpy()
+                ids = v.field("first").to_numpy()
                 hits = list(
                     nearest_in_leaves(
                         matrix(v.field("vector"), width), v.field("leaf").to_numpy(), ids,

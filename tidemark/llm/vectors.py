@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import with_row_id, written
+
 SALTS = 16
 
 
@@ -29,9 +31,10 @@ def matrix(lists: pa.Array, width: int) -> np.ndarray:
 
 
 def classes(df: DataFrame, keep: int) -> DataFrame:
-    """(class_id, vector, ids) from rows (id long, vector array<double> without nulls or NaN).
+    """(class_id, vector, ids) from rows (id long, vector array<double> without nulls or NaN), written.
 
-    Rows that agree in id and vector count once. ``ids`` are the ``keep`` smallest of the class, sorted; ``class_id`` is the smallest. Ids are cut to
+    Rows that agree in id and vector count once. ``ids`` are the ``keep`` smallest of the class, sorted;
+    ``class_id`` is a number of its own, as an id can be repeated in several classes. Ids are cut to
     ``keep`` within each partition first, then per salt, so a vector that a third of the rows share
     makes no large group.
     """
@@ -57,7 +60,7 @@ def classes(df: DataFrame, keep: int) -> DataFrame:
     salted = few.select("vector", F.array("id").alias("ids"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
     per_salt = salted.groupBy("vector", "salt").agg(smallest)
     merged = per_salt.groupBy("vector").agg(smallest)
-    return merged.select(F.element_at("ids", 1).alias("class_id"), "vector", "ids")
+    return written(with_row_id(merged, "class_id").select("class_id", "vector", "ids"), "classes")
 
 
 def give_results(queries: DataFrame, found: DataFrame, limit: int, ascending: bool) -> DataFrame:
