@@ -137,6 +137,27 @@ def test_trees_route_and_visit_every_leaf():
     assert len(same.cut) == 1
 
 
+def test_visits_count_distinct_vectors():
+    """Trees that agree show the same vectors again; the walk goes on until enough different ones are seen."""
+    points = np.random.default_rng(7).normal(size=(900, 3))
+    tree = forest_search.Tree.grown(points, 20, 0)
+    leaf = tree.route(points)
+    held, rows = np.bincount(leaf, minlength=len(tree.cut)), forest_search._per_node(leaf, len(tree.cut))
+    assert all((leaf[r] == node).all() for node, r in enumerate(rows)) and sum(map(len, rows)) == 900
+    visited = forest_search.visited_leaves([tree] * 8, [held] * 8, points[0], 450, [rows] * 8)
+    assert 450 <= len(np.unique(np.concatenate([rows[node] for _, node in visited]))) < 450 + held.max()
+
+
+def test_small_tables_enter_the_trees(spark, monkeypatch):
+    """500 vectors, none of them with copies: a narrow visit must leave most of them out."""
+    rows = sample(9, 500, 5)
+    asked = F.col("vec_id") % 100 == 0
+    found = collected(forest_search.search(table_of(spark, rows), "vec_id", "embedding", asked, visit=0.0, trees=1, leaf=12))
+    exact = brute(rows, lambda q: q % 100 == 0, 10, distance, 1)
+    assert {q: len(v) for q, v in found.items()} == {q: 10 for q in exact}
+    assert any([i for _, i, _ in found[q]] != [i for _, i, _ in exact[q]] for q in exact)
+
+
 def test_searches_of_nothing(spark):
     empty = spark.createDataFrame([], SHAPE)
     asked = F.col("vec_id") % 100 == 0

@@ -4,15 +4,17 @@ Trees are grown on the driver from a bounded sample (``SAMPLE`` distinct vectors
 hash): a node draws two vectors, moves them to the centres of the halves they attract, projects on their
 difference and splits at the median; a node of ``LEAF`` sampled vectors or fewer is a leaf. Every vector of
 the table is then routed to its leaf in every tree. A query walks all trees at once through one priority
-queue, nearest side first, and takes leaves until they hold ``VISIT`` of all vectors (``AT_LEAST`` rows or
-more); candidates are reranked by their exact distance.
+queue, nearest side first, and takes leaves until they hold ``VISIT`` of the sampled vectors, each counted once
+however many trees show it (exact up to ``SAMPLE`` distinct vectors, an estimate beyond); candidates are
+reranked by their exact distance.
 
 How much must be visited depends on the data. Vectors without structure, such as points spread evenly in 64
-dimensions, have neighbours hardly nearer than the rest and need about half of the table for a recall of
+dimensions, have neighbours hardly nearer than the rest and need most of the table for a recall of
 0.9; clustered ones need far less. ``VISIT`` is a share, so recall is the same at every size.
 
-A vector that more than one row in ``HEAVY`` holds can fill a query's whole answer, so the vectors of this kind,
-at most ``HEAVY`` of them, are candidates of every query and stay outside the trees.
+A vector that more rows hold than a query asks for, and more than one row in ``HEAVY``, can fill a query's whole
+answer, so the vectors of this kind, at most ``HEAVY`` of them, are candidates of every query and stay outside
+the trees.
 
 Neighbouring leaves of a tree form a group. A group's vectors are dealt into blocks of bounded size, and
 queries into blocks as well; a task gets one block of each and multiplies leaf by leaf.
@@ -39,7 +41,6 @@ SAMPLE = 20_000
 TREES = 8
 LEAF = 64
 VISIT = 0.9
-AT_LEAST = 2_000
 HEAVY = 1_000
 GROUPS = 8
 BLOCK = 8_192
@@ -111,12 +112,15 @@ class Tree:
         return leaf
 
 
-def visited_leaves(trees: list[Tree], held: list[np.ndarray], query: np.ndarray, enough: float) -> list[tuple[int, int]]:
+def visited_leaves(
+    trees: list[Tree], held: list[np.ndarray], query: np.ndarray, enough: float, sampled: list[list[np.ndarray]] | None = None
+) -> list[tuple[int, int]]:
     """(tree, leaf) in the order of the shared queue, until they hold ``enough`` vectors.
 
-    ``held`` has the number of vectors per node. A vector lies in a leaf of every tree, so what the trees
-    hold together counts each vector up to ``len(trees)`` times; ``enough`` allows for that.
+    ``held`` has the number of vectors per node. ``sampled`` has the sampled vectors per node; with it,
+    ``enough`` is a number of distinct sampled vectors, otherwise what the trees hold together.
     """
+    seen = np.zeros(sum(map(len, sampled[0])), bool) if sampled else None
     margins = [t.normal @ query - t.cut for t in trees]
     queue = [(-math.inf, t, 0) for t in range(len(trees))]
     heapq.heapify(queue)
@@ -127,7 +131,12 @@ def visited_leaves(trees: list[Tree], held: list[np.ndarray], query: np.ndarray,
         if tree.low[node] < 0:
             if held[t][node]:
                 found.append((t, node))
-                total += held[t][node]
+                if seen is None:
+                    total += held[t][node]
+                else:
+                    rows = sampled[t][node]
+                    total += len(rows) - int(seen[rows].sum())
+                    seen[rows] = True
             continue
         margin = margins[t][node]
         heapq.heappush(queue, (max(far, -margin), t, int(tree.high[node])))
@@ -195,15 +204,15 @@ def search(
     rows = rows.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
     every = classes(rows, keep)
     held_by = rows.groupBy("vector").agg(F.count("*").alias("n"))
-    many = held_by.where(F.col("n") * HEAVY > rows.count()).select("vector")
+    many = held_by.where((F.col("n") > limit) & (F.col("n") * HEAVY > rows.count())).select("vector")
     often = [r["class_id"] for r in every.join(many, "vector").select("class_id").collect()]
     heavy = spark.sparkContext.broadcast([(r["vector"], r["ids"]) for r in every.where(F.col("class_id").isin(often)).collect()])
     known = every.where(~F.col("class_id").isin(often))
-    total = known.count()
     points = known.orderBy(F.xxhash64("vector"), "vector").limit(sample).select("vector").toArrow()
     at_points = matrix(points.column(0).combine_chunks(), max(width, 1))
     grown = [Tree.grown(at_points, leaf, seed) for seed in range(trees)]
     forest = spark.sparkContext.broadcast([tree.arrays() for tree in grown])
+    sampled_in = spark.sparkContext.broadcast([tree.route(at_points).astype(np.int32) for tree in grown])
 
     def route(parts):
         walked = [Tree(*arrays) for arrays in forest.value]
@@ -218,16 +227,18 @@ def search(
     per_leaf = routed.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect()
     plan = spark.sparkContext.broadcast(_plan(grown, per_leaf))
     query_blocks = max(1, math.ceil(rows.where("asked").count() / QUERY_BLOCK))
-    enough = max(AT_LEAST, visit * total) * _repeats(visit, trees)
+    # An answer needs ``keep`` vectors, where the table has them.
+    enough = max(visit * len(at_points), min(keep, len(at_points)))
 
     def ask(parts):
         held, group_of, _ = plan.value
         walked = [Tree(*arrays) for arrays in forest.value]
+        sampled = [_per_node(leaf_of, len(tree.cut)) for leaf_of, tree in zip(sampled_in.value, walked)]
         for batch in parts:
             out = []
             for class_id, query in zip(batch.column(0).to_pylist(), matrix(batch.column(1), width)):
                 visits: dict[int, list[int]] = {}
-                for t, node in visited_leaves(walked, held, query, enough):
+                for t, node in visited_leaves(walked, held, query, enough, sampled):
                     visits.setdefault(int(group_of[t][node]), []).append(node)
                 out += [(g, class_id, query, nodes) for g, nodes in visits.items()]
             if out:
@@ -273,10 +284,11 @@ def search(
 
     def rerank_heavy(parts):
         points = np.array([v for v, _ in heavy.value]).reshape(-1, width)
+        first = np.array([ids[0] for _, ids in heavy.value], np.int64)
         for batch in parts:
             for class_id, query in zip(batch.column(0).to_pylist(), matrix(batch.column(1), width)):
                 distance = np.sqrt(((points - query) ** 2).sum(1))
-                best = np.argsort(distance, kind="stable")[:keep].tolist()
+                best = np.lexsort((first, distance))[:keep].tolist()
                 if best:
                     columns = [pa.array([class_id] * len(best), pa.int64()), pa.array([heavy.value[i][1] for i in best], pa.list_(pa.int64()))]
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(distance[best])], names=["class_id", "ids", "score"])
@@ -292,9 +304,10 @@ def _mixed(ids: np.ndarray) -> np.ndarray:
     return (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64)
 
 
-def _repeats(visit: float, trees: int) -> float:
-    """How often a visited vector is counted, roughly: shares of the trees overlap more as they grow."""
-    return 1.0 + visit * (trees - 1) / trees
+def _per_node(leaf_of: np.ndarray, nodes: int) -> list[np.ndarray]:
+    """The rows that lie in each node; only leaves have any."""
+    order = np.argsort(leaf_of, kind="stable")
+    return np.split(order, np.searchsorted(leaf_of[order], np.arange(1, nodes)))
 
 
 def _plan(trees: list[Tree], per_leaf) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
