@@ -280,6 +280,16 @@ def test_odd_transcripts(spark):
         assert r["rendered"].count("<|im_start|>") == r["rendered"].count("<|im_end|>") == 1
 
 
+def test_markers_alone_tell_who_speaks(spark):
+    """Turns of one text that differ in nothing but their markers, against the transitions too; no marker is in the labelled rows."""
+    spoken = {600: ["user", "user", "assistant", "user"], 601: ["system", "assistant", "assistant", "user", "system"], 602: ["user", "user"]}
+    words = {"user": "User", "assistant": "AI", "system": "System"}
+    rows = conversations(4, 200, 9) + [(c, 0, None, "\n".join(f"{words[s]}: ok" for s in each), "x") for c, each in spoken.items()]
+    found = chat_format.format_chats(spark.createDataFrame(rows, CHATS), "conv_id", "turn", "role", "text").collect()
+    for c, each in spoken.items():
+        assert [r["role_pred"] for r in sorted((r for r in found if r["conv_id"] == c), key=lambda r: r["segment"])] == each
+
+
 def test_chats_without_roles_or_rows(spark):
     shape = "conv_id long, turn long, role string, text string"
     assert chat_format.format_chats(spark.createDataFrame([], shape), "conv_id", "turn", "role", "text").count() == 0
