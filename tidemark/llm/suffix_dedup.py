@@ -1,21 +1,23 @@
-"""Removal of repeated byte strings by merging the Burrows-Wheeler transforms of shards.
+"""Removal of repeated byte strings by grouping the hashes of phrase runs that shards have sorted.
+
+No Burrows-Wheeler transform is made or merged: hash grouping of phrase runs stands in its place.
 
 **Symbols.** A text is cut where content says so: of every window of ``WINDOW`` k-grams the leftmost one with
 the least hash is a cut. A phrase runs from one cut to the next; its name is a hash of its bytes and of the
-k-gram that follows. Equal strings of ``length`` bytes have the same cuts inside, and at least one whole
-phrase. Names are the symbols of the transforms, which are some 45 times shorter than the bytes.
+k-gram that follows, in 64 bits. Equal strings of ``length`` bytes have the same cuts inside, and at least one
+whole phrase. Names are the symbols that are sorted, which are some 45 times fewer than the bytes.
 
 **Shards.** Texts go into shards of about ``SHARD_BYTES`` bytes, one row each. A shard sorts its suffixes once
-and keeps the order, the common prefixes of neighbours, and with them its transform (the symbol before each
-suffix). No suffix is sorted again.
-
-**Merging.** The merged transform is kept as blocks: suffixes that agree in their first symbols. A block is one
-run of rows in each shard, and the interleave of a block is how many rows each shard has in it. A round
-refines the blocks that are still shared, each row's block of r symbols joined to the blocks of the suffixes
-that follow it, to 4 r symbols; blocks with a single row are settled and drop out. A shard sends one row per
-run, never its suffixes, and gets back which of its runs are repeated. Rounds end when all blocks reach over
-``length`` bytes: the common prefix of a block is then long enough, and its rows are repeated intervals.
-Names of one symbol only tell what can be dropped; whatever covers bytes has agreed in 128 bits.
+and keeps the order and the common prefixes of neighbours; the symbol before a suffix is neither kept nor read.
+No suffix is sorted again.
+
+**Grouping.** A block is the suffixes that agree in their first symbols, and is one run of rows in each shard. A
+round hashes the first 1, 4, 16 ... names of every run that is still shared anew, from the names and not from the
+round before, and groups equal hashes over all shards; blocks with a single row are settled and drop out. A shard
+sends one row per run, never its suffixes, and gets back which of its runs are repeated. Rounds end when all
+blocks reach over ``length`` bytes: the common prefix of a block is then long enough, and its rows are repeated
+intervals. Names of one symbol only tell what can be dropped. Blocks agree in 128 bits over their names, so no
+further than the 64 bits of each name; windows compared one by one (below) agree in 128 bits over their bytes.
 
 **Edges.** A repeat may begin and end inside phrases. Windows of ``length`` bytes that hold bytes not yet
 covered, and whose whole phrases are all repeated, are compared byte for byte by 128-bit hashes: in groups of
