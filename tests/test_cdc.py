@@ -197,15 +197,15 @@ def test_history_of_skewed_log(spark, hot_rows):
     assert rows(scd1(df, **ARGS)) == rows(current_versions(versions).select("codigo", "descripcion")) == sorted(current, key=str)
 
 
-@pytest.mark.parametrize("seed, batches, fan_out, hot_rows", [(1, 4, 20, None), (2, 5, 1, 3), (3, 3, 2, 25)])
-def test_any_split_into_batches_gives_the_rebuild(spark, base, seed, batches, fan_out, hot_rows):
+@pytest.mark.parametrize("seed, batches, buckets, hot_rows", [(1, 4, 20, None), (2, 5, 1, 3), (3, 3, 2, 25)])
+def test_any_split_into_batches_gives_the_rebuild(spark, base, seed, batches, buckets, hot_rows):
     log = random_log(seed, 150, 5)
     pick = random.Random(seed)
     split = [[] for _ in range(batches)]
     for row in log:
         split[pick.randrange(batches)].append(row)
-    current = ChangeTarget(spark, f"{base}/one", RULES, 1, fan_out)
-    history = ChangeTarget(spark, f"{base}/two", RULES, 2, fan_out, hot_rows)
+    current = ChangeTarget(spark, f"{base}/one", RULES, 1, buckets)
+    history = ChangeTarget(spark, f"{base}/two", RULES, 2, buckets, hot_rows)
     number = 0
     for part in [*split, split[0]]:  # the first batch arrives again at the end
         merge_into(spark.createDataFrame(part, SCHEMA), [current, history], "job", number)
@@ -213,9 +213,6 @@ def test_any_split_into_batches_gives_the_rebuild(spark, base, seed, batches, fa
         number += 1
     assert rows(history.read()) == model(log)
     assert rows(current.read()) == sorted([v[:2] for v in model(log) if v[3] is None], key=str)
-    history.compact()
-    assert len(history.table.parts) == 1
-    assert rows(history.read()) == model(log)
 
 
 def test_tombstones_and_rejects_are_kept(spark, base):
@@ -226,7 +223,6 @@ def test_tombstones_and_rejects_are_kept(spark, base):
     ]
     for number, batch in enumerate(batches):
         target.merge(spark.createDataFrame(batch, SCHEMA), "job", number)
-        target.compact()
     assert rows(target.read()) == []
     assert [r["reject_reason"] for r in target.rejects.read().collect()] == ["null key"]
 
@@ -240,14 +236,71 @@ def test_a_new_column_in_the_feed_is_taken_up(spark, base):
     assert found == {("a1", None, at(11)), ("a2", None, at(12)), ("a3", None, at(13)), ("a4", "x", None)}
 
 
-def test_a_merge_reads_only_bounds_of_stored_tiles(spark, base, capsys):
+def many_keys(spark, count, days):
+    return spark.range(count * days).selectExpr(
+        f"concat('K', id % {count}) codigo", "concat('d', id) descripcion", "'UPDATE' operation",
+        f"timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id div {count} as int)) event_ts",
+    )
+
+
+def test_a_batch_of_one_key_reads_as_much_of_a_target_ten_times_as_large(spark, base, monkeypatch):
+    """Rows read from the state: for an event that is newest, and for one that is late."""
+    scanned, scan, read = [], ChangeTarget._scan, {}
+
+    def counted(self, condition):
+        scanned.append(scan(self, condition).count())
+        return scan(self, condition)
+
+    monkeypatch.setattr(ChangeTarget, "_scan", counted)
+    for count in (300, 3000):
+        target = ChangeTarget(spark, f"{base}/{count}", RULES, 2, buckets=4, bucket_rows=100)
+        for number, days in enumerate((1, 40)):
+            target.merge(many_keys(spark, count, days), "load", number)
+        for name, day in (("new", 90), ("late", 5)):
+            event = [("K7", name, "UPDATE", at(1) + timedelta(days=day, minutes=1))]
+            scanned.clear()
+            target.merge(spark.createDataFrame(event, SCHEMA), name, 0)
+            read[name, count] = sum(scanned)
+        assert target.read().count() == count * 40 + 2
+    assert read["new", 3000] <= 1.5 * read["new", 300] and read["late", 3000] <= 1.5 * read["late", 300], read
+
+
+def test_partitions_of_other_buckets_and_periods_stay_as_they_are(spark, base):
+    target = ChangeTarget(spark, base, RULES, 2, buckets=4)
+    target.merge(many_keys(spark, 20, 70), "load", 0)
+    parts = lambda: {(r["f"], r["t"]) for r in target.state().selectExpr("_metadata.file_path f", "_metadata.file_modification_time t").distinct().collect()}
+    before = parts()
+    target.merge(spark.createDataFrame([("K7", "new", "UPDATE", at(1) + timedelta(days=80))], SCHEMA), "one", 0)
+    kept, gone = before & parts(), before - parts()
+    # The bucket's open versions and its versions that end in March are replaced, nothing else.
+    assert len({f.rsplit("/", 1)[0] for f, _ in gone}) == 2 and all("open" in f or "2024-03" in f for f, _ in gone)
+    assert len(kept) > len(gone)
+
+
+def test_a_replacement_that_was_cut_off_is_made_again(spark, base, monkeypatch):
     target = ChangeTarget(spark, base, RULES, 2)
+    target.merge(spark.createDataFrame(FEED[:3], SCHEMA), "job", 0)
+    whole = ChangeTarget._image
+    monkeypatch.setattr(ChangeTarget, "_image", lambda self: (_ for _ in ()).throw(RuntimeError("lost")))
+    late = [("A", "a0", "UPDATE", at(9))]
+    with pytest.raises(RuntimeError, match="lost"):
+        target.merge(spark.createDataFrame(late, SCHEMA), "job", 1)
+    monkeypatch.setattr(ChangeTarget, "_image", whole)
+    again = ChangeTarget(spark, base, RULES, 2)
+    again.merge(spark.createDataFrame(FEED[3:], SCHEMA), "other", 0)
+    assert rows(again.read()) == model([*FEED, *late])
+
+
+def test_a_target_with_a_name(spark, base):
+    name = "dim_" + base.rsplit("-", 1)[-1]
+    target = ChangeTarget(spark, base, RULES, 2, name=name, comment="it's versions", bucket_rows=2)
     target.merge(spark.createDataFrame(FEED, SCHEMA), "job", 0)
-    points = spark.createDataFrame([("A", at(11)), ("A", at(12))], "codigo string, __seq timestamp_ntz")
-    target._tiles_near(points).explain("formatted")
-    plan = capsys.readouterr().out
-    assert "Or(IsNull(__end),GreaterThan(__end,2024-01-01T11:00))" in plan
-    assert "ReadSchema: struct<codigo:string,__seq:timestamp_ntz,__end:timestamp_ntz>" in plan
+    assert rows(spark.table(name)) == rows(target.read())
+    wider = spark.createDataFrame([("A", "a4", "UPDATE", at(13), {"x": 1})], SCHEMA + ", extra map<string,int>")
+    target.merge(wider, "job", 1)
+    assert rows(spark.table(name)) == rows(target.read()) and "extra" in spark.table(name).columns
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"describe table extended {name}").collect()}
+    assert about["Comment"] == "it's versions"
 
 
 def test_views_agree_when_the_lookup_is_too_large_to_broadcast(spark):

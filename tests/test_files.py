@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import types as T
@@ -9,7 +10,8 @@ from pyspark.sql import types as T
 from tidemark.operators.reports import rescued_rows, rescued_summary, table_profile
 from tidemark.plans.jobs import ingest_lots, product_dimension
 from tidemark.sources.batch import file_inventory, read_csv
-from tidemark.sources.csv_lots import group_by_header
+from tidemark.sources import csv_lots
+from tidemark.sources.csv_lots import first_lines, group_by_header, infer_types
 from tidemark.streaming.files import SchemaLog, ingest_files
 from tidemark.streaming.sinks import drain
 from tidemark.streaming.tables import AuditedTable
@@ -124,16 +126,16 @@ def test_failure_after_the_schema_log_is_repaired_by_a_rerun(spark, base, put, m
     put("in/1.csv", "id,qty\n1,5\n")
     evolving(spark, base)
     put("in/2.csv", "id,qty,pri\n2,6,HI\n")
-    whole = AuditedTable._commit
+    whole = AuditedTable.append
 
     def dies(self, *args):
         raise RuntimeError("lost the driver")
 
-    monkeypatch.setattr(AuditedTable, "_commit", dies)
+    monkeypatch.setattr(AuditedTable, "append", dies)
     with pytest.raises(Exception, match="lost the driver"):
         evolving(spark, base)
     assert AuditedTable(spark, f"{base}/table").read().count() == 1
-    monkeypatch.setattr(AuditedTable, "_commit", whole)
+    monkeypatch.setattr(AuditedTable, "append", whole)
     found = {r["id"]: r["pri"] for r in evolving(spark, base).collect()}
     assert found == {1: None, 2: "HI"}
 
@@ -223,3 +225,53 @@ def test_headers_of_many_files_take_one_job(spark, base, put):
     jobs = len(tracker.getJobIdsForGroup(group))
     spark.sparkContext.setJobGroup("", "")
     assert jobs <= 2 and {k: len(v) for k, v in groups.items()} == {("id", "v0"): 17, ("id", "v1"): 17, ("id", "v2"): 16}
+
+
+def test_headers_of_large_files_read_their_beginning_only(spark, put):
+    """A file of 600 times the size takes at most twice the time."""
+    line = ",".join(["x" * 9] * 10) + "\n"
+    small, large = put("in/s.csv", "a,b\n" + line * 10_000), put("in/l.csv", "a,c\n")
+    with open(large, "a", encoding="utf-8") as file:
+        for _ in range(600):
+            file.write(line * 10_000)
+    assert os.path.getsize(large) > 550_000_000
+    took = {}
+    for path in (small, small, large):
+        start = time.monotonic()
+        assert len(first_lines(spark, [path])) == 1
+        took[path] = time.monotonic() - start
+    assert took[large] < 2 * max(took[small], 0.3), took
+
+
+def test_headers_by_size_and_with_quoted_line_feeds(spark, put):
+    texts = {"a": 'id,"x\ny","z"\n1,2,3\n', "b": "", "c": "\n\nid\n", "d": "id\n", "e": 'id,"open\n'}
+    paths = {n: put(f"in/{n}.csv", t) for n, t in texts.items()}
+    for sizes in (None, {p: os.path.getsize(p) for p in paths.values()}):
+        found = first_lines(spark, sorted(paths.values()), {"multiLine": "true"}, sizes)
+        by_name = {n: found.get(p) for n, p in paths.items()}
+        assert by_name["a"] == 'id,"x\ny","z"' and by_name["b"] is None and by_name["d"] == "id"
+
+
+def test_types_of_new_columns(spark):
+    rows = [("1", "3000000000", "1.5", "2024-01-02", "2024-01-02 03:04:05", "true", "1", None, "7f"), ("-2", "4", "2", "2024-1-3", "2024-01-02T03:04:05", "FALSE", "x", None, "2")]
+    names = ["i", "l", "d", "day", "at", "yes", "mixed", "none", "hex"]
+    found = infer_types(spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names)), names)
+    assert [f.dataType.simpleString() for f in found] == ["int", "bigint", "double", "date", "timestamp", "boolean", "string", "string", "string"]
+
+
+def test_files_with_new_columns_are_parsed_once(spark, base, put, monkeypatch):
+    put("in/1.csv", "id,qty\n1,5\n")
+    scans, whole = [], csv_lots.read_group
+    monkeypatch.setattr(csv_lots, "read_group", lambda *a: scans.append(a[1]) or whole(*a))
+    assert evolving(spark, base).schema["qty"].dataType == T.IntegerType()
+    assert scans == [("id", "qty")]
+
+
+def test_batches_bounded_by_bytes(spark, base, put):
+    sizes = [os.path.getsize(put(f"in/{n}.csv", "id,qty\n" + f"{n},1\n" * 100)) for n in range(6)]
+    drain(ingest_files(spark, f"{base}/in", f"{base}/table", f"{base}/cp", schema=FIXED, evolution="rescue", max_bytes=str(2 * max(sizes))))
+    history = AuditedTable(spark, f"{base}/table").history().collect()
+    taken = [int(r["operation_parameters"]["bytes"]) for r in history]
+    assert len(taken) >= 3 and max(taken) <= 2 * max(sizes) and sum(taken) == sum(sizes) and sum(r["rows"] for r in history) == 600
+    with pytest.raises(ValueError, match="both"):
+        ingest_files(spark, base, base, f"{base}/x", schema=FIXED, evolution="rescue", max_files=3, max_bytes="1g")

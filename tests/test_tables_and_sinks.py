@@ -1,5 +1,6 @@
-"""Audited tables, triggers, catalog sinks, cursor pulls, views, expectations, the shared folder."""
+"""Audited tables and their audit, named views, triggers, catalog sinks, cursor pulls, views, expectations, the shared folder."""
 
+import threading
 from datetime import datetime
 
 import pytest
@@ -9,11 +10,21 @@ from tidemark import workspace
 from tidemark.operators.cdc import ChangeRules
 from tidemark.operators.quality import expect, expect_stream, expectation_metrics
 from tidemark.operators.views import CUSTOMER_EXPECTATIONS
-from tidemark.plans.jobs import core_tables, pull_into, silver_views
-from tidemark.sources.cursor import cursor_text, cursor_value, jdbc_reader, pull_by_cursor
+from tidemark.plans.jobs import PullError, core_tables, pull_into, silver_views
+from tidemark.sources.cursor import (
+    cursor_text,
+    cursor_value,
+    even_cuts,
+    even_predicates,
+    jdbc_reader,
+    part_of,
+    pull_by_cursor,
+)
+from tidemark.streaming import tables
+from tidemark.streaming.audit import WriteAudit
 from tidemark.streaming.change_targets import ChangeTarget
 from tidemark.streaming.sinks import append_audited, append_stream, drain, for_each_batch, safe_name, trigger_options
-from tidemark.streaming.tables import AuditedTable, ConcurrentWriteError, describe_table, refresh_view
+from tidemark.streaming.tables import AuditedTable, NamedView, describe_table, refresh_view
 
 
 def at(day):
@@ -35,27 +46,53 @@ def test_appends_merge_columns_and_skip_replays(spark, base):
     assert again.read().count() == 3
 
 
-def test_an_uncommitted_directory_is_not_read(spark, base):
+def test_a_repeated_write_replaces_its_own_rows_only(spark, base):
     table = AuditedTable(spark, base)
     table.append(spark.range(2), "w", 0)
-    spark.range(100).write.parquet(f"{base}/data/w/1")
-    assert table.refresh().read().count() == 2
-    table.append(spark.range(3), "w", 1)
-    assert table.refresh().read().count() == 5
+    spark.range(7).write.parquet(f"{base}/data/w/1")  # what a writer left that died before its audit row
+    table.append(spark.range(10, 13), "w", 1)
+    assert sorted(r["id"] for r in AuditedTable(spark, base).read().collect()) == [0, 1, 10, 11, 12]
+    assert [(r["version"], r["rows"]) for r in table.history().collect()] == [(0, 2), (1, 3)] and table.parts == ["w/0", "w/1"]
 
 
-def test_a_view_may_read_itself(spark, base):
-    table = refresh_view(spark.range(5), base, "numbers")
-    refresh_view(table.read().where("id > 2"), base)
-    assert AuditedTable(spark, base).read().count() == 2
-    assert spark.table("numbers").count() == 5
+def catalog_name(base, name):
+    return f"{name}_{base.rsplit('-', 1)[-1]}"
 
 
-def test_long_runs_stay_one_entry(spark, base):
-    table = AuditedTable(spark, base)
-    for n in range(4):
-        table.append(spark.range(1), "w", n)
-    assert table.refresh().last()["live"] == ["w/0-3"] and len(table.parts) == 4
+def test_a_view_may_read_itself(spark, base):
+    name = catalog_name(base, "numbers")
+    view = refresh_view(spark.range(5), name)
+    before = view.read()
+    refresh_view(view.read().where("id > 2"), name)
+    assert spark.table(name).count() == 2 and before.count() == 5
+
+
+def test_a_reader_never_misses_a_view_and_old_tables_go(spark, base):
+    name = catalog_name(base, "steady")
+    view = refresh_view(spark.range(1), name, "it's steady")
+    seen, stop = [], threading.Event()
+
+    def read():
+        try:
+            while not stop.is_set():
+                seen.append(spark.table(name).count())
+        except Exception as error:
+            seen.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for n in range(2, 12):
+            view.refresh(spark.range(n), "it's steady", {"n": str(n)})
+    finally:
+        stop.set()
+        reader.join()
+    assert len(seen) > 5 and seen == sorted(seen) and set(seen) <= set(range(1, 12))
+    assert len(view.versions()) == 2 and view.read().count() == 11
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"describe table extended {name}").collect()}
+    assert about["Comment"] == "it's steady"
+    with pytest.raises(ValueError, match="keep"):
+        NamedView(spark, name, 0)
 
 
 def test_triggers_and_names():
@@ -258,7 +295,8 @@ def test_core_tables_to_silver_views(spark, base):
     changes = [("P1", "old", "INSERT", at(1)), ("P1", "Hipoteca", "UPDATE", at(2)), ("GONE", "x", "INSERT", at(1)), ("GONE", None, "DELETE", at(2))]
     products.merge(spark.createDataFrame(changes, feed), "job", 0)
     name = "m_cliente_" + base.rsplit("-", 1)[-1]
-    views = silver_views(core, products, f"{base}/silver", {"m_cliente": name})
+    names = {v: catalog_name(base, v) for v in ("m_cliente", "h_prestamo", "m_prestamo")}
+    views = silver_views(core, products, f"{base}/silver", names)
     assert spark.table(name).count() == 2
     about = {r["col_name"]: r["data_type"] for r in spark.sql(f"describe table extended {name}").collect()}
     assert about["Comment"] == "Current customers"
@@ -298,13 +336,99 @@ def test_shared_folder_rules(spark, monkeypatch):
     assert workspace.shared_dir(local) == workspace.shared_dir(local)
 
 
-def test_two_writers_fail_loudly_and_lose_nothing(spark, base):
+def test_two_writers_lose_nothing(spark, base, monkeypatch):
+    """A second writer commits between the first one's look at the table and its write."""
     first, second = AuditedTable(spark, base), AuditedTable(spark, base)
-    first.append(spark.range(0, 5), "a", 0)
-    assert second.last()["version"] == 0
-    first.append(spark.range(5, 10), "a", 1)
-    with pytest.raises(ConcurrentWriteError):
-        second.append(spark.range(10, 15), "b", 0)
-    assert sorted(r["id"] for r in AuditedTable(spark, base).read().collect()) == list(range(10))
-    second.append(spark.range(10, 15), "b", 0)
-    assert AuditedTable(spark, base).read().count() == 15
+    first.append(spark.range(0, 1), "a", 0)
+    assert first.schema == second.schema
+    commit = tables.write_line
+
+    def interleaved(*args):
+        monkeypatch.setattr(tables, "write_line", commit)
+        second.append(spark.range(10, 11).withColumn("x", F.lit("b")), "b", 0)
+        commit(*args)
+
+    monkeypatch.setattr(tables, "write_line", interleaved)
+    first.append(spark.range(20, 21), "a", 1)
+    found = AuditedTable(spark, base).read().collect()
+    assert sorted((r["id"], r["x"]) for r in found) == [(0, None), (10, "b"), (20, None)]
+    assert AuditedTable(spark, base).history().count() == 3
+
+
+def test_a_listener_notes_every_micro_batch(spark, base):
+    """Through Spark's own file sink and through a function per batch."""
+    name = catalog_name(base, "noted")
+    for n in range(3):
+        spark.range(n * 10, n * 10 + 4).coalesce(1).write.parquet(f"{base}/in/{n}")
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+    with WriteAudit(spark, f"{base}/audit") as audit:
+        job = drain(append_stream(expect_stream(stream, "rules", {"even": "id % 2 = 0"}), name, f"{base}/cp", name=name, path=f"{base}/table"))
+        rows = audit.wait_for(job).orderBy("batch_id").collect()
+        other = drain(append_audited(stream, f"{base}/audited", f"{base}/cp2"))
+        assert [r["input_rows"] for r in audit.wait_for(other).collect()] == [4, 4, 4]
+    assert [(r["query_name"], r["batch_id"], r["input_rows"]) for r in rows] == [(name, n, 4) for n in range(3)]
+    assert all(r["started_at"] <= r["ended_at"] and f"{base}/table" in r["sink"] and f"{base}/in" in r["source"] for r in rows)
+    assert rows[0]["metrics"] == {"rules": {"even_passed": "2", "even_failed": "2"}}
+    assert audit.rows().count() == 6
+
+
+def test_sink_without_merging_refuses_new_columns(spark, base):
+    name = catalog_name(base, "narrow")
+    spark.range(2).write.parquet(f"{base}/in/0")
+
+    def run(schema):
+        stream = spark.readStream.schema(schema).parquet(f"{base}/in/*")
+        drain(append_stream(stream, name, f"{base}/cp", path=f"{base}/table", merge_columns=False))
+
+    run("id long")
+    with pytest.raises(ValueError, match="has no column x"):
+        run("id long, x string")
+
+
+def hot_day(spark):
+    """A third of the rows on one instant, a third within a day, the rest over a year."""
+    at = "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, {}, 0, {})"
+    return spark.range(30_000).selectExpr(
+        "id", f"case id % 3 when 0 then timestamp_ntz'2024-05-05' when 1 then {at.format(125, 'cast(id % 1440 as int)')} "
+        f"else {at.format('cast(id % 365 as int)', 0)} end as changed", "if(id % 1000 = 0, null, id) as other",
+    )
+
+
+def test_even_parts_of_a_skewed_cursor(spark, base):
+    rows = hot_day(spark)
+    rows.write.parquet(base)
+    rows = spark.read.parquet(base)
+    cuts = even_cuts(rows, "changed", 16, "id", per_part=200)
+    sizes = [r["count"] for r in rows.groupBy(part_of(rows, cuts, "changed", "id")).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 30_000 / 16 and sum(sizes) == 30_000
+    plain = even_cuts(rows, "changed", 16)
+    assert len(plain) < 16  # one instant cannot be cut without a tie
+
+
+def test_even_predicates_hold_for_every_row_once(spark):
+    rows = hot_day(spark).withColumn("changed", F.expr("if(id % 777 = 0, null, changed)"))
+    for tie in (None, "id", "other"):
+        cuts = even_cuts(rows, "changed", 8, tie, per_part=50)
+        conditions = even_predicates(cuts, "changed", tie)
+        times = sum(F.coalesce(F.expr(c.replace("TIMESTAMP", "TIMESTAMP_NTZ")), F.lit(False)).cast("int") for c in conditions)
+        assert [tuple(r) for r in rows.groupBy(times.alias("times")).count().collect()] == [(1, 30_000)]
+    assert even_predicates([], "x") == ["1 = 1"] and even_cuts(rows.where("false"), "changed", 4) == []
+    assert even_predicates([("it's",)], "x") == ["(x < 'it''s' OR x IS NULL)", "NOT x < 'it''s'"]
+
+
+def test_pulls_overlap_and_failures_are_told_together(spark, base):
+    meet = threading.Barrier(2, timeout=60)
+    good = spark.createDataFrame([(1, "a", at(1))], PULL)
+
+    def read(name):
+        if name in ("one", "two"):
+            meet.wait()  # passes only if both are being pulled
+            return good
+        raise RuntimeError(f"no table {name}")
+
+    tables_ = {"one": ("id", 1), "bad": ("id", 1), "two": ("id", 2), "worse": ("id", 1)}
+    with pytest.raises(PullError) as failed:
+        core_tables(spark, read, base, tables_, "changed")
+    assert set(failed.value.failures) == {"bad", "worse"} and "no table bad" in str(failed.value)
+    again = core_tables(spark, lambda name: good, base, tables_, "changed")
+    assert [again[n].read().count() for n in tables_] == [1, 1, 1, 1]

@@ -1,13 +1,15 @@
 """Reader options, payloads in a registry envelope, and the topic job."""
 
 import json
+import random
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import types as T
 
 from tidemark.functions.payloads import payload_names, split_envelope
-from tidemark.plans.jobs import decode_topic, ingest_topic
+from tidemark.plans.jobs import decode_topic, ingest_topic, replay_dead_letters
+from tidemark.sources.offsets import DataLossError, check_offsets, offset_gaps, offset_runs, resume_offsets, starting_offsets
 from tidemark.sources.topics import TOPIC_SCHEMA, default_subject, kafka_options, read_topic_files, subject_schemas
 from tidemark.streaming.sinks import drain
 from tidemark.streaming.tables import AuditedTable
@@ -164,3 +166,71 @@ def test_topic_into_a_catalog_table(spark, base):
         ingest_topic(
             read_topic_files(spark, f"{base}/in"), registry(spark, ONE), "pagos", "dev", f"{base}/cp2", path=f"{base}/x", trigger="once", payload_format="json"
         )
+
+
+OFFSETS = "topic string, partition int, offset long"
+
+
+def plain_runs(rows):
+    found = []
+    for t, p in sorted({r[:2] for r in rows}):
+        offsets = sorted({o for a, b, o in rows if (a, b) == (t, p)})
+        for o in offsets:
+            if found and found[-1][:2] == (t, p) and found[-1][3] + 1 == o:
+                found[-1] = (t, p, found[-1][2], o)
+            else:
+                found.append((t, p, o, o))
+    return found
+
+
+@pytest.mark.parametrize("block", [1, 7, 50, 10**6])
+def test_runs_and_gaps_of_offsets(spark, block):
+    pick = random.Random(block)
+    rows = [(t, p, o) for t in ("a", "b") for p in range(3) for o in range(20, 200) if pick.random() < (0.9, 1.0, 0.3)[p]]
+    df = spark.createDataFrame([*rows, *rows[:40], (None, 0, 1), ("a", None, 1), ("a", 0, None)], OFFSETS).repartition(3)
+    runs = offset_runs(df, block)
+    expected = plain_runs(rows)
+    assert sorted(tuple(r[c] for c in ("topic", "partition", "first_offset", "last_offset")) for r in runs.collect()) == expected
+    holes = [(*a[:2], a[3] + 1, b[2] - 1, b[2] - a[3] - 1) for a, b in zip(expected, expected[1:]) if a[:2] == b[:2]]
+    assert sorted(map(tuple, offset_gaps(runs).collect())) == holes
+
+
+def test_lost_offsets_stop_the_job_or_are_told(spark):
+    runs = offset_runs(spark.createDataFrame([("a", 0, o) for o in (5, 6, 9)] + [("a", 1, 3)], OFFSETS))
+    with pytest.raises(DataLossError, match="topic a partition 0: offsets 7 to 8"):
+        check_offsets(runs)
+    assert check_offsets(runs, fail_on_data_loss=False).count() == 1
+    assert check_offsets(runs.where("partition = 1")).count() == 0
+    assert starting_offsets(resume_offsets(runs)) == '{"a": {"0": 10, "1": 4}}'
+    assert starting_offsets(resume_offsets(runs, skip_gaps=False)) == '{"a": {"0": 7, "1": 4}}'
+
+
+def test_dead_letters_are_replayed_once(spark, base):
+    schemas = {1: T.StructType().add("x", "integer").json(), 2: T.StructType().add("x", "integer").add("y", "string").json()}
+    registry = spark.createDataFrame([("t-value", i, text) for i, text in schemas.items()], "subject string, schema_id int, schema_json string")
+
+    def message(offset, schema_id, body):
+        value = b"\x00" + schema_id.to_bytes(4, "big") + body
+        return (b"k", value, "t", 0, offset, datetime(2024, 1, 1), 0)
+
+    rows = [message(0, 1, b'{"x": 1}'), message(1, 2, b'{"x": 2, "y": "b"}'), message(2, 3, b'{"x": 3}')]
+    spark.createDataFrame(rows, TOPIC_SCHEMA).write.parquet(f"{base}/in")
+    settings = {"path": f"{base}/bronze", "dead_letters": f"{base}/dead", "payload_format": "json"}
+    for _ in range(2):
+        drain(ingest_topic(read_topic_files(spark, f"{base}/in"), registry.where("schema_id = 1"), "t", "dev", f"{base}/cp", **settings))
+    bronze = AuditedTable(spark, f"{base}/bronze")
+    assert [r["x"] for r in bronze.read().collect()] == [1]
+    assert replay_dead_letters(registry.where("schema_id = 1"), "t", "dev", **settings) == 0
+    assert [replay_dead_letters(registry, "t", "dev", **settings) for _ in range(2)] == [1, 0]
+    assert sorted((r["x"], r["y"]) for r in bronze.refresh().read().collect()) == [(1, None), (2, "b")]
+    dead = AuditedTable(spark, f"{base}/dead").read()
+    assert sorted(r["schema_id"] for r in dead.collect()) == [2, 3]
+    with pytest.raises(ValueError, match="no target"):
+        ingest_topic(read_topic_files(spark, f"{base}/in"), registry, "t", "dev", base, target="x", dead_letters=base)
+
+
+def test_a_body_is_parsed_once(spark, capsys):
+    messages = spark.createDataFrame([], TOPIC_SCHEMA)
+    decode_topic(messages, {1: T.StructType().add("x", "integer").json()}, "dev", payload_format="json").explain("extended")
+    optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert optimized.count("from_json") == 1

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 MODES = ("FAILFAST", "PERMISSIVE")
 FORMATS = ("avro", "json")
 _CORRUPT = "__corrupt"
+_PARSED = "__parsed"
 
 
 def split_envelope(df: DataFrame, value: str = "value") -> DataFrame:
@@ -35,6 +36,15 @@ def split_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def has_unknown_schema(schemas: dict[int, str]) -> Column:
+    """Whether an envelope is sound and names a schema that is not among ``schemas``; never NULL."""
+    return _sound() & ~F.col("schema_id").isin(list(schemas))
+
+
+def _sound() -> Column:
+    return F.coalesce((F.col("magic") == 0) & F.col("schema_id").isNotNull(), F.lit(False))
+
+
 def payload_names(schema_text: str) -> list[str]:
     """The fields of a payload schema, of either format."""
     schema = json.loads(schema_text)
@@ -59,26 +69,36 @@ def decode_payload(
         raise ValueError(f"unknown format {payload_format!r}: use one of {', '.join(FORMATS)}")
     if not schemas:
         raise ValueError("no schema is registered for the subject")
-    sound = F.coalesce((F.col("magic") == 0) & F.col("schema_id").isNotNull(), F.lit(False))
-    unknown = sound & ~F.col("schema_id").isin(list(schemas))
+    sound, unknown = _sound(), has_unknown_schema(schemas)
     refused = F.raise_error(F.concat(F.lit("unknown schema id "), F.col("schema_id").cast("string")))
-    decoded = _from_json(schemas, mode) if payload_format == "json" else _from_avro(schemas, mode)
+    if payload_format == "json":
+        # A column of its own, below the conditions that look at it, so that a body is parsed once.
+        df = df.withColumn(_PARSED, _parsed(schemas, mode))
+        decoded = _from_json(schemas)
+    else:
+        decoded = _from_avro(schemas, mode)
     result = F.when(unknown, refused).when(sound, decoded)
     if mode == "FAILFAST":
         df = df.withColumn(event, result)
         wrong = F.col("body").isNotNull() & F.col(event).isNull()
         failed = F.raise_error(F.concat(F.lit("payload does not decode, schema id "), F.coalesce(F.col("schema_id").cast("string"), F.lit("none"))))
-        return df.withColumn(event, F.when(wrong, failed).otherwise(F.col(event)))
-    return df.withColumn(event, result)
+        return df.withColumn(event, F.when(wrong, failed).otherwise(F.col(event))).drop(_PARSED)
+    return df.withColumn(event, result).drop(_PARSED)
 
 
-def _from_json(schemas: dict[int, str], mode: str) -> Column:
+def _parsed(schemas: dict[int, str], mode: str) -> Column:
     reader = T.StructType.fromJson(json.loads(schemas[max(schemas)]))
     holder = T.StructType([*reader.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {"mode": mode, "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = F.from_json(F.col("body").cast("string"), holder, options)
-    fields = F.struct(*[parsed[f.name].alias(f.name) for f in reader])
-    return F.when(parsed.isNotNull() & parsed[_CORRUPT].isNull(), fields)
+    # Only bodies of a sound envelope with a known id are parsed; the others are settled without.
+    known = (F.col("magic") == 0) & F.col("schema_id").isin(list(schemas))
+    body = F.when(known, F.col("body").cast("string"))
+    return F.from_json(body, holder, {"mode": mode, "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _from_json(schemas: dict[int, str]) -> Column:
+    names = T.StructType.fromJson(json.loads(schemas[max(schemas)])).names
+    parsed = F.col(_PARSED)
+    return F.when(parsed.isNotNull() & parsed[_CORRUPT].isNull(), F.struct(*[parsed[n].alias(n) for n in names]))
 
 
 def _from_avro(schemas: dict[int, str], mode: str) -> Column:

@@ -55,15 +55,15 @@ class ChangeRules:
 
     def points(self, log: DataFrame) -> DataFrame:
         """Keys, ``__seq`` and ``__row`` (tie-breakers, delete flag, kept columns) of each event."""
+        return log.where(self.is_applicable()).select(*self.keys, *self.point(log))
+
+    def point(self, log: DataFrame) -> list[Column]:
+        """``__seq`` and ``__row`` of an event of ``log``."""
         kept = self.kept_columns(log.columns)
         deleted = F.coalesce(F.expr(self.apply_as_deletes), F.lit(False)) if self.apply_as_deletes else F.lit(False)
         ties = [F.col(c).alias(f"__tie{i}") for i, c in enumerate(self.tie_breakers)]
         payload = [_held(log.schema[c]) for c in kept if c not in self.keys]
-        return log.where(self.is_applicable()).select(
-            *self.keys,
-            F.col(self.sequence_by).alias(SEQ),
-            F.struct(*ties, deleted.alias(DELETED), *payload).alias(ROW),
-        )
+        return [F.col(self.sequence_by).alias(SEQ), F.struct(*ties, deleted.alias(DELETED), *payload).alias(ROW)]
 
     def unpack(self, kept: list[str], points: DataFrame) -> list[Column]:
         """The kept columns of ``points`` as they came."""
@@ -72,38 +72,42 @@ class ChangeRules:
         def given(name: str) -> Column:
             if name in self.keys:
                 return F.col(name)
-            if _ENTRIES + name in held:
-                return F.map_from_entries(F.col(f"{ROW}.`{_ENTRIES}{name}`")).alias(name)
+            if ENTRIES + name in held:
+                return F.map_from_entries(F.col(f"{ROW}.`{ENTRIES}{name}`")).alias(name)
             return F.col(f"{ROW}.`{name}`").alias(name)
 
         return [given(c) for c in kept]
 
 
-_ENTRIES = "__entries_of_"
+ENTRIES = "__entries_of_"
 
 
 def _held(column: T.StructField) -> Column:
     """A payload column in a form that can be ordered."""
     if isinstance(column.dataType, T.MapType):
-        return F.sort_array(F.map_entries(F.col(column.name))).alias(_ENTRIES + column.name)
+        return F.sort_array(F.map_entries(F.col(column.name))).alias(ENTRIES + column.name)
     return F.col(column.name)
 
 
 def _content(name: str, points: DataFrame) -> Column:
     held = points.schema[ROW].dataType.names
-    return F.col(f"{ROW}.`{_ENTRIES + name if _ENTRIES + name in held else name}`")
+    return F.col(f"{ROW}.`{ENTRIES + name if ENTRIES + name in held else name}`")
 
 
 def split_rejects(log: DataFrame, keys: list[str], sequence_by: str) -> tuple[DataFrame, DataFrame]:
     """Applicable events, and the others with a ``reject_reason``."""
     rules = ChangeRules(keys, sequence_by)
-    reason = F.when(F.col(sequence_by).isNull(), F.lit("null sequence")).otherwise(F.lit("null key"))
     return (
         log.where(rules.is_applicable()),
-        log.where(~rules.is_applicable()).withColumn("reject_reason", reason),
+        log.where(~rules.is_applicable()).withColumn("reject_reason", reject_reason(sequence_by)),
     )
 
 
+def reject_reason(sequence_by: str) -> Column:
+    """Why an event that is not applicable is refused."""
+    return F.when(F.col(sequence_by).isNull(), F.lit("null sequence")).otherwise(F.lit("null key"))
+
+
 def scd1(
     log: DataFrame,
     keys: list[str],

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions.payloads import split_envelope
 from tidemark.operators.cdc import ChangeRules, current_versions, scd1, scd2, split_rejects
@@ -28,11 +29,14 @@ from tidemark.plans.jobs import (
     ingest_topic,
     product_dimension,
     pull_into,
+    replay_dead_letters,
     silver_views,
 )
 from tidemark.sources.batch import file_inventory, read_csv, read_table
-from tidemark.sources.cursor import pull_by_cursor
+from tidemark.sources.cursor import even_cuts, part_of, pull_by_cursor
+from tidemark.sources.offsets import check_offsets, offset_runs, resume_offsets
 from tidemark.sources.topics import TOPIC_SCHEMA, metadata_columns, read_topic_files
+from tidemark.streaming.audit import WriteAudit
 from tidemark.streaming.change_targets import ChangeTarget, apply_changes, latest_by_key
 from tidemark.streaming.sinks import append_stream, drain, for_each_batch
 from tidemark.streaming.tables import AuditedTable, refresh_view
@@ -181,20 +185,14 @@ def scd2_composite_key(spark, sf_dir):
     """,
 )
 def change_rejects(spark, sf_dir):
-    log = (
-        table(spark, sf_dir, "events")
-        .withColumn("ts", F.when(F.col("event_type") != "signup", F.col("ts")))
-        .withColumn("user_id", F.when(F.col("value") <= 50, F.col("user_id")))
-    )
-    _, rejects = split_rejects(log, ["user_id"], "ts")
+    _, rejects = split_rejects(_unkeyed(table(spark, sf_dir, "events")), ["user_id"], "ts")
     return rejects.groupBy("reject_reason").agg(
         F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event")
     )
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+def _event_stream(spark: SparkSession, events: DataFrame, base: str) -> DataFrame:
     """Events as a stream of a few batches in an order unlike their time."""
-    events = table(spark, sf_dir, "events")
     path = inputs.land_scrambled(events, f"{base}/landing", "event_id")
     files = inputs.share_of_files(spark, path, 3)
     schema = spark.read.parquet(path).schema
@@ -204,7 +202,7 @@ def _event_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
 def _incremental(spark: SparkSession, sf_dir: str, scd_type: int) -> DataFrame:
     base = scratch_path(spark, f"scd{scd_type}")
     target = ChangeTarget(spark, f"{base}/target", ChangeRules(**EVENT_RULES), scd_type)
-    drain(apply_changes(_event_stream(spark, sf_dir, base), [target], f"{base}/checkpoint"))
+    drain(apply_changes(_event_stream(spark, table(spark, sf_dir, "events"), base), [target], f"{base}/checkpoint"))
     return target.read()
 
 
@@ -218,14 +216,40 @@ def scd2_incremental(spark, sf_dir):
     return _incremental(spark, sf_dir, 2)
 
 
+def _keyed_state(spark: SparkSession, sf_dir: str, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Current rows and rejects of a stream of events with one value of state per key."""
+    base = scratch_path(spark, "scd1-state")
+    emitted, read, rejects = latest_by_key(_event_stream(spark, changes, base), ChangeRules(**EVENT_RULES))
+    target = AuditedTable(spark, f"{base}/emitted")
+    drain(for_each_batch(emitted, target.append, f"{base}/checkpoint", output_mode="update"))
+    return read(target.read()), rejects(target.read())
+
+
 @query("scd1_streaming", _SCD1_EVENTS)
 def scd1_streaming(spark, sf_dir):
-    """The latest row per key as streaming state; each batch writes the keys it touched."""
-    base = scratch_path(spark, "scd1-state")
-    updates, read = latest_by_key(_event_stream(spark, sf_dir, base), ChangeRules(**EVENT_RULES))
-    emitted = AuditedTable(spark, f"{base}/emitted")
-    drain(for_each_batch(updates, emitted.append, f"{base}/checkpoint", output_mode="update"))
-    return read(emitted.read())
+    """The latest row per key as streaming state; each batch writes the keys it changed."""
+    return _keyed_state(spark, sf_dir, table(spark, sf_dir, "events"))[0]
+
+
+def _unkeyed(events: DataFrame) -> DataFrame:
+    """Sign-ups without a time, and large events without a user."""
+    return events.withColumn("ts", F.when(F.col("event_type") != "signup", F.col("ts"))).withColumn(
+        "user_id", F.when(F.col("value") <= 50, F.col("user_id"))
+    )
+
+
+@query(
+    "stream_rejects",
+    """
+    select event_id, case when value <= 50 then cast(user_id as varchar) end as user_id, event_type, value,
+           case when event_type = 'signup' then 'null sequence' else 'null key' end as reject_reason
+    from events where event_type = 'signup' or value > 50
+    """,
+)
+def stream_rejects(spark, sf_dir):
+    """Events that a keyed stream could not apply."""
+    _, rejects = _keyed_state(spark, sf_dir, _unkeyed(table(spark, sf_dir, "events")))
+    return rejects.select("event_id", F.col("user_id").cast("string").alias("user_id"), "event_type", "value", "reject_reason")
 
 
 _PRODUCTS = """
@@ -330,6 +354,24 @@ def cursor_scd2(spark, sf_dir):
     return _two_pulls(spark, sf_dir, 2)
 
 
+@query(
+    "pull_splits",
+    """
+    select 16 as parts, true as even, count(*) as rows, count(distinct event_id) as events
+    from events, (values (0), (1), (2)) as copies(c) where c = 0 or cast(ts as date) = date '2024-01-10'
+    """,
+)
+def pull_splits(spark, sf_dir):
+    """Sixteen parts of events of which one day has three times its share, cut where the rows are."""
+    events = table(spark, sf_dir, "events")
+    hot = F.when(F.col("ts").cast("date") == F.lit("2024-01-10").cast("date"), F.sequence(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0)))
+    rows = events.select("*", F.explode(hot).alias("copy")).withColumn("id", F.col("event_id") * 3 + F.col("copy"))
+    cuts = even_cuts(rows, "ts", 16, "id")
+    sizes = rows.groupBy(part_of(rows, cuts, "ts", "id").alias("part")).agg(F.count("*").alias("n"))
+    report = sizes.agg(F.count("*").cast("int").alias("parts"), (F.max("n") < 2 * F.avg("n")).alias("even"), F.sum("n").alias("rows"))
+    return report.withColumn("events", F.lit(events.select("event_id").distinct().count()).cast("long"))
+
+
 # -- silver views ------------------------------------------------------------------------
 
 _LOANS = """
@@ -354,6 +396,11 @@ _LOAN_JOIN = f"""
 """
 
 
+def _view_name(spark: SparkSession, view: str) -> str:
+    """A catalog name that no other run has."""
+    return scratch_path(spark, view).rsplit("/", 1)[-1].replace("-", "_")
+
+
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = inputs.loan_log(spark, sf_dir)
     return scd2(log, ["prestamo_id"], "fec_modificacion", except_columns=["orden"], tie_breakers=["orden"])
@@ -363,7 +410,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The product lookup as a written table, so that joins know its real size."""
     log = inputs.product_log(spark, sf_dir)
     lookup = scd1(log, ["codigo"], "event_ts", "operation = 'DELETE'", ["operation", "event_ts"])
-    return refresh_view(lookup, scratch_path(spark, "products")).read()
+    return refresh_view(lookup, _view_name(spark, "products")).read()
 
 
 @query("loan_history", f"select {_LOAN_COLUMNS}, __START_AT, __END_AT {_LOAN_JOIN}")
@@ -387,7 +434,7 @@ def silver_refresh(spark, sf_dir):
         seen = log.where(F.col("fec_modificacion") <= F.lit(until).cast("timestamp_ntz"))
         pull_into(target, lambda seen=seen: seen, "fec_modificacion")
     lookup = _product_job(spark, sf_dir)[1].read()
-    return refresh_view(loan_history(target.read(), lookup), f"{base}/h_prestamo").read()
+    return refresh_view(loan_history(target.read(), lookup), _view_name(spark, "h_prestamo")).read()
 
 
 _CORE_TIME = f"timestamp '{inputs.CORE_FIRST_PULL}'"
@@ -482,7 +529,7 @@ def expect_metrics(spark, sf_dir):
 
 @query("mv_passthrough", "select * from part")
 def mv_passthrough(spark, sf_dir):
-    view = refresh_view(table(spark, sf_dir, "part"), scratch_path(spark, "view"))
+    view = refresh_view(table(spark, sf_dir, "part"), _view_name(spark, "part_view"))
     return view.read()
 
 
@@ -669,47 +716,97 @@ def rescued_summary_report(spark, sf_dir):
 @query(
     "admission_control",
     """
-    select 'LOTE-' || o_orderstatus as lot_name, count(*) as "count", true as several_batches
+    select 'LOTE-' || o_orderstatus as lot_name, count(*) as "count", true as several_batches, true as files_within, true as bytes_within
     from orders group by all
     """,
 )
 def admission_control(spark, sf_dir):
-    target = _fixed_lots(spark, sf_dir, batches=2)
-    return group_counts(target.read(), "lot_name").withColumn("several_batches", F.lit(len(target.parts) > 1))
+    """All lots by a job that takes half of the files at a time, and by one that takes half of their bytes."""
+    base = scratch_path(spark, "admission")
+    for n, status in enumerate(["F", "O", "P"]):
+        inputs.land_csv(inputs.lot(spark, sf_dir, status), f"{base}/landing/lote{n + 1}")
+    landed = file_inventory(spark, f"{base}/landing", "*.csv")
+    total, largest, files = landed.agg(F.sum("length"), F.max("length"), F.count("*")).first()
+    limits = {"files": max(1, files // 2), "bytes": max(1, total // 2)}
+    counts, seen = [], {}
+    for kind, limit in limits.items():
+        admitted = {"max_files": limit} if kind == "files" else {"max_bytes": str(limit)}
+        drain(ingest_lots(spark, f"{base}/landing", f"{base}/{kind}", f"{base}/job-{kind}", LOT_SCHEMA, **admitted))
+        target = AuditedTable(spark, f"{base}/{kind}")
+        greatest = F.max(F.col("operation_parameters")[kind].cast("long"))
+        seen[kind] = target.history().agg(greatest, F.count("*"), F.sum(F.col("operation_parameters")[kind].cast("long"))).first()
+        counts.append(group_counts(target.read(), "lot_name"))
+    # A batch may pass the bytes by the file that it takes at least.
+    within = {"files": seen["files"][0] <= limits["files"], "bytes": seen["bytes"][0] <= max(limits["bytes"], largest)}
+    whole = seen["files"][2] == files and seen["bytes"][2] == total
+    several = (files < 2 or seen["files"][1] > 1) and whole
+    return (
+        counts[0]
+        .join(counts[1], ["lot_name", "count"])
+        .withColumn("several_batches", F.lit(several))
+        .withColumn("files_within", F.lit(within["files"]))
+        .withColumn("bytes_within", F.lit(within["bytes"]))
+    )
 
 
 @query(
     "write_history",
     """
-    select version, 'STREAMING UPDATE' as operation, true as has_time, '1' as headers
-    from (values (0, 'F'), (1, 'O'), (2, 'P')) as runs(version, lot)
-    where lot in (select o_orderstatus from orders)
+    select row_number() over (order by lot) - 1 as version, 'STREAMING UPDATE' as operation, '1' as headers, count(*) as rows,
+           true as files_match, true as audited, true as in_order
+    from (select o_orderstatus as lot from orders where o_orderstatus in ('F', 'O', 'P')) group by lot
     """,
 )
 def write_history(spark, sf_dir):
-    target, _ = _evolving_lots(spark, sf_dir)
-    return target.history().select(
-        "version",
+    """The writes of the lot job, beside the files that landed and what a listener noted of the micro-batches."""
+    base = scratch_path(spark, "history")
+    target, audit = AuditedTable(spark, f"{base}/bronze"), WriteAudit(spark, f"{base}/audit")
+    files, noted = [], []
+    with audit:
+        for status in ("F", "O", "P"):
+            path = inputs.land_csv(inputs.lot(spark, sf_dir, status), f"{base}/landing/{status}")
+            job = drain(ingest_lots(spark, f"{base}/landing", target.path, f"{base}/job"))
+            files.append(file_inventory(spark, path, "*.csv").count())
+            noted.append(audit.wait_for(job))
+    batches = noted[-1].select("batch_id", "input_rows", (F.col("ended_at") >= F.col("started_at")).alias("in_order"))
+    landed = spark.createDataFrame(list(enumerate(files)), "version int, landed long")
+    writes = target.history().select(
+        F.col("version").cast("int").alias("version"),
         "operation",
-        F.col("timestamp").isNotNull().alias("has_time"),
         F.col("operation_parameters")["headers"].alias("headers"),
+        "rows",
+        F.col("operation_parameters")["files"].cast("long").alias("files"),
+    )
+    found = writes.join(landed, "version", "left").join(batches, F.col("version") == F.col("batch_id"), "left")
+    return found.select(
+        F.col("version").cast("long").alias("version"),
+        "operation",
+        "headers",
+        "rows",
+        (F.col("files") == F.col("landed")).alias("files_match"),
+        (F.col("input_rows") == F.col("landed")).alias("audited"),
+        "in_order",
     )
 
 
 @query(
     "file_inventory",
     """
-    select 'lote-' || o_orderstatus as lote, true as has_bytes, true as has_time from orders group by o_orderstatus
+    select 'lote-' || o_orderstatus as lote, cast(sum(strlen(line) + 1) as bigint) as bytes, true as has_time
+    from (
+        select o_orderstatus, concat_ws(',', 'ORD-' || o_orderkey, 'LOTE-' || o_orderstatus, o_custkey) as line from orders
+    ) group by o_orderstatus
     """,
 )
 def file_inventory_report(spark, sf_dir):
+    """Bytes per folder of files without a header, whose lines the SQL can measure."""
     base = scratch_path(spark, "inventory")
     for status in ("F", "O", "P"):
-        inputs.land_csv(inputs.lot(spark, sf_dir, status), f"{base}/lote-{status}")
+        inputs.lot(spark, sf_dir, status).select("order_ref", "lot_name", "customer_ref").write.csv(f"{base}/lote-{status}")
     return (
         file_inventory(spark, base, "*.csv")
         .groupBy(F.element_at(F.split("path", "/"), -2).alias("lote"))
-        .agg((F.sum("length") > 0).alias("has_bytes"), F.max("modificationTime").isNotNull().alias("has_time"))
+        .agg(F.sum("length").alias("bytes"), F.max("modificationTime").isNotNull().alias("has_time"))
     )
 
 
@@ -814,10 +911,10 @@ def topic_decode(spark, sf_dir):
     return _decoded_columns(AuditedTable(spark, f"{base}/bronze").read())
 
 
-def _decoded_columns(events: DataFrame) -> DataFrame:
+def _decoded_columns(events: DataFrame, *more: str) -> DataFrame:
     return events.select(
         "event_ref", "event_id", "user_id", F.col("event_day").cast("string").alias("event_day"), "value", "event_type",
-        F.col("event_at").cast("timestamp_ntz").alias("event_at"), "props", "kafka_offset", "user_key", "source_environment",
+        F.col("event_at").cast("timestamp_ntz").alias("event_at"), "props", "kafka_offset", "user_key", "source_environment", *more,
     )
 
 
@@ -873,3 +970,64 @@ def topic_two_targets(spark, sf_dir):
             .withColumn("target", F.lit(topic))
         )
     return reports[0].unionByName(reports[1])
+
+
+@query(
+    "topic_dead_letters",
+    f"""
+    select *, event_at >= timestamp '{inputs.SCHEMA_CHANGE_AT}' as was_dead from ({_DECODED})
+    """,
+)
+def topic_dead_letters(spark, sf_dir):
+    """A topic read with a registry that lacks the newer schema, and the rest replayed after a reload."""
+    base = scratch_path(spark, "dead")
+    registry = inputs.registry(spark)
+    stream = read_topic_files(spark, _landed_topic(spark, sf_dir, base))
+    settings = {"path": f"{base}/bronze", "dead_letters": f"{base}/dead", "key_alias": "user_key", "payload_format": "json"}
+    drain(ingest_topic(stream, registry.where("schema_id = 1"), "pagos", "dev", f"{base}/checkpoints", **settings))
+    dead = AuditedTable(spark, f"{base}/dead").read().select(F.col("offset").alias("kafka_offset"), F.lit(True).alias("was_dead"))
+    for _ in range(2):
+        replay_dead_letters(registry, "pagos", "dev", **settings)
+    found = AuditedTable(spark, f"{base}/bronze").read().join(dead, "kafka_offset", "left").na.fill(False, ["was_dead"])
+    return _decoded_columns(found, "was_dead")
+
+
+@query(
+    "topic_gaps",
+    f"""
+    with kept as (select user_id % 4 as part, row_number() over (partition by user_id % 4 order by event_id) - 1 as place, event_id from events),
+    read as (select * from kept where not (place % 50 between 20 and 24 or place % 1000 = 999)),
+    steps as (select part, place, lag(place) over (partition by part order by place) as before from read)
+    select cast(part as integer) as "partition", before + 1 as first_missing, place - 1 as last_missing, place - before - 1 as missing
+    from steps where place > before + 1
+    """,
+)
+def topic_gaps(spark, sf_dir):
+    """Holes in the offsets of a topic that was read with some messages missing and some twice."""
+    along = Window.partitionBy("partition").orderBy("event_id")
+    events = table(spark, sf_dir, "events").select(F.lit("pagos").alias("topic"), F.pmod("user_id", F.lit(4)).cast("int").alias("partition"), "event_id")
+    placed = events.select("topic", "partition", (F.row_number().over(along) - 1).cast("long").alias("offset"))
+    lost = (F.col("offset") % 50).between(20, 24) | (F.col("offset") % 1000 == 999)
+    read = placed.where(~lost)
+    runs = offset_runs(read.unionByName(read.where("offset % 7 = 0")), block=200)
+    return check_offsets(runs, fail_on_data_loss=False).drop("topic")
+
+
+@query(
+    "topic_resume",
+    """
+    with placed as (select user_id % 4 as part, row_number() over (partition by user_id % 4 order by event_id) - 1 as place from events),
+    read as (select * from placed where part <> 3 or place <> 5)
+    select cast(part as integer) as "partition", max(place) + 1 as after_all,
+           case when part = 3 and count(*) > 5 then 5 else max(place) + 1 end as at_first_hole from read group by part
+    """,
+)
+def topic_resume(spark, sf_dir):
+    """Where reading goes on per partition: behind everything, or at the first hole."""
+    along = Window.partitionBy("partition").orderBy("event_id")
+    events = table(spark, sf_dir, "events").select(F.lit("pagos").alias("topic"), F.pmod("user_id", F.lit(4)).cast("int").alias("partition"), "event_id")
+    placed = events.select("topic", "partition", (F.row_number().over(along) - 1).cast("long").alias("offset"))
+    runs = offset_runs(placed.where("partition <> 3 or offset <> 5"))
+    after = resume_offsets(runs).withColumnRenamed("next_offset", "after_all")
+    hole = resume_offsets(runs, skip_gaps=False).withColumnRenamed("next_offset", "at_first_hole")
+    return after.join(hole, ["topic", "partition"]).drop("topic")

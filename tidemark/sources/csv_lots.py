@@ -15,14 +15,25 @@ import re
 from functools import reduce
 from urllib.parse import unquote, urlsplit
 
-import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
 MALFORMED = "_corrupt_record"
-_WIDENING = ["int", "bigint", "double"]
+#: Files up to this size are read whole to find their headers.
+SMALL_FILE = 1 << 20
+FILES_PER_JOB = 100
+HEADER_LINES = 100
+#: Types that texts can have, narrowest first, with the form a text must have beside being castable.
+_KINDS = {
+    "int": r"^\s*[+-]?\d+\s*$",
+    "bigint": r"^\s*[+-]?\d+\s*$",
+    "double": r"[^dDfF]\s*$",
+    "date": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "timestamp": r"^\d{4}-\d{1,2}-\d{1,2}[ T]",
+    "boolean": r"^(?i)(true|false)$",
+}
 
 Headers = dict[tuple[str, ...], list[str]]
 
@@ -32,37 +43,70 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-def first_lines(spark: SparkSession, paths: list[str], options: dict[str, str] | None = None) -> dict[str, str]:
-    """The first line of each file that has one, in one job: a task per file, which stops after its first rows."""
+def first_lines(
+    spark: SparkSession,
+    paths: list[str],
+    options: dict[str, str] | None = None,
+    sizes: dict[str, int] | None = None,
+) -> dict[str, str]:
+    """The first line of each file that has one; of a large file no more than the beginning is read.
+
+    A file is a partition of its own and a limit stops its scan after the first row, on the executors and by
+    Spark's own reader, so any store will do. Files known to have at most ``SMALL_FILE`` bytes are read in one scan
+    instead, as a limit takes some driver time per file. With quoted line feeds a header may take up to
+    ``HEADER_LINES`` lines.
+    """
     probe = spark.newSession()
+    # A file is never split, and a scan of several files has a partition for each.
     probe.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))
+    probe.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
     probe.conf.set("spark.sql.files.minPartitionNum", "1")
-    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    # Neither a separator nor a quote that a header could hold: a row is a line.
+    # One job for all files of a union, where adaptive execution would start one for each.
+    probe.conf.set("spark.sql.adaptive.enabled", "false")
     given = {k.lower(): v for k, v in (options or {}).items()}
-    whole = {**(options or {}), "header": "false", "sep": "\u0001", "quote": "", "multiLine": "false", "mode": "PERMISSIVE"}
-    lines = probe.read.options(**whole).schema("value string").csv([literal_path(p) for p in paths])
-    rows = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
     quote = given.get("quote", '"') if given.get("multiline", "false").lower() == "true" else ""
+    lines = HEADER_LINES if quote else 1
+    # Neither a separator nor a quote that a header could hold: a row is a line.
+    whole = {**(options or {}), "header": "false", "sep": "\u0001", "quote": "", "multiLine": "false", "mode": "PERMISSIVE"}
 
-    def first(batches):
-        """The first line, with those that follow while a quote is open."""
-        held = []
-        for batch in batches:
-            held.append(batch.column(0)[0].as_py() or "")
-            if not quote or "\n".join(held).count(quote) % 2 == 0:
-                break
-        if held:
-            texts = pyarrow.array(["\n".join(held)], pyarrow.string())
-            yield pyarrow.RecordBatch.from_arrays([texts, *batch.columns[1:]], names=batch.schema.names)
-
-    found = rows.where("start = 0").mapInArrow(first, rows.schema).collect()
-    return {unquote(urlsplit(row["path"]).path): row["value"] for row in found if row["value"]}
-
-
-def group_by_header(spark: SparkSession, paths: list[str], options: dict[str, str] | None = None) -> Headers:
-    """Paths by header; files without a line are left out. The caller bounds the paths (files per micro-batch)."""
-    lines = first_lines(spark, paths, options) if paths else {}
+    def scan(members: list[str]) -> DataFrame:
+        rows = probe.read.options(**whole).schema("value string").csv([literal_path(p) for p in members])
+        return rows.select(F.col("_metadata.file_path").alias("path"), F.coalesce("value", F.lit("")).alias("value"))
+
+    small = [p for p in paths if (sizes or {}).get(p, SMALL_FILE + 1) <= SMALL_FILE]
+    large = sorted(set(paths) - set(small))
+    held: dict[str, list[str]] = {}
+    if small:
+        begin = F.slice(F.collect_list("value"), 1, lines) if quote else F.array(F.first("value"))
+        for row in scan(small).groupBy("path").agg(begin.alias("lines")).collect():
+            held[row["path"]] = row["lines"]
+    for start in range(0, len(large), FILES_PER_JOB):
+        few = [scan([p]).limit(lines) for p in large[start : start + FILES_PER_JOB]]
+        for row in reduce(DataFrame.unionAll, few).collect():
+            held.setdefault(row["path"], []).append(row["value"])
+    found = {unquote(urlsplit(path).path): _header(begin, quote) for path, begin in held.items()}
+    return {path: text for path, text in found.items() if text}
+
+
+def _header(lines: list[str], quote: str) -> str:
+    """The first line, with those that follow while a quote is open."""
+    text = lines[0]
+    for line in lines[1:]:
+        if not quote or text.count(quote) % 2 == 0:
+            break
+        text += "\n" + line
+    return text
+
+
+def group_by_header(
+    spark: SparkSession,
+    paths: list[str],
+    options: dict[str, str] | None = None,
+    sizes: dict[str, int] | None = None,
+) -> Headers:
+    """Paths by header; files without a line are left out. The caller bounds the paths (files per micro-batch)
+    and may know their sizes in bytes."""
+    lines = first_lines(spark, paths, options, sizes) if paths else {}
     given = {k.lower(): v for k, v in (options or {}).items()}
     style = {"delimiter": given.get("sep", given.get("delimiter", ",")), "quotechar": given.get("quote", '"') or None}
     if style["quotechar"] is None:
@@ -136,26 +180,18 @@ def bind_columns(
     return reduce(DataFrame.unionByName, [bind(h, p) for h, p in groups.items()])
 
 
-def infer_columns(
-    spark: SparkSession, groups: Headers, names: list[str], options: dict[str, str] | None = None
-) -> T.StructType:
-    """Types of the named columns over all groups that have them; text where they disagree."""
-    types: dict[str, T.DataType] = {}
-    for header, paths in groups.items():
-        wanted = [n for n in names if n in header]
-        if not wanted:
-            continue
-        reader = spark.read.options(**(options or {})).option("header", True).option("inferSchema", True)
-        found = reader.csv([literal_path(p) for p in paths]).schema
-        for name in wanted:
-            types[name] = _wider(types.get(name), found[header.index(name)].dataType)
-    return T.StructType([T.StructField(n, types[n]) for n in names if n in types])
-
-
-def _wider(left: T.DataType | None, right: T.DataType) -> T.DataType:
-    if left is None or left == right:
-        return right
-    kinds = [left.simpleString(), right.simpleString()]
-    if all(k in _WIDENING for k in kinds):
-        return left if _WIDENING.index(kinds[0]) > _WIDENING.index(kinds[1]) else right
-    return T.StringType()
+def infer_types(texts: DataFrame, names: list[str]) -> T.StructType:
+    """The narrowest type that all values of each text column have, in one pass over these columns; text where they
+    disagree, and where there is no value."""
+    counts = [F.count(F.col(f"`{name}`")).alias(f"n{i}") for i, name in enumerate(names)]
+    for i, name in enumerate(names):
+        text = F.col(f"`{name}`")
+        for kind, form in _KINDS.items():
+            fits = text.try_cast(kind).isNotNull() & text.rlike(form)
+            counts.append(F.count_if(fits).alias(f"n{i}_{kind}"))
+    found = texts.agg(*counts).first()
+    fields = []
+    for i, name in enumerate(names):
+        fitting = [kind for kind in _KINDS if found[f"n{i}"] and found[f"n{i}_{kind}"] == found[f"n{i}"]]
+        fields.append(T.StructField(name, T.DataType.fromDDL(fitting[0] if fitting else "string")))
+    return T.StructType(fields)

@@ -7,15 +7,17 @@ pulls only the last is seen.
 from __future__ import annotations
 
 import inspect
+import math
 import re
 from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+SAMPLES_PER_PART = 500
 _MICROS = re.compile(r"-?\d+ us")
 
 
@@ -51,6 +53,68 @@ def pull_by_cursor(read: Callable[..., DataFrame], cursor: str, last_value: str
     return table.where(F.col(cursor) >= cursor_value(last_value, table.schema[cursor].dataType))
 
 
+def even_cuts(rows: DataFrame, cursor: str, parts: int, tie: str | None = None, per_part: int = SAMPLES_PER_PART) -> list[tuple]:
+    """At most ``parts - 1`` cuts of ``rows`` into even parts by ``cursor``, then by ``tie``.
+
+    They are quantiles of a sample by hash, about ``per_part`` values a part whatever the size of the table, so
+    they fall where the rows are. ``tie``, such as the primary key, tells the rows of one cursor value apart: a cut may
+    then lie within that value, and the sample draws its rows one by one.
+    """
+    columns = [cursor, *([tie] if tie else [])]
+    known = rows.select(*columns).where(F.col(cursor).isNotNull())
+    total = known.count()
+    wanted = parts * per_part
+    if total > wanted:
+        # Rows of one cursor value are drawn apart by their tie.
+        rate = math.ceil(wanted / total * (1 << 40))
+        known = known.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < rate)
+    ordered = known.orderBy(*columns).collect()
+    places = sorted({len(ordered) * i // parts for i in range(1, parts)})
+    return list(dict.fromkeys(tuple(ordered[i]) for i in places if ordered))
+
+
+def part_of(rows: DataFrame, cuts: list[tuple], cursor: str, tie: str | None = None) -> Column:
+    """The number of the part that a row of ``rows`` falls into, from 0; rows without a cursor are in part 0."""
+    columns = [cursor, *([tie] if tie else [])]
+    place = F.struct(*columns)
+
+    def at(cut: tuple) -> Column:
+        return F.struct(*[F.lit(v).cast(rows.schema[c].dataType).alias(c) for v, c in zip(cut, columns)])
+
+    return sum([(place >= at(cut)).cast("int") for cut in cuts], F.lit(0))
+
+
+def even_predicates(cuts: list[tuple], cursor: str, tie: str | None = None) -> list[str]:
+    """A condition per part as SQL text for a database reader; together they hold for every row once."""
+    if not cuts:
+        return ["1 = 1"]
+
+    def below(cut: tuple) -> str:
+        value = _literal_of(cut[0])
+        if len(cut) == 1:
+            return f"{cursor} < {value}"
+        return f"({cursor} < {value} OR ({cursor} = {value} AND ({tie} IS NULL OR {tie} < {_literal_of(cut[1])})))"
+
+    first = [f"({below(cuts[0])} OR {cursor} IS NULL)"]
+    middle = [f"(NOT {below(a)} AND {below(b)})" for a, b in zip(cuts, cuts[1:])]
+    return [*first, *middle, f"NOT {below(cuts[-1])}"]
+
+
+def _literal_of(value) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ', timespec='microseconds')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def read_evenly(spark: SparkSession, url: str, table: str, cuts: list[tuple], cursor: str, tie: str | None = None, properties: dict[str, str] | None = None) -> DataFrame:
+    """A database table read in parts of even size: one query per part of ``cuts``, which an earlier landed pull gives."""
+    return spark.read.jdbc(url, table, predicates=even_predicates(cuts, cursor, tie), properties=properties or {})
+
+
 def jdbc_reader(
     spark: SparkSession,
     url: str,

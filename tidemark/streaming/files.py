@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.csv_lots import RESCUED, bind_columns, group_by_header, infer_columns
+from tidemark.operators.neighbours import written
+from tidemark.sources.csv_lots import RESCUED, bind_columns, group_by_header, infer_types
 from tidemark.streaming.sinks import for_each_batch
 from tidemark.streaming.tables import AuditedTable
 
 _FILES = (
     T.StructType().add("path", "string").add("modificationTime", "timestamp").add("length", "long").add("content", "binary")
 )
+#: Files per micro-batch unless said otherwise.
+MAX_FILES = 10_000
 EVOLUTION_MODES = ("add", "rescue", "none")
 
 
@@ -74,7 +77,8 @@ def ingest_files(
     evolution: str = "add",
     rescued: str | None = RESCUED,
     schema_log: str | None = None,
-    max_files: int | None = None,
+    max_files: int | None = MAX_FILES,
+    max_bytes: str | None = None,
     added: dict[str, Column] | None = None,
     options: dict[str, str] | None = None,
     pattern: str = "*.csv",
@@ -89,7 +93,8 @@ def ingest_files(
     ``rescue`` keeps ``schema`` and puts everything else into the ``rescued`` column; ``none``
     keeps ``schema`` and drops everything else. ``then`` is called with the rows of each
     micro-batch as written, for work that must follow the append. ``max_files`` bounds the files of
-    a micro-batch; None takes all that are there.
+    a micro-batch, whose paths and headers the driver holds; ``max_bytes`` (such as ``10g``) bounds their
+    size instead, at least one file being taken. None for both takes all that are there.
     """
     if evolution not in EVOLUTION_MODES:
         raise ValueError(f"unknown evolution mode {evolution!r}: use one of {', '.join(EVOLUTION_MODES)}")
@@ -101,6 +106,10 @@ def ingest_files(
         raise ValueError("schema_log and checkpoint must be different paths")
     if max_files is not None and max_files < 1:
         raise ValueError("max_files must be at least 1")
+    if max_bytes is not None and max_files == MAX_FILES:
+        max_files = None
+    if max_bytes is not None and max_files is not None:
+        raise ValueError("max_files and max_bytes cannot both be given")
     table = AuditedTable(spark, target)
     log = SchemaLog(spark, schema_log) if schema_log else None
     extra = lot_columns() if added is None else added
@@ -113,27 +122,30 @@ def ingest_files(
     discovery = spark.readStream.format("binaryFile").schema(_FILES).option("recursiveFileLookup", True)
     if max_files is not None:
         discovery = discovery.option("maxFilesPerTrigger", max_files)
-    files = discovery.option("pathGlobFilter", pattern).load(path).select("path")
+    if max_bytes is not None:
+        discovery = discovery.option("maxBytesPerTrigger", max_bytes)
+    files = discovery.option("pathGlobFilter", pattern).load(path).select("path", "length")
 
     def ingest(batch: DataFrame, writer: str, number: int) -> None:
-        part = f"{writer}/{number}"
-        if not table.has(writer, number):
-            paths = sorted(row["path"] for row in batch.collect())
-            groups = group_by_header(spark, paths, options)
-            columns = schema if log is None else _evolve(spark, log, groups, options, own)
-            if groups:
-                rows = bind_columns(spark, groups, columns, rescue_column, extra, options)
-                details = {"files": len(paths), "headers": len(groups)}
-                part = table.append(rows, writer, number, "STREAMING UPDATE", details)
-            else:
-                return
+        sizes = {row["path"]: row["length"] for row in batch.collect()}
+        groups = group_by_header(spark, sorted(sizes), options, sizes)
+        if not groups:
+            return
+        if log is None:
+            rows = bind_columns(spark, groups, schema, rescue_column, extra, options)
+        else:
+            rows = _evolved(spark, log, groups, rescue_column, extra, options, own)
+        details = {"files": len(sizes), "bytes": sum(sizes.values()), "headers": len(groups)}
+        part = table.append(rows, writer, number, "STREAMING UPDATE", details)
         if then:
             then(table.read_parts([part]), writer, number)
 
     return for_each_batch(files, ingest, checkpoint, trigger, interval, name)
 
 
-def _evolve(spark, log: SchemaLog, groups, options, own: set[str]) -> T.StructType:
+def _evolved(spark, log: SchemaLog, groups, rescued: str | None, extra, options, own: set[str]) -> DataFrame:
+    """The rows of ``groups`` under the known columns and those that are new. Files with new columns are parsed once:
+    the rows are written with the new columns as texts, which then give the types."""
     version, known = log.read()
     # Names that differ in case only are one column; the other spellings are rescued, and so is a
     # field with the name of a technical column.
@@ -144,8 +156,11 @@ def _evolve(spark, log: SchemaLog, groups, options, own: set[str]) -> T.StructTy
             taken.add(name.lower())
             new.append(name)
     if not new:
-        return known
-    found = infer_columns(spark, groups, new, options)
-    schema = T.StructType([*known.fields, *found.fields])
-    log.extend(version + 1, schema)
-    return schema
+        return bind_columns(spark, groups, known, rescued, extra, options)
+    texts = T.StructType([*known.fields, *[T.StructField(n, T.StringType()) for n in new]])
+    staged = written(bind_columns(spark, groups, texts, rescued, extra, options), "lots")
+    found = infer_types(staged, new)
+    log.extend(version + 1, T.StructType([*known.fields, *found.fields]))
+    kinds = {f.name: f.dataType for f in found}
+    # All values of a new column cast to its type, so nothing is left to rescue.
+    return staged.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in staged.columns])

@@ -38,13 +38,18 @@ def append_stream(
     name: str | None = None,
     output_mode: str = "append",
     path: str | None = None,
+    merge_columns: bool = True,
 ) -> StreamingQuery:
     """Append a stream to the catalog table ``target``; each (job, target) needs its own checkpoint.
 
     The file sink commits each micro-batch once. ``path`` places the table's files. Columns the
-    table does not have yet are added to it; its older rows read NULL there.
+    table does not have yet are added to it, and its older rows read NULL there; without ``merge_columns`` they are
+    an error.
     """
-    add_missing_columns(df.sparkSession, target, df.schema)
+    if merge_columns:
+        add_missing_columns(df.sparkSession, target, df.schema)
+    elif missing := missing_columns(df.sparkSession, target, df.schema):
+        raise ValueError(f"table {target} has no column {', '.join(f.name for f in missing)}")
     writer = (
         df.writeStream.format("parquet")
         .outputMode(output_mode)
@@ -60,16 +65,21 @@ def append_stream(
 
 def add_missing_columns(spark: SparkSession, target: str, schema: T.StructType) -> list[str]:
     """Add the columns of ``schema`` that an existing catalog table lacks; returns their names."""
-    if not spark.catalog.tableExists(target):
-        return []
-    present = set(spark.table(target).columns)
-    missing = [f for f in schema if f.name not in present]
+    missing = missing_columns(spark, target, schema)
     if missing:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
         spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({columns})")
     return [f.name for f in missing]
 
 
+def missing_columns(spark: SparkSession, target: str, schema: T.StructType) -> list[T.StructField]:
+    """The fields of ``schema`` that an existing catalog table lacks."""
+    if not spark.catalog.tableExists(target):
+        return []
+    present = set(spark.table(target).columns)
+    return [f for f in schema if f.name not in present]
+
+
 def append_audited(
     df: DataFrame,
     path: str,

@@ -1,15 +1,9 @@
-"""Parquet tables with a write history: replay-safe appends and atomic full refreshes.
-
-Each write goes to a directory of its own and becomes visible when its history row, which
-lists the live directories, has been written after it. A reader takes the last row, so it never
-sees half a write; a repeated micro-batch finds its number in the row and does nothing.
-One writer per table at a time: a writer that finds its version taken, or its row replaced, fails and has
-changed nothing that readers see.
-"""
+"""Parquet tables written a batch at a time with an audit row per write, and named views over versioned tables."""
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from datetime import datetime, timezone
 
@@ -17,25 +11,22 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 _TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 _HISTORY_SCHEMA = (
     T.StructType()
-    .add("version", "integer")
-    .add("committed_at", "timestamp")
+    .add("writer", "string")
+    .add("number", "long")
     .add("operation", "string")
     .add("parameters", _TEXT_MAP)
+    .add("rows", "long")
+    .add("started_at", "timestamp")
+    .add("committed_at", "timestamp")
     .add("schema_json", "string")
-    .add("live", T.ArrayType(T.StringType()))
-    .add("progress", T.MapType(T.StringType(), T.LongType()))
-    .add("token", "string")
 )
 
 
-class ConcurrentWriteError(RuntimeError):
-    """Another writer has committed to the table in between."""
-
-
 def merge_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     """Old columns first, then columns seen for the first time; structs are merged field by field.
 
@@ -58,98 +49,82 @@ def merge_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     return T.StructType(list(fields.values()))
 
 
-def _as_runs(names: list[str]) -> list[str]:
-    """Part names ``owner/number`` as entries ``owner/first-last``, so that a run takes one entry."""
-    runs: list[list] = []
-    for name in names:
-        owner, _, number = name.rpartition("/")
-        if runs and runs[-1][0] == owner and runs[-1][2] + 1 == int(number):
-            runs[-1][2] += 1
-        else:
-            runs.append([owner, int(number), int(number)])
-    return [f"{owner}/{first}-{last}" for owner, first, last in runs]
+def found_or_none(read):
+    """What ``read`` gives, or None where its path does not exist."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def _as_names(runs: list[str]) -> list[str]:
-    names = []
-    for run in runs:
-        owner, _, span = run.rpartition("/")
-        first, last = span.split("-")
-        names += [f"{owner}/{n}" for n in range(int(first), int(last) + 1)]
-    return names
+def write_line(spark: SparkSession, path: str, values: dict) -> None:
+    """One JSON row in a folder of its own, in place of what was there."""
+    line = spark.range(0, 1, 1, 1).select(F.lit(json.dumps(values, default=str)).alias("value"))
+    line.write.mode("overwrite").text(path)
 
 
 class AuditedTable:
+    """Batches of rows below ``path``, one folder per writer and number.
+
+    Writing a number again replaces its folder with the same rows, so a replayed micro-batch changes nothing, and
+    writers of different names never meet. A reader takes every folder. The audit row of a write (what, when, how
+    many rows) is written after it and read by :meth:`history`; it decides nothing but the table's columns.
+    """
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self._last = None
-        self._looked = False
-
-    # -- state ---------------------------------------------------------------------------
+        self._schema: T.StructType | None = None
 
     def _rows(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_HISTORY_SCHEMA).json(f"{self.path}/history")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def last(self):
-        """The last history row as a dict, or None for a table never written."""
-        if not self._looked:
-            rows = self._rows()
-            found = rows.orderBy(F.desc("version")).limit(1).collect() if rows is not None else []
-            self._last = found[0].asDict() if found else None
-            self._looked = True
-        return self._last
+        return found_or_none(lambda: self.spark.read.schema(_HISTORY_SCHEMA).json(f"{self.path}/history/*/*"))
 
     def refresh(self) -> "AuditedTable":
-        """Forget the remembered state, to see writes made elsewhere."""
-        self._looked = False
+        """Forget the columns seen so far, to see writes made elsewhere."""
+        self._schema = None
         return self
 
     @property
     def schema(self) -> T.StructType | None:
-        last = self.last()
-        return T.StructType.fromJson(json.loads(last["schema_json"])) if last else None
+        """The columns of all writes, in the order they were first seen."""
+        if self._schema is None and (rows := self._rows()) is not None:
+            first = rows.groupBy("schema_json").agg(F.min(F.struct("committed_at", "writer", "number")).alias("at")).orderBy("at")
+            for row in first.collect():
+                self._schema = merge_schema(self._schema, T.StructType.fromJson(json.loads(row["schema_json"])))
+        return self._schema
 
     @property
     def parts(self) -> list[str]:
-        """Names of the live parts, oldest first."""
-        last = self.last()
-        return _as_names(last["live"]) if last else []
-
-    def parameter(self, name: str) -> str | None:
-        last = self.last()
-        return (last["parameters"] or {}).get(name) if last else None
-
-    def has(self, writer: str, number: int) -> bool:
-        last = self.last()
-        return bool(last) and number <= (last["progress"] or {}).get(writer, -1)
+        """Names of the audited writes, oldest first."""
+        rows = self._rows()
+        if rows is None:
+            return []
+        return [f"{r['writer']}/{r['number']}" for r in rows.orderBy("committed_at", "writer", "number").collect()]
 
     # -- reads ---------------------------------------------------------------------------
 
     def read(self) -> DataFrame:
-        last = self.last()
-        if last is None:
+        if self.schema is None:
             raise ValueError(f"table {self.path} has not been written")
-        return self.read_parts(self.parts)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/data/*/*")
 
     def read_parts(self, names: list[str]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/data/{n}" for n in names])
 
     def history(self) -> DataFrame:
-        """One row per write: version, timestamp, operation, operation_parameters."""
+        """One row per write, oldest first: version, timestamp, operation, operation_parameters, rows."""
         rows = self._rows()
         if rows is None:
             raise ValueError(f"table {self.path} has not been written")
+        place = F.row_number().over(Window.orderBy("committed_at", "writer", "number")) - 1
         return rows.select(
-            "version",
+            place.alias("version"),
             F.col("committed_at").alias("timestamp"),
             "operation",
             F.col("parameters").alias("operation_parameters"),
+            "rows",
         )
 
     # -- writes --------------------------------------------------------------------------
@@ -162,91 +137,79 @@ class AuditedTable:
         operation: str = "APPEND",
         parameters: dict[str, str] | None = None,
     ) -> str:
-        """Add ``df`` as write ``number`` of ``writer``; a number already applied is skipped.
-
-        Returns the name of the directory that holds the rows.
-        """
-        name = f"{writer}/{number}"
-        if self.has(writer, number):
-            return name
-        last = self.last()
+        """Add ``df`` as write ``number`` of ``writer``, in place of an earlier try of it; returns the write's name."""
+        name, started = f"{writer}/{number}", datetime.now(timezone.utc)
         schema = merge_schema(self.schema, df.schema)
         df.write.mode("overwrite").parquet(f"{self.path}/data/{name}")
-        progress = {**(last["progress"] or {}), writer: number} if last else {writer: number}
-        self._commit(operation, schema, [*self.parts, name], progress, parameters)
+        # Parquet footers know how many rows there are.
+        rows = self.spark.read.schema(df.schema).parquet(f"{self.path}/data/{name}").count()
+        entry = {
+            "writer": writer,
+            "number": number,
+            "operation": operation,
+            "parameters": {k: str(v) for k, v in (parameters or {}).items()},
+            "rows": rows,
+            "started_at": started.isoformat(),
+            "committed_at": datetime.now(timezone.utc).isoformat(),
+            "schema_json": df.schema.toNullable().json(),
+        }
+        write_line(self.spark, f"{self.path}/history/{name}", entry)
+        self._schema = schema
         return name
 
-    def replace(self, df: DataFrame, operation: str = "REFRESH", parameters: dict[str, str] | None = None):
-        """Make ``df`` the whole content; ``df`` may read this very table."""
-        self._rewrite(df, self.parts, "snapshot", operation, merge_schema(None, df.schema), parameters)
 
-    def replace_parts(self, parts: list[str], df: DataFrame, owner: str, operation: str) -> None:
-        """Make ``df`` stand for some of the live parts, the others stay; ``df`` may read them."""
-        self._rewrite(df, parts, owner, operation, merge_schema(self.schema, df.schema), None)
+class NamedView:
+    """A catalog view over tables of full refreshes.
 
-    def _rewrite(self, df, parts, owner, operation, schema, parameters):
-        last = self.last()
-        name = f"{owner}/{last['version'] + 1 if last else 0}"
-        df.write.mode("overwrite").parquet(f"{self.path}/data/{name}")
-        kept = {**((last["parameters"] or {}) if last else {}), **(parameters or {})}
-        progress = (last["progress"] or {}) if last else {}
-        live = [*[p for p in self.parts if p not in set(parts)], name]
-        self._commit(operation, schema, live, progress, kept)
-
-    def _commit(self, operation, schema, parts, progress, parameters):
-        last = self.last()
-        version = last["version"] + 1 if last else 0
-        row = {
-            "version": version,
-            "operation": operation,
-            "parameters": {k: str(v) for k, v in (parameters or {}).items()},
-            "schema_json": schema.json(),
-            "live": _as_runs(parts),
-            "progress": progress,
-            "token": uuid.uuid4().hex,
-        }
-        # Readable by executors and drivers alike, and visible only when the write job commits.
-        text = json.dumps({**row, "committed_at": datetime.now(timezone.utc).isoformat()})
-        line = self.spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
-        if self._committed(version) is None:
-            # A directory without a row is what a writer left that died in its commit.
-            line.write.mode("overwrite").text(f"{self.path}/history/v={version}")
-        if self._committed(version) != row["token"]:
-            self._looked = False
-            raise ConcurrentWriteError(f"version {version} of {self.path} was written by another writer")
-        self._last, self._looked = row, True
-
-    def _committed(self, version: int) -> str | None:
-        """The token of a version's history row, if there is one."""
-        try:
-            rows = self.spark.read.schema(_HISTORY_SCHEMA).json(f"{self.path}/history/v={version}").collect()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        return (rows[0]["token"] or "") if rows else None
-
-
-def refresh_view(df: DataFrame, path: str, name: str | None = None) -> AuditedTable:
-    """Full refresh of a materialized view; ``name`` also publishes it as a session view."""
-    table = AuditedTable(df.sparkSession, path)
-    table.replace(df)
-    if name:
-        table.read().createOrReplaceTempView(name)
-    return table
-
-
-def publish(table: AuditedTable, name: str, comment: str | None = None, properties: dict[str, str] | None = None) -> None:
-    """Give the snapshot that ``table`` holds now a catalog name, in place of what had the name before.
-
-    The catalog table is external: dropping it leaves the files. A later refresh has to be published again.
+    A refresh writes a managed table of its own, switches the view to it in one statement, and drops tables
+    older than the last ``keep``. A reader finds the old table or the new one, and a query that has begun can end as
+    long as fewer than ``keep`` refreshes pass.
     """
-    if len(table.parts) != 1:
-        raise ValueError(f"{table.path} is not a snapshot: it has {len(table.parts)} parts")
-    path = f"{table.path}/data/{table.parts[0]}"
-    table.spark.sql(f"DROP TABLE IF EXISTS {name}")
-    table.spark.catalog.createTable(name, path=path, source="parquet", schema=table.schema)
-    describe_table(table.spark, name, comment, properties)
+
+    def __init__(self, spark: SparkSession, name: str, keep: int = 2):
+        if keep < 1:
+            raise ValueError("keep must be at least 1")
+        self.spark, self.name, self.keep = spark, name, keep
+
+    def versions(self) -> list[str]:
+        """Names of the tables kept, oldest first."""
+        database, _, own = self.name.rpartition(".")
+        found = self.spark.catalog.listTables(database or None, f"{own}__v*")
+        numbered = {t.name: int(m[1]) for t in found if (m := re.fullmatch(re.escape(own.lower()) + r"__v(\d+)_\w+", t.name.lower()))}
+        return [f"{database}.{n}" if database else n for n in sorted(numbered, key=numbered.__getitem__)]
+
+    def refresh(self, df: DataFrame, comment: str | None = None, properties: dict[str, str] | None = None) -> "NamedView":
+        """Make ``df`` the content; it may read this very view."""
+        kept = self.versions()
+        number = int(re.search(r"__v(\d+)_\w+$", kept[-1])[1]) + 1 if kept else 0
+        table = f"{self.name}__v{number}_{uuid.uuid4().hex[:8]}"
+        df.write.format("parquet").saveAsTable(table)
+        define_view(self.spark, self.name, f"SELECT * FROM {table}", comment, properties)
+        for old in [*kept, table][: -self.keep]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+        return self
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+
+def define_view(
+    spark: SparkSession, name: str, query: str, comment: str | None = None, properties: dict[str, str] | None = None
+) -> None:
+    """Make ``name`` a view of ``query``. An existing view is altered, as replacing it would drop it first and
+    readers in between would find none."""
+    about = {**(properties or {}), **({"comment": comment} if comment is not None else {})}
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER VIEW {name} AS {query}")
+    else:
+        spark.sql(f"CREATE VIEW {name} AS {query}")
+    if about:
+        spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ({', '.join(f'{quoted(k)} = {quoted(v)}' for k, v in about.items())})")
+
+
+def refresh_view(df: DataFrame, name: str, comment: str | None = None, keep: int = 2) -> NamedView:
+    """Full refresh of a materialized view by its catalog name."""
+    return NamedView(df.sparkSession, name, keep).refresh(df, comment)
 
 
 def describe_table(
@@ -254,8 +217,11 @@ def describe_table(
 ) -> None:
     """Set comment and properties of a catalog table, after the write that created it."""
     if comment is not None:
-        text = comment.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+        spark.sql(f"COMMENT ON TABLE {name} IS {quoted(comment)}")
     if properties:
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+
+
+def quoted(text: str) -> str:
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
