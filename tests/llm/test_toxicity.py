@@ -19,6 +19,17 @@ def scores(spark, texts, model):
     return [r["score"] for r in sorted(tox.score(df, ["doc_id"], "text", model).collect())]
 
 
+def fitted(spark, rows, **more):
+    """A model from (text, toxic)."""
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    return tox.fit(docs, "doc_id", "text", known_of(spark, rows, docs), **more)
+
+
+def known_of(spark, rows, docs):
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    return tox.labelled(docs, labels, "doc_id", "text", "toxic", F.lit(True))
+
+
 def groups_and_insults(count, seed=1):
     """Toxic texts insult and often name a group; clean ones seldom do."""
     pick = random.Random(seed)
@@ -37,10 +48,10 @@ def groups_and_insults(count, seed=1):
 
 
 def test_penalty_lowers_false_positives_on_neutral_mentions(spark):
-    rows = spark.createDataFrame(groups_and_insults(2000), "text string, toxic int")
+    rows = groups_and_insults(2000)
     neutral = [f"the {g} went over the bridge to the market in summer" for g in ("women", "muslims", "gays", "immigrants")]
     insults = [f"{g} are scum" for g in ("women", "muslims", "people")]
-    plain, fair = (tox.fit(rows, swap_cost=c) for c in (0.0, tox.SWAP_COST))
+    plain, fair = (fitted(spark, rows, swap_cost=c) for c in (0.0, tox.SWAP_COST))
     before, after = scores(spark, neutral + insults, plain), scores(spark, neutral + insults, fair)
     assert max(after[:4]) < 0.5 < max(before[:4])
     assert sum(after[:4]) < 0.6 * sum(before[:4])
@@ -75,7 +86,7 @@ def test_held_out_labels_change_nothing(spark):
     for labels in (marks, other):
         use = ~tox.held_out(F.col("doc_id"))
         known = tox.labelled(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), "doc_id", "text", "toxic", use)
-        found.append(scores(spark, [t for _, t, *_ in rows], tox.fit(known)))
+        found.append(scores(spark, [t for _, t, *_ in rows], tox.fit(docs, "doc_id", "text", known)))
     assert found[0] == found[1]
 
 
@@ -85,27 +96,28 @@ def test_odd_rows(spark):
     )
     labels = spark.createDataFrame([(1, 0, 5), (2, 0, 5), (2, 1, 5), (3, 1, 5), (4, None, 5), (None, 1, 5), (9, 1, 5)], "doc_id long, toxic int, quality int")
     known = tox.labelled(docs, labels, "doc_id", "text", "toxic", F.lit(True))
-    assert sorted(map(tuple, known.collect())) == [("good day", 0), ("good day", 0), ("you idiot", 1)]
-    drawn, sizes = tox.sampled(known)
+    assert sorted((r["key"], r["toxic"]) for r in known.collect()) == [(1, 0), (1, 0), (2, 1)]
+    drawn, sizes = tox.sampled(docs, "doc_id", "text", known)
     assert sizes == [1, 1] and sorted((r["text"], r["weight"]) for r in drawn.collect()) == [("good day", 1.0), ("you idiot", 1.0)]
-    found = scores(spark, ["good day", None, "", "x" * 3_000_000, "a " * 200_000], tox.fit(known))
+    found = scores(spark, ["good day", None, "", "x" * 3_000_000, "a " * 200_000], tox.fit(docs, "doc_id", "text", known))
     assert found[1] == found[2] and all(0 <= s <= 1 for s in found)
 
 
 @pytest.mark.parametrize("rows, expected", [([], 0.0), ([("a", 0), ("b", 0)], 0.0), ([("a", 1)], 1.0)])
 def test_one_class_or_none(spark, rows, expected):
-    model = tox.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    model = fitted(spark, rows)
     assert scores(spark, ["a", None, ""], model) == [expected] * 3
 
 
 def test_empty_tables(spark):
-    model = tox.fit(spark.createDataFrame([], "text string, toxic int"))
+    model = fitted(spark, [])
     assert tox.score(spark.createDataFrame([], DOCS), ["doc_id"], "text", model).collect() == []
 
 
 def test_sample_bound_and_weights(spark):
     rows = [(f"clean text {i}", 0) for i in range(900)] + [(f"bad text {i}", 1) for i in range(60)] * 3
-    drawn, sizes = tox.sampled(spark.createDataFrame(rows, "text string, toxic int"), 200)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    drawn, sizes = tox.sampled(docs, "doc_id", "text", known_of(spark, rows, docs), 200)
     found = drawn.groupBy("toxic").agg(F.count("*").alias("n"), F.first("weight").alias("w")).collect()
     by_class = {r["toxic"]: (r["n"], r["w"]) for r in found}
     assert sizes == [900, 60] and by_class[1] == (60, 1.0)

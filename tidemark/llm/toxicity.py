@@ -1,9 +1,9 @@
 """Toxicity: a logistic model over words, parts of words and word pairs, regularised by counterfactuals.
 
 A text's features are the sets of its words, of the n-grams of its words (with a mark at either end) and of its
-pairs of neighbouring words, lower-cased and hashed into ``BUCKETS``; how often each occurs does not count, so one
+pairs of neighbouring words, lower-cased and hashed into ``BUCKETS`` and ``PAIRS``; how often each occurs does not count, so one
 insult weighs the same in a short text and in a long one. Features are counted per class, and the ``FEATURES`` with
-the greatest chi-square are kept. One task fits the weights by Newton steps.
+the greatest chi-square among those that favour the toxic class are kept. One task fits the weights by Newton steps.
 
 Counterfactuals: in every sentence of the fitted texts that names a group (``IDENTITIES``), the name is swapped for
 each other name of its set. The swap changes some features; the model pays ``SWAP_COST`` times the square of the
@@ -34,12 +34,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Cache, small_batches, table, worker_store, written
-from tidemark.llm.hashing import mixed
+from tidemark.llm.hashing import Ranges, mixed
 
 SAMPLE = 20_000
 FEATURES = 4_096
-ORDERS = (4, 5, 6)
+ORDERS = (4, 6)
 BUCKETS = 1 << 20
+PAIRS = 1 << 20
 LEAST_TEXTS = 3
 WEIGHT_COST = 1.0
 SWAP_COST = 20.0
@@ -83,22 +84,20 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the words and of their n-grams, and the place in ``words`` that each belongs to."""
     lengths = np.array([len(w) + 2 for w in words], np.int64)
     codes = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    owner = np.repeat(np.arange(len(words)), lengths)
-    room = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))
-    numbers = [np.array([zlib.crc32(f"w{w}".encode()) for w in words], np.int64) % BUCKETS]
-    owners, value = [np.arange(len(words))], np.zeros(len(codes), np.uint64)
-    for order in range(1, max(ORDERS) + 1):
-        # Positions from which no n-gram of this order fits are cut off or sorted out below.
-        value = mixed(value[: max(0, len(codes) - order + 1)] + codes[order - 1 :] + np.uint64(order << 32))
-        if order in ORDERS:
-            whole = np.flatnonzero(room[: len(value)] >= order)
-            numbers.append((value[whole] % np.uint64(BUCKETS)).astype(np.int64))
-            owners.append(owner[whole])
-    return np.concatenate(numbers), np.concatenate(owners)
+    ranges, end = Ranges(mixed(codes + np.uint64(1))), np.cumsum(lengths)
+    owner, room = np.repeat(np.arange(len(words)), lengths), np.repeat(end, lengths) - np.arange(len(codes))
+    numbers, owners = [ranges.of(end - lengths, end)], [np.arange(len(words))]
+    for order in ORDERS:
+        start = np.flatnonzero(room >= order)
+        numbers.append(ranges.of(start, start + order))
+        owners.append(owner[start])
+    return (np.concatenate(numbers) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate(owners)
 
 
-def pair_features(words: list[str]) -> set[int]:
-    return {zlib.crc32(f"p{a} {b}".encode()) % BUCKETS for a, b in pairwise(words)}
+def pair_features(words: list[int]) -> np.ndarray:
+    """The numbers of the pairs of neighbouring words, given the words' hashes; they follow those of words."""
+    hashes = np.array(words, np.uint64)
+    return (mixed(hashes[:-1] * np.uint64(31) + hashes[1:]) % np.uint64(PAIRS)).astype(np.int64) + BUCKETS
 
 
 def swaps(text: str):
@@ -117,27 +116,28 @@ class Lookup:
     """The places in ``chosen`` of the features that a text has. What a word has is looked up once."""
 
     def __init__(self, chosen: list[int]):
-        self.place = np.full(BUCKETS, -1, np.int32)
+        self.place = np.full(BUCKETS + PAIRS, -1, np.int32)
         self.place[chosen] = np.arange(len(chosen))
+        self.pairs = max(chosen, default=0) >= BUCKETS
+        #: A word's hash, and the places of its features.
         self.known = Cache(CACHED)
 
     def learn(self, wanted: set[str]) -> None:
         if new := self.known.missing(wanted):
             numbers, owners = word_features(new)
             places = self.place[numbers]
-            self.known.update(dict.fromkeys(new, ()))
+            found: dict[int, tuple[int, ...]] = {}
             for i in np.flatnonzero(places >= 0).tolist():
-                word = new[owners[i]]
-                self.known[word] = (*self.known[word], int(places[i]))
+                found[owners[i]] = (*found.get(owners[i], ()), int(places[i]))
+            self.known.update({w: (zlib.crc32(w.encode()), found.get(i, ())) for i, w in enumerate(new)})
 
     def of_words(self, words: list[str]) -> set[int]:
-        distinct, found = set(words), set()
-        self.learn(distinct)
-        for word in distinct:
-            if here := self.known[word]:
-                found.update(here)
-        places = self.place[list(pair_features(words))]
-        found.update(places[places >= 0].tolist())
+        self.learn(set(words))
+        known = [self.known[w] for w in words]
+        found = {place for _, places in known for place in places}
+        if self.pairs and len(words) > 1:
+            places = self.place[pair_features([k for k, _ in known])]
+            found.update(places[places >= 0].tolist())
         return found
 
     def of_text(self, text: str) -> set[int]:
@@ -146,29 +146,37 @@ class Lookup:
             found |= self.of_words(_WORD.findall(part))
         return found
 
+    def of_texts(self, texts: list[str]) -> list[set[int]]:
+        """The features of each text; words of many texts are looked up together."""
+        found = []
+        for start in range(0, len(texts), TOGETHER):
+            few = [_WORD.findall(t.lower()) if len(t) < SLICE else t for t in texts[start : start + TOGETHER]]
+            self.learn({w for words in few if isinstance(words, list) for w in words})
+            found += [self.of_words(words) if isinstance(words, list) else self.of_text(words) for words in few]
+        return found
+
 
 def count_features(texts: list[str], toxic: list[int], counts: np.ndarray) -> None:
     """Adds to ``counts`` (class, number) in how many texts of each class each feature is."""
     for text, label in zip(texts, toxic):
         found = [np.zeros(0, np.int64)]
         for part in slices(text.lower()):
-            words = _WORD.findall(part)
-            if words:
-                found.append(np.unique(np.concatenate([word_features(list(set(words)))[0], np.array(list(pair_features(words)), np.int64)])))
+            if words := _WORD.findall(part):
+                found += [word_features(list(set(words)))[0], pair_features([zlib.crc32(w.encode()) for w in words])]
         counts[label, np.unique(np.concatenate(found))] += 1
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, use: Column) -> DataFrame:
-    """(text, toxic) of the rows with ``use`` that have a label."""
+    """(key, name, toxic) of the rows with ``use`` that have a label; ``name`` stands for the text."""
     marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("toxic"))
-    return docs.where(use & F.col(text).isNotNull()).select(key, F.col(text).alias("text")).join(marks, key).select("text", "toxic")
+    named = docs.where(use & F.col(text).isNotNull()).select(key, F.sha2(text, 256).alias("name"))
+    return named.join(marks, key).select(F.col(key).alias("key"), "name", "toxic")
 
 
-def sampled(rows: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, list[int]]:
+def sampled(docs: DataFrame, key: str, text: str, known: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, list[int]]:
     """(name, text, toxic, weight): about ``sample`` distinct texts, half of them toxic if there are as many; and
-    how many distinct texts each class has."""
-    name = F.sha2("text", 256)
-    marked = rows.groupBy(name.alias("name")).agg(F.max("toxic").alias("toxic"))
+    how many distinct texts each class has. Only names move until the texts are chosen."""
+    marked = written(known.groupBy("name").agg(F.max("toxic").alias("toxic"), F.min("key").alias("key")), "marked")
     counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     sizes = [counts.get(0, 0), counts.get(1, 0)]
     # What one class leaves of its half goes to the other.
@@ -176,9 +184,11 @@ def sampled(rows: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, list[int]
     share = [min(1.0, half / n) if n else 1.0 for half, n in zip(halves, sizes)]
     by_class = F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])
     chosen = marked.where(F.conv(F.substring("name", 1, 8), 16, 10).cast("long") < by_class * 2.0**32)
-    # Only rows of chosen texts move, each text once.
-    texts = rows.select(name.alias("name"), "text").join(chosen, "name", "left_semi").dropDuplicates(["name"])
-    return texts.join(chosen, "name").select("name", "text", "toxic", (1 / by_class).alias("weight")), sizes
+    chosen = chosen.select("name", F.col("key").alias("__key"), "toxic", (1 / by_class).alias("weight"))
+    # As many rows as the sample has, whatever the input: small enough for every executor.
+    found = docs.select(F.col(key).alias("__key"), F.col(text).alias("text")).join(F.broadcast(chosen), "__key")
+    found = found.where(F.sha2("text", 256) == F.col("name")).dropDuplicates(["name"])
+    return found.select("name", "text", "toxic", "weight"), sizes
 
 
 class Model:
@@ -192,16 +202,24 @@ def logit(share: float) -> float:
     return math.log(share / (1 - share)) if 0 < share < 1 else math.inf * (1 if share else -1)
 
 
-def fit(rows: DataFrame, sample: int = SAMPLE, features: int = FEATURES, swap_cost: float = SWAP_COST) -> Model:
-    """A model from rows (text, toxic). The sample's texts are read in one scan each for counting and fitting."""
-    small_batches(rows.sparkSession)
-    drawn, sizes = sampled(rows, sample)
+def fit(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    known: DataFrame,
+    sample: int = SAMPLE,
+    features: int = FEATURES,
+    swap_cost: float = SWAP_COST,
+) -> Model:
+    """A model from the texts of ``docs`` that ``known`` (see :func:`labelled`) has labels for."""
+    small_batches(docs.sparkSession)
+    drawn, sizes = sampled(docs, key, text, known, sample)
     if not all(sizes):
         return Model([], np.zeros(0), logit(sizes[1] / sum(sizes) if sum(sizes) else 0.0))
     drawn = written(drawn, "labelled")
 
     def count(parts):
-        counts = np.zeros((2, BUCKETS), np.int64)
+        counts = np.zeros((2, BUCKETS + PAIRS), np.int64)
         for batch in parts:
             count_features(batch.column(0).to_pylist(), batch.column(1).to_pylist(), counts)
         number = np.flatnonzero(counts.any(0))
@@ -214,7 +232,8 @@ def fit(rows: DataFrame, sample: int = SAMPLE, features: int = FEATURES, swap_co
     total, both = clean + toxic, F.col("a") + F.col("b")
     apart = F.col("b") * clean - F.col("a") * toxic
     chi = total * apart * apart / (both * (total - both + 1) * clean * toxic)
-    best = sums.where(both >= LEAST_TEXTS).select("feature", chi.alias("chi")).orderBy(F.desc("chi"), "feature")
+    # Features that speak for the toxic class: those that are usual in clean texts would only make every text long.
+    best = sums.where((both >= LEAST_TEXTS) & (apart > 0)).select("feature", chi.alias("chi")).orderBy(F.desc("chi"), "feature")
     chosen = [r["feature"] for r in best.limit(features).collect()]
 
     def extract(parts):
@@ -315,8 +334,8 @@ def conjugate(product, goal: np.ndarray) -> np.ndarray:
     """The solution x of product(x) = goal for a positive definite product."""
     x, rest = np.zeros(len(goal)), goal.copy()
     way, square = rest.copy(), rest @ rest
-    end = square * 1e-10
-    for _ in range(200):
+    end = square * 1e-8
+    for _ in range(100):
         if square <= end:
             break
         along = product(way)
@@ -342,10 +361,8 @@ def score(df: DataFrame, keep: list[str], text: str, model: Model) -> DataFrame:
             kept["toxicity"] = (name, Lookup(chosen))
         lookup = kept["toxicity"][1]
         for batch in parts:
-            wanted = [t or "" for t in batch.column(len(keep)).to_pylist()]
-            for start in range(0, len(wanted), TOGETHER):
-                lookup.learn({w for t in wanted[start : start + TOGETHER] if len(t) < SLICE for w in _WORD.findall(t.lower())})
-            sums = [intercept + float(weights[sorted(lookup.of_text(t))].sum()) for t in wanted]
+            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
+            sums = [intercept + float(weights[sorted(f)].sum()) for f in lookup.of_texts(texts)]
             with np.errstate(over="ignore"):
                 found = 1 / (1 + np.exp(-np.array(sums, float)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found, pa.float64())], names=[*keep, "score"])
@@ -364,5 +381,5 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     known = labelled(docs, labels, "doc_id", "text", "toxic", ~held_out(F.col("doc_id")))
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    found = score(rows, ["doc_id", "held_out"], "text", fit(known))
+    found = score(rows, ["doc_id", "held_out"], "text", fit(docs, "doc_id", "text", known))
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
