@@ -131,8 +131,9 @@ class Lookup:
                 found[owners[i]] = (*found.get(owners[i], ()), int(places[i]))
             self.known.update({w: (zlib.crc32(w.encode()), found.get(i, ())) for i, w in enumerate(new)})
 
-    def of_words(self, words: list[str]) -> set[int]:
-        self.learn(set(words))
+    def of_words(self, words: list[str], learned: bool = False) -> set[int]:
+        if not learned:
+            self.learn(set(words))
         known = [self.known[w] for w in words]
         found = {place for _, places in known for place in places}
         if self.pairs and len(words) > 1:
@@ -152,7 +153,11 @@ class Lookup:
         for start in range(0, len(texts), TOGETHER):
             few = [_WORD.findall(t.lower()) if len(t) < SLICE else t for t in texts[start : start + TOGETHER]]
             self.learn({w for words in few if isinstance(words, list) for w in words})
-            found += [self.of_words(words) if isinstance(words, list) else self.of_text(words) for words in few]
+            found += [self.of_words(words, True) if isinstance(words, list) else set() for words in few]
+            # A long text may make room for its own words, so it comes after those that share theirs.
+            for i, long in enumerate(few, len(found) - len(few)):
+                if not isinstance(long, list):
+                    found[i] = self.of_text(long)
         return found
 
 
