@@ -10,6 +10,7 @@ from tidemark import workspace
 from tidemark.operators.cdc import ChangeRules
 from tidemark.operators.quality import expect, expect_stream, expectation_metrics
 from tidemark.operators.views import CUSTOMER_EXPECTATIONS
+from tidemark.plans.catalogue import QUERIES
 from tidemark.plans.jobs import PullError, core_tables, pull_into, silver_views
 from tidemark.sources.cursor import (
     cursor_text,
@@ -432,3 +433,27 @@ def test_pulls_overlap_and_failures_are_told_together(spark, base):
     assert set(failed.value.failures) == {"bad", "worse"} and "no table bad" in str(failed.value)
     again = core_tables(spark, lambda name: good, base, tables_, "changed")
     assert [again[n].read().count() for n in tables_] == [1, 1, 1, 1]
+
+
+def test_keyed_state_runs_in_a_session_of_default_settings(spark, base):
+    """Only the query itself gets the state store it needs."""
+    (setting,) = workspace.KEYED_STATE
+    before = spark.conf.get(setting)
+    events = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    at = [datetime(2024, 1, day) for day in (1, 2, 3)]
+    rows = [
+        (1, at[0], 1, "view", 1.0, None), (2, at[2], 1, "view", 2.0, None), (3, at[1], 1, "view", 3.0, None),
+        (4, at[0], 2, "view", 4.0, None), (5, at[1], 2, "error", 5.0, None), (6, at[0], 3, "signup", 6.0, None),
+        (7, at[0], 4, "view", 60.0, None), (8, at[0], 5, "view", 7.0, None),
+    ]
+    spark.createDataFrame(rows, events).write.parquet(f"{base}/events.parquet")
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(setting, other)
+    try:
+        current = [(r["user_id"], r["event_id"]) for r in QUERIES["scd1_streaming"](spark, base).collect()]
+        refused = [(r["event_id"], r["reject_reason"]) for r in QUERIES["stream_rejects"](spark, base).collect()]
+        assert spark.conf.get(setting) == other
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted(current) == [(1, 2), (3, 6), (4, 7), (5, 8)]
+    assert sorted(refused) == [(6, "null sequence"), (7, "null key")]

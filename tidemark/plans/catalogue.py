@@ -40,7 +40,7 @@ from tidemark.streaming.audit import WriteAudit
 from tidemark.streaming.change_targets import ChangeTarget, apply_changes, latest_by_key
 from tidemark.streaming.sinks import append_stream, drain, for_each_batch
 from tidemark.streaming.tables import AuditedTable, refresh_view
-from tidemark.workspace import scratch_path
+from tidemark.workspace import KEYED_STATE, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -221,7 +221,7 @@ def _keyed_state(spark: SparkSession, sf_dir: str, changes: DataFrame) -> tuple[
     base = scratch_path(spark, "scd1-state")
     emitted, read, rejects = latest_by_key(_event_stream(spark, changes, base), ChangeRules(**EVENT_RULES))
     target = AuditedTable(spark, f"{base}/emitted")
-    drain(for_each_batch(emitted, target.append, f"{base}/checkpoint", output_mode="update"))
+    drain(for_each_batch(emitted, target.append, f"{base}/checkpoint", output_mode="update", settings=KEYED_STATE))
     return read(target.read()), rejects(target.read())
 
 

@@ -414,6 +414,8 @@ def latest_by_key(
     the keys it changed, and the events that cannot be applied. The second gives the current rows of what was
     emitted, the third the rejects with their reason. The state holds one value per key; rejects are dealt over
     ``LANES`` groups of their own, so that a null key that many events share is no hot group, and leave no state.
+    The query must start with the settings ``KEYED_STATE`` (:func:`for_each_batch` takes them), as Spark's default
+    state store cannot hold this state.
     """
     kept = rules.kept_columns(changes.columns)
     applicable = rules.is_applicable()

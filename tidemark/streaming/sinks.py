@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -105,11 +106,12 @@ def for_each_batch(
     interval: str | None = None,
     name: str | None = None,
     output_mode: str = "append",
+    settings: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Run ``apply(batch, writer, number)`` per micro-batch.
 
     ``writer`` is the id Spark keeps in the checkpoint, so a new checkpoint is a new writer and a
-    restarted one continues its numbering.
+    restarted one continues its numbering. ``settings`` are settings of the session for this query alone.
     """
     spark = df.sparkSession
     known: list[str] = []
@@ -127,7 +129,24 @@ def for_each_batch(
     )
     if name:
         writer = writer.queryName(name)
-    return writer.start()
+    with set_for(spark, settings or {}):
+        return writer.start()
+
+
+@contextmanager
+def set_for(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """``settings`` of the session while a query starts: it copies them then, and they are put back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:

@@ -8,6 +8,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Streaming state per key lives on the executors' disks, not in their heaps; ``transformWithState`` takes no other store.
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf) -> SparkSession:
@@ -20,10 +26,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf)
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # Streaming state per key lives on the executors' disks, not in their heaps.
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
+        **KEYED_STATE,
     }
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():
