@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -9,8 +10,8 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from tidemark.llm import byte_bpe, packing, token_counts
-from tidemark.llm.common import with_row_id, written
+from tidemark.llm import byte_bpe, common, packing, token_counts
+from tidemark.llm.common import Cache, Places, groups_of, kept_in_worker, with_row_id, written
 
 ODD = [
     None, "", " ", "  a\n\n b  \t\tc ", "x<|endoftext|>y  <|endoftext|>", "<|startoftext|>", "can't WE'LL don''s", "12三 日本語　é́ ​",
@@ -161,3 +162,37 @@ def test_repeated_documents_are_packed_each(spark):
     assert len(frame) == 5 and frame["sequence_id"].nunique() == 3
     check_packing(frame, 8)
     assert with_row_id(packed).columns[-1] == "row_id"
+
+
+def test_caches_give_values_in_order_and_make_each_once():
+    cache, made = Cache(4), []
+
+    def make(new):
+        made.extend(new)
+        return [w.upper().encode() for w in new]
+
+    assert cache.of(["a", "b", "c"], make) == [b"A", b"B", b"C"]
+    assert cache.of(["d", "b", "e"], make) == [b"D", b"B", b"E"]
+    assert made == ["a", "b", "c", "d", "e"] and set(cache) == {"b", "d", "e"}
+
+
+def test_a_worker_keeps_one_operators_caches():
+    with_cache = kept_in_worker("one", dict)
+    assert kept_in_worker("one", dict) is with_cache
+    kept_in_worker("two", dict)
+    assert kept_in_worker("one", dict) is not with_cache
+
+
+@pytest.mark.parametrize("lists", [[], [[]], [[], ["a"], [], ["b", "a", "\U0001f600"], [""]], [[""], [""]]])
+def test_strings_of_lists_are_joined_by_place(lists):
+    places = Places(lists)
+    raw, begin = places.joined([w.encode() * 2 for w in places.distinct])
+    assert len(places.distinct) == len({w for words in lists for w in words})
+    assert [bytes(raw[a:b]) for a, b in pairwise(begin.tolist())] == [b"".join(w.encode() * 2 for w in words) for words in lists]
+
+
+def test_texts_fall_into_groups_without_loss(monkeypatch):
+    monkeypatch.setattr(common, "GROUP_CHARS", 4)
+    texts = ["", "abcdefgh", "a", "bcd", "", "e"]
+    assert [t for group in groups_of(texts) for t in group] == texts
+    assert list(groups_of(texts)) == [["", "abcdefgh"], ["a", "bcd"], ["", "e"]]

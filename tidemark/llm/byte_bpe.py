@@ -14,13 +14,18 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
+from array import array
+from collections.abc import Iterator
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import CHUNKS, Cache, kept_in_worker, small_batches, table
+from tidemark.llm.common import CHUNKS, Cache, Places, groups_of, kept_in_worker, no_cycle_search, small_batches, table, taken
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -79,48 +84,56 @@ def serialise_model(entries: list[bytes]) -> bytes:
 class Codec:
     """Encodes and decodes in one Python worker."""
 
-    def __init__(self, model: bytes, entries: list[bytes], pattern: str, bound: int = 250_000):
+    def __init__(self, model: bytes, entries: list[bytes], pattern: str, bound: int = 500_000):
         from sentencepiece import SentencePieceProcessor
 
         self.processor = SentencePieceProcessor(model_proto=model)
         self.entries, self.ranks = entries, {e: i for i, e in enumerate(entries)}
         self.split = regex.compile(pattern)
         self.known = Cache(bound)
-
-    def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
-        """Ids per chunk: pre-token by pre-token."""
-        parts = [[p.encode() for p in self.split.findall(c)] for c in chunks]
-        ids: dict[bytes, list[int]] = {}
+        self.packed = [struct.pack("=I", i) for i in range(len(entries))]
+        self.bytes_of = pa.array(entries, pa.large_binary())
+        self.decimal = pa.array([b"%d " % i for i in range(len(entries))], pa.large_binary())
+
+    #: A chunk of this form is one pre-token.
+    WORD = re.compile(" ?[A-Za-z]+")
+
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids per chunk, as unsigned 32-bit numbers: pre-token by pre-token."""
+        word = self.WORD.fullmatch
+        parts = [[c.encode()] if word(c) else [p.encode() for p in self.split.findall(c)] for c in chunks]
+        ids: dict[bytes, bytes] = {}
         merge = []
         for pre in parts:
             for p in pre:
                 if p not in ids:
                     whole = self.ranks.get(p)
-                    ids[p] = [] if whole is None else [whole]
+                    ids[p] = b"" if whole is None else self.packed[whole]
                     if whole is None:
                         merge.append(p)
         if merge:
             mapped = [p.decode("latin-1").translate(_CHARACTERS) for p in merge]
-            ids.update(zip(merge, self.processor.encode(mapped, out_type=int, num_threads=1)))
-        return [[i for p in pre for i in ids[p]] for pre in parts]
+            found = self.processor.encode(mapped, out_type=int, num_threads=1)
+            ids.update((p, array("I", i).tobytes()) for p, i in zip(merge, found))
+        return [ids[pre[0]] if len(pre) == 1 else b"".join([ids[p] for p in pre]) for pre in parts]
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids in self.encode_chunks(CHUNKS.findall(text)) for i in ids]
+        return np.frombuffer(b"".join(self.encode_chunks(CHUNKS.findall(text))), np.uint32).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.entries[i] for i in ids])
 
-    def look_up(self, texts: list[str]) -> list[list[tuple[int, str, bytes]]]:
-        """Per text, its chunks as (number of ids, ids in decimal, bytes decoded from the ids)."""
-        parts = [CHUNKS.findall(t) for t in texts]
-        fresh = set()
-        for chunks in parts:
-            fresh.update(chunks)
-        new = self.known.missing(fresh)
-        for chunk, ids in zip(new, self.encode_chunks(new)):
-            self.known[chunk] = (len(ids), " ".join(map(str, ids)), self.decode(ids))
-        entry = self.known.__getitem__
-        return [list(map(entry, chunks)) for chunks in parts]
+    def look_up(self, texts: list[str]) -> Iterator[tuple[int, memoryview, memoryview]]:
+        """Per text: the number of its ids, the ids in decimal with a blank after each, the bytes decoded from the ids."""
+        for group in groups_of(texts):
+            with no_cycle_search():
+                places = Places([CHUNKS.findall(t) for t in group])
+                ids, begin = places.joined(self.known.of(places.distinct, self.encode_chunks))
+                numbers, begin = pa.array(np.frombuffer(ids, np.uint32)), begin // 4
+                told, of_told = taken(self.decimal, numbers, begin)
+                raw, of_raw = taken(self.bytes_of, numbers, begin)
+            for count, (a, b), (c, d) in zip(np.diff(begin).tolist(), pairwise(of_told.tolist()), pairwise(of_raw.tolist())):
+                yield count, told[a:b], raw[c:d]
 
 
 def encode_documents(df: DataFrame, key: str, text: str, path: str, pattern: str) -> DataFrame:
@@ -150,11 +163,10 @@ def digest_documents(df: DataFrame, key: str, text: str, path: str, pattern: str
         codec = kept_in_worker(f"codec {path} {pattern}", lambda: Codec(*shared.value, pattern))
         for batch in parts:
             counts, digests, decoded = [], [], []
-            for chunks in codec.look_up([t or "" for t in batch.column(1).to_pylist()]):
-                sizes, ids, raw = zip(*chunks) if chunks else ((), (), ())
-                counts.append(sum(sizes))
-                digests.append(hashlib.sha256(" ".join(ids).encode()).hexdigest())
-                decoded.append(hashlib.sha256(b"".join(raw)).hexdigest())
+            for count, ids, raw in codec.look_up([t or "" for t in batch.column(1).to_pylist()]):
+                counts.append(count)
+                digests.append(hashlib.sha256(ids[:-1]).hexdigest())
+                decoded.append(hashlib.sha256(raw).hexdigest())
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import types
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +70,20 @@ class Cache(dict):
             self.update(kept)
         return new
 
+    def of(self, wanted: list[str], make: Callable[[list[str]], list]) -> list:
+        """The results of ``wanted``, distinct strings; ``make`` gives those that are not known, never None."""
+        found = list(map(self.get, wanted))
+        new = [w for w, value in zip(wanted, found) if value is None]
+        if not new:
+            return found
+        if len(self) + len(new) > self.bound:
+            self.clear()
+            self.update((w, value) for w, value in zip(wanted, found) if value is not None)
+        made = make(new)
+        self.update(zip(new, made, strict=True))
+        following = iter(made)
+        return [next(following) if value is None else value for value in found]
+
 
 def worker_store() -> dict:
     """A dict that lives as long as the Python worker, for what one task can leave to the next."""
@@ -71,8 +91,64 @@ def worker_store() -> dict:
 
 
 def kept_in_worker(name: str, make):
-    """What ``make`` gives, made once per worker."""
+    """What ``make`` gives, made once per worker. A worker keeps one such thing: the next operator's takes its
+    place, so that the caches of operators that run after one another do not add up."""
     store = worker_store()
-    if name not in store:
-        store[name] = make()
-    return store[name]
+    kept = store.get("kept")
+    if kept is None or kept[0] != name:
+        store["kept"] = kept = None
+        store["kept"] = kept = (name, make())
+    return kept[1]
+
+
+#: Characters of texts that are looked up together.
+GROUP_CHARS = 1 << 22
+
+
+def groups_of(texts: list[str]) -> Iterator[list[str]]:
+    """Runs of whole texts of about ``GROUP_CHARS`` characters."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= GROUP_CHARS:
+            yield texts[first : i + 1]
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield texts[first:]
+
+
+class Places:
+    """The strings of many lists: the distinct ones, and which of them stands where."""
+
+    def __init__(self, lists: list[list[str]]):
+        found = pa.array(list(chain.from_iterable(lists)), pa.large_string()).dictionary_encode()
+        self.distinct: list[str] = found.dictionary.to_pylist()
+        self.at = found.indices
+        self.begin = np.cumsum([0, *map(len, lists)])
+
+    def joined(self, values: list[bytes]) -> tuple[memoryview, np.ndarray]:
+        """The values of all strings one after the other, and where each list's begin and the last one's end;
+        ``values`` are those of ``distinct``."""
+        return taken(pa.array(values, pa.large_binary()), self.at, self.begin)
+
+
+def taken(values: pa.Array, at: pa.Array, begin: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The bytes of ``values`` at the places ``at`` in a row, and where those of the places ``begin`` begin."""
+    row = values.take(at)
+    _, offsets, content = row.buffers()
+    if not len(row) or content is None:
+        return memoryview(b""), np.zeros(len(begin), np.int64)
+    return memoryview(content), np.frombuffer(offsets, np.int64)[begin]
+
+
+@contextmanager
+def no_cycle_search() -> Iterator[None]:
+    """For work that makes very many small objects and no cycles: Python does not search them for cycles again and again."""
+    if not gc.isenabled():
+        yield
+        return
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()

@@ -19,12 +19,15 @@ same; other columns are left alone.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches, table
+from tidemark.llm.common import kept_in_worker, small_batches, table
 from tidemark.llm.hashing import BASE, INVERSE, mixed, powers
 
 SAMPLE = 20_000
@@ -239,7 +242,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < chosen * 1_000_000).distinct()
 
     def count(parts):
-        table_of = script_table()
+        table_of = kept_in_worker("scripts", script_table)
         counts = np.zeros((len(languages), BUCKETS), np.int64)
         scripts = np.zeros((len(languages), OTHER + 1), np.int64)
         place = {k: i for i, k in enumerate(languages)}
@@ -276,16 +279,22 @@ def _few(parts):
             yield batch.slice(start, FIT_ROWS)
 
 
+def _in_worker(spark: SparkSession, model: Model) -> Callable[[], tuple[Model, np.ndarray]]:
+    """A function for tasks that gives the model and the scripts, made once per worker."""
+    shared, name = spark.sparkContext.broadcast(model.arrays()), f"languages {uuid.uuid4().hex}"
+    return lambda: kept_in_worker(name, lambda: (Model.of(shared.value), script_table()))
+
+
 def predict(df: DataFrame, key: str, text: str, model: Model | None) -> DataFrame:
     """(``key``, lang_pred, score) per row of ``df``."""
     spark = df.sparkSession
     small_batches(spark)
     if model is None:
         return df.select(key, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = spark.sparkContext.broadcast(model.arrays())
+    model_of = _in_worker(spark, model)
 
     def batches(parts):
-        own, table_of = Model.of(shared.value), script_table()
+        own, table_of = model_of()
         for batch in parts:
             names, share = own.predict([t or "" for t in batch.column(1).to_pylist()], table_of)
             columns = [batch.column(0), pa.array(names, pa.string()), pa.array(share, pa.float64())]
@@ -306,10 +315,10 @@ def keep_identified(df: DataFrame, text: str, model: Model | None) -> DataFrame:
                 yield batch.filter(pa.array([any(map(str.isalpha, t or "")) for t in batch.column(place).to_pylist()], pa.bool_()))
 
         return df.mapInArrow(lettered, df.schema)
-    shared = df.sparkSession.sparkContext.broadcast(model.arrays())
+    model_of = _in_worker(df.sparkSession, model)
 
     def batches(parts):
-        own, table_of = Model.of(shared.value), script_table()
+        own, table_of = model_of()
         for batch in parts:
             names, _ = own.predict([t or "" for t in batch.column(place).to_pylist()], table_of)
             yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
@@ -320,10 +329,10 @@ def keep_identified(df: DataFrame, text: str, model: Model | None) -> DataFrame:
 def label_spans(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
     """(``key``, start, end, lang): spans of equal language in code points, from a first word to a last one."""
     small_batches(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(model.arrays())
+    model_of = _in_worker(df.sparkSession, model)
 
     def batches(parts):
-        own, table_of = Model.of(shared.value), script_table()
+        own, table_of = model_of()
         for batch in parts:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             words, labels = own.spans(texts, table_of)

@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import unicodedata
 import zlib
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,18 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WHITE_SPACE, Cache, kept_in_worker, small_batches, table, with_row_id, written
+from tidemark.llm.common import (
+    WHITE_SPACE,
+    Cache,
+    Places,
+    groups_of,
+    kept_in_worker,
+    no_cycle_search,
+    small_batches,
+    table,
+    with_row_id,
+    written,
+)
 from tidemark.llm.token_counts import load_tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
@@ -203,24 +215,32 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        parts = [self.split(t) for t in texts]
-        wanted = set()
-        for units in parts:
-            wanted.update(units)
-        plain, other = [], []
-        for unit in self.units.missing(wanted):
-            if "<|" not in unit and "İ" not in unit and self.PLAIN.fullmatch(unit):
-                plain.append((unit, self.words_of(unit)))
+        with no_cycle_search():
+            return [ids for group in groups_of(texts) for ids in self._encode(group)]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        places = Places([self.split(t) for t in texts])
+        ids, begin = places.joined(self.units.of(places.distinct, self.ids_of))
+        return [bytes(ids[a:b]) for a, b in pairwise(begin.tolist())]
+
+    def ids_of(self, units: list[str]) -> list[bytes]:
+        """Ids of units that are not known yet."""
+        plain, other, words = {}, [], {}
+        for unit in units:
+            if unit.isascii() and unit.isalpha():
+                words[unit.lower()] = None
+            elif "<|" not in unit and "İ" not in unit and self.PLAIN.fullmatch(unit):
+                plain[unit] = found = self.words_of(unit)
+                words.update(dict.fromkeys(found))
             else:
                 other.append(unit)
-        words = {w for _, found in plain for w in found}
-        fresh = self.words.missing(words)
-        self.words.update(zip(fresh, self.merged(fresh)))
-        word = self.words.__getitem__
-        self.units.update((unit, b"".join(map(word, found))) for unit, found in plain)
-        self.units.update(zip(other, self.library(other) if other else []))
-        unit = self.units.__getitem__
-        return [b"".join(map(unit, units)) for units in parts]
+        names = list(words)
+        word = dict(zip(names, self.words.of(names, self.merged))).__getitem__
+        rest = dict(zip(other, self.library(other) if other else []))
+        return [
+            b"".join(map(word, plain[u])) if u in plain else rest[u] if u in rest else word(u.lower())
+            for u in units
+        ]
 
 
 def token_pieces(df: DataFrame, key: str, text: str, path: str, capacity: int = CAPACITY, end: int = 0) -> DataFrame:
