@@ -5,6 +5,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.reports import rescued_rows, rescued_summary, table_profile
@@ -275,3 +276,18 @@ def test_batches_bounded_by_bytes(spark, base, put):
     assert len(taken) >= 3 and max(taken) <= 2 * max(sizes) and sum(taken) == sum(sizes) and sum(r["rows"] for r in history) == 600
     with pytest.raises(ValueError, match="both"):
         ingest_files(spark, base, base, f"{base}/x", schema=FIXED, evolution="rescue", max_files=3, max_bytes="1g")
+
+
+def test_forms_come_before_casts_and_turn_no_text_away(spark):
+    """A cast that fails is an exception inside Spark, and types are found by trying all of them on every text."""
+    numbers = [
+        "1", " 1 ", "+1.", "-.5", "1e5", "1E-5", "1.5d", "1.5f ", "1d ", "0x1p3", "0x.8p1f ", "0X1.P-2", "NaN", "-nan", "inf", " +Infinity ", "INF ",
+        "1\u0001", "\t2\n", ".", "", "n/a", "1e", "0x1", "1 2", "ORD-1", "2024-01-01", "١", "infinit", "--1", "1,5", "1_0", "NaNd", "e5", "inf\u00a0", "\u00a01",
+    ]
+    texts = spark.createDataFrame([(n,) for n in numbers], "t string")
+    plain = F.col("t").try_cast("double").isNotNull() & F.col("t").rlike(csv_lots._KINDS["double"])
+    found = texts.select("t", plain.alias("plain"), csv_lots.has_type(F.col("t"), "double").alias("formed")).collect()
+    assert [(r["t"], r["formed"]) for r in found] == [(r["t"], r["plain"]) for r in found]
+    for kind in csv_lots._KINDS:
+        told = str(csv_lots.has_type(F.col("t"), kind)).lower()
+        assert told.index("rlike") < told.index("cast")
