@@ -4,8 +4,10 @@ import itertools
 import os
 import re
 import sys
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from compare import DATA, differences, duck
@@ -160,6 +162,40 @@ def test_odd_texts(spark, model):
     assert sorted(r["doc_id"] for r in kept.collect()) == [4, 5, 6, 7, 8, 9, 10] and kept.columns == df.columns
 
 
+def test_many_distinct_words_take_little_memory(model):
+    """The n-grams of 1 MB of distinct words are never held together; the scores are those of all at once."""
+    letters = np.random.default_rng(2).integers(97, 123, (120_000, 8)).astype(np.uint8)
+    texts = [" ".join(bytes(w).decode() for w in part) for part in np.split(letters, 300)]
+    words = language_id.Words(texts, language_id.script_table())
+    tracemalloc.start()
+    scores = model.scores(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+    alone = language_id.Words(texts[:3] + ["x" * 70_000], language_id.script_table())
+    assert np.array_equal(model.scores(alone)[:1200], scores[:1200])
+
+
+def test_slices_of_a_batch(spark, model, monkeypatch):
+    """Slices follow the bytes of the texts, hold every row once, in order, and change no result."""
+    texts = [None, "", "é" * 10, "x" * 50, "the dog", "η γάτα", None, "a b", "日本語", ""] * 30
+    monkeypatch.setattr(language_id, "GROUP_BYTES", 40)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    slices = list(language_id._few([batch, batch.slice(0, 0)], 1, 4))
+    assert [i for s in slices for i in s["doc_id"].to_pylist()] == list(range(len(texts)))
+    sizes = [[len((t or "").encode()) for t in s["text"].to_pylist()] for s in slices]
+    assert all(0 < len(s) <= 4 and (sum(s) <= 40 or len(s) == 1) for s in sizes) and max(map(len, sizes)) > 1
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+
+    def results():
+        found = (language_id.predict(df, "doc_id", "text", model), language_id.keep_identified(df, "text", model), language_id.label_spans(df, "doc_id", "text", model))
+        return [sorted(map(str, x.collect())) for x in found]
+
+    cut = results()
+    monkeypatch.undo()
+    assert cut == results()
+
+
 def test_spans_of_mixed_texts(spark, model):
     text = "the cat sat on the mat and η γάτα κάθισε στο χαλί, the dog was there"
     df = spark.createDataFrame([(1, ""), (2, text), (3, None), (4, text)], "doc_id long, text string").coalesce(1)

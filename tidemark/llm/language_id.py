@@ -24,14 +24,18 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept_in_worker, small_batches, table
+from tidemark.llm.common import BATCH_ROWS, kept_in_worker, small_batches, table
 from tidemark.llm.hashing import BASE, INVERSE, mixed, powers
 
 SAMPLE = 20_000
 FIT_ROWS = 100
+#: Bytes of texts that are taken together, and characters of distinct words whose n-grams are.
+GROUP_BYTES = 1 << 21
+SLAB_CHARS = 1 << 16
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 PENALTY = 8.0
@@ -117,9 +121,21 @@ class Words:
             yield first, last, "\n".join(texts[first:last])
             first = last
 
-    def features(self) -> tuple[np.ndarray, np.ndarray]:
-        """N-gram buckets of the distinct words, and where each word's begin."""
-        starts, lengths = self.start[self.first], self.length[self.first]
+    def slabs(self):
+        """(first, last): runs of distinct words of about ``SLAB_CHARS`` characters. The n-grams of all of them at
+        once take some hundred times the texts' size."""
+        ends = np.cumsum(self.length[self.first] + 2)
+        first = 0
+        while first < len(ends):
+            room = SLAB_CHARS + (ends[first - 1] if first else 0)
+            last = max(first + 1, int(np.searchsorted(ends, room, side="right")))
+            yield first, last
+            first = last
+
+    def features(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """N-gram buckets of a run of the distinct words, and where each word's begin."""
+        chosen = self.first[first:last]
+        starts, lengths = self.start[chosen], self.length[chosen]
         # Words one after the other, each between two marks.
         padded = lengths + 2
         begin = np.cumsum(padded) - padded
@@ -202,8 +218,10 @@ class Model:
         """A score per word and language."""
         if not len(words.first):
             return np.zeros((0, len(self.languages)))
-        buckets, begin = words.features()
-        each = np.add.reduceat(self.log[buckets], begin, axis=0) / len(ORDERS)
+        each = np.empty((len(words.first), len(self.languages)))
+        for first, last in words.slabs():
+            buckets, begin = words.features(first, last)
+            each[first:last] = np.add.reduceat(self.log[buckets], begin, axis=0) / len(ORDERS)
         uses = self.uses[words.script[words.first]]
         lowest = np.where(uses, each, np.inf).min(1, keepdims=True)
         each = np.where(uses.any(1, keepdims=True), np.where(uses, each, lowest - 20.0), 0.0)
@@ -246,17 +264,19 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
         counts = np.zeros((len(languages), BUCKETS), np.int64)
         scripts = np.zeros((len(languages), OTHER + 1), np.int64)
         place = {k: i for i, k in enumerate(languages)}
-        for batch in _few(parts):
+        for batch in _few(parts, 1, FIT_ROWS):
             owners = np.array([place[k] for k in batch.column(0).to_pylist()], np.int64)
             words = Words(batch.column(1).to_pylist(), table_of)
             if len(words.owner):
                 language = owners[words.owner]
                 np.add.at(scripts, (language, words.script), words.length)
-                buckets, begin = words.features()
-                size = np.diff(np.concatenate([begin, [len(buckets)]]))
-                for i in range(len(languages)):
-                    times = np.bincount(words.same[language == i], minlength=len(words.first))
-                    counts[i] += np.bincount(buckets, weights=np.repeat(times, size), minlength=BUCKETS).astype(np.int64)
+                times = [np.bincount(words.same[language == i], minlength=len(words.first)) for i in range(len(languages))]
+                for first, last in words.slabs():
+                    buckets, begin = words.features(first, last)
+                    size = np.diff(np.concatenate([begin, [len(buckets)]]))
+                    for i in range(len(languages)):
+                        weights = np.repeat(times[i][first:last], size)
+                        counts[i] += np.bincount(buckets, weights=weights, minlength=BUCKETS).astype(np.int64)
         for kind, values in ((0, counts), (1, scripts)):
             language, number = np.nonzero(values)
             arrays = [pa.array(np.full(len(number), kind), pa.int32()), pa.array(language, pa.int32()), pa.array(number, pa.int32())]
@@ -272,11 +292,18 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     return Model(languages, counts, scripts, usual)
 
 
-def _few(parts):
-    """Batches of at most ``FIT_ROWS`` texts: the n-grams of a batch take many times its size."""
+def _few(parts, text: int, rows: int = BATCH_ROWS):
+    """The batches, cut into slices of at most ``rows`` rows and about ``GROUP_BYTES`` of the texts in column number
+    ``text``: the words of a slice take many times its size."""
     for batch in parts:
-        for start in range(0, len(batch), FIT_ROWS):
-            yield batch.slice(start, FIT_ROWS)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        start = 0
+        while start < len(batch):
+            room = GROUP_BYTES + (ends[start - 1] if start else 0)
+            end = max(start + 1, min(start + rows, int(np.searchsorted(ends, room, side="right"))))
+            yield batch.slice(start, end - start)
+            start = end
 
 
 def _in_worker(spark: SparkSession, model: Model) -> Callable[[], tuple[Model, np.ndarray]]:
@@ -295,7 +322,7 @@ def predict(df: DataFrame, key: str, text: str, model: Model | None) -> DataFram
 
     def batches(parts):
         own, table_of = model_of()
-        for batch in parts:
+        for batch in _few(parts, 1):
             names, share = own.predict([t or "" for t in batch.column(1).to_pylist()], table_of)
             columns = [batch.column(0), pa.array(names, pa.string()), pa.array(share, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "lang_pred", "score"])
@@ -319,7 +346,7 @@ def keep_identified(df: DataFrame, text: str, model: Model | None) -> DataFrame:
 
     def batches(parts):
         own, table_of = model_of()
-        for batch in parts:
+        for batch in _few(parts, place):
             names, _ = own.predict([t or "" for t in batch.column(place).to_pylist()], table_of)
             yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
 
@@ -333,7 +360,7 @@ def label_spans(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
 
     def batches(parts):
         own, table_of = model_of()
-        for batch in parts:
+        for batch in _few(parts, 1):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             words, labels = own.spans(texts, table_of)
             if len(labels):
